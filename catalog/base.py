@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 class Entry:
     run: Callable[[SparkSession, str], DataFrame]
     sql: str | None
+    group: str
 
 
 REGISTRY: dict[str, Entry] = {}
@@ -32,7 +33,7 @@ def query(name: str, sql: str | None = None, floats: Sequence[str] = (), digits:
         if text and floats:
             rounded = ", ".join(f"round({c}, {digits}) AS {c}" for c in floats)
             text = f"SELECT * REPLACE ({rounded}) FROM (\n{text}\n)"
-        REGISTRY[name] = Entry(run, text)
+        REGISTRY[name] = Entry(run, text, fn.__module__.rsplit(".", 1)[-1])
         return fn
 
     return register

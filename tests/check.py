@@ -78,7 +78,7 @@ def main(sf, names):
     con = duck(folder)
     bad = 0
     for name, entry in load().items():
-        if names and name not in names:
+        if names and not names & {name, entry.group}:
             continue
         start = time.time()
         try:
