@@ -5,6 +5,6 @@ from __future__ import annotations
 
 def load():
     """All registered entries by name."""
-    from catalog import base, features, ingest, quality  # noqa: F401
+    from catalog import base, features, ingest, profile, quality  # noqa: F401
 
     return base.REGISTRY
