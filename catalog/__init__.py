@@ -5,6 +5,6 @@ from __future__ import annotations
 
 def load():
     """All registered entries by name."""
-    from catalog import base, features, ingest, modelling, profile, quality  # noqa: F401
+    from catalog import base, features, ingest, modelling, models, profile, quality, serving  # noqa: F401
 
     return base.REGISTRY
