@@ -35,7 +35,8 @@ def linear_ladder(spark, folder):
 
 @query("forest_regression")
 def forest_regression(spark, folder):
-    return compared(spark, folder, "consumption", models.forest_regression())
+    """The two smaller forests of the grid; the whole grid is `models.forest_regression()`."""
+    return compared(spark, folder, "consumption", models.forest_regression(schema.FOREST_GRID[:2]))
 
 
 @query("tree_classifier")
@@ -45,7 +46,8 @@ def tree_classifier(spark, folder):
 
 @query("forest_classifier")
 def forest_classifier(spark, folder):
-    return compared(spark, folder, "anomaly", models.forest_classifier("anomaly"))
+    """The two smaller forests of the grid; the whole grid is `models.forest_classifier(module)`."""
+    return compared(spark, folder, "anomaly", models.forest_classifier("anomaly", schema.FOREST_GRID[:2]))
 
 
 @query("compare_models")
@@ -85,7 +87,7 @@ def fit_pipeline(spark, folder):
 def score_classes(spark, folder):
     parts, _ = rows(spark, folder, "revenue")
     fitted = models.fit_pipeline(models.tree_classifier("revenue")[1], parts["TRAIN"])
-    scored = models.score_classes(fitted.model, fitted.preprocessing.transform(parts["FINAL_TEST"]))
+    scored = models.score_classes(fitted.model, fitted.prepare(parts["FINAL_TEST"]))
     return scored.select("consumer_no", "target_ord", "target", "predicted_class", "probability")
 
 
@@ -126,7 +128,7 @@ def probability_audit(spark, folder):
     fitted = models.fit_pipeline(models.tree_classifier("anomaly")[0], parts["TRAIN"])
     ((name, classes, position),) = models.probability_audit({fitted.name: fitted.model})
     labelled = parts["TRAIN"].unionByName(parts["VALIDATION"]).unionByName(parts["FINAL_TEST"])
-    scored = models.score_classes(fitted.model, fitted.preprocessing.transform(labelled))
+    scored = models.score_classes(fitted.model, fitted.prepare(labelled))
     p = F.col("probability")
     return scored.groupBy(F.col("partition").alias("stage")).agg(
         F.lit(name).alias("configuration"),

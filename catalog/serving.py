@@ -163,7 +163,7 @@ _FY = "ord BETWEEN 23979 AND 23990"
 @query("period_kpis", f"""WITH {P1}, s AS (SELECT * FROM p1 WHERE {_FY}) SELECT count(DISTINCT consumer_no) AS consumers, sum(consumption_unit) AS total_consumption, sum(bill_amount) AS total_bill,
   sum(payment_amount) AS total_payment, sum(closing_arrears) FILTER (ord = (SELECT max(ord) FROM s)) AS closing_arrears_period_end,
   sum(consumption_unit) / count(DISTINCT consumer_no) AS consumption_per_consumer FROM s""",
-    ["total_bill", "total_payment", "closing_arrears_period_end", "consumption_per_consumer"], 3)
+    ["total_bill", "total_payment", "closing_arrears_period_end", "consumption_per_consumer"], 5)
 def period_kpis(spark, folder):
     return serving.period_kpis(serving.select_periods(bindings.supplier_months(spark, folder), "1998-1999"))
 
@@ -173,13 +173,13 @@ _TOTALS = """sum(consumption_unit) AS total_consumption, sum(bill_amount) AS bil
 _MONEY = ["bill_amount", "payment_amount", "closing_arrears"]
 
 
-@query("monthly_trend", f"WITH {P1} SELECT ord, {_TOTALS} FROM p1 WHERE {_FY} GROUP BY ord", _MONEY, 3)
+@query("monthly_trend", f"WITH {P1} SELECT ord, {_TOTALS} FROM p1 WHERE {_FY} GROUP BY ord", _MONEY, 5)
 def monthly_trend(spark, folder):
     return serving.monthly_trend(serving.select_periods(bindings.supplier_months(spark, folder), "1998-1999"))
 
 
 @query("tariff_rollup", f"""WITH {P1} SELECT CASE WHEN consumer_no % 9 = 0 THEN 'Missing' ELSE tarrif END AS tarrif, {_TOTALS}, avg(consumption_unit) AS average_consumption
-FROM p1 WHERE ord % 12 = 4 GROUP BY 1""", [*_MONEY, "average_consumption"], 3)
+FROM p1 WHERE ord % 12 = 4 GROUP BY 1""", [*_MONEY, "average_consumption"], 5)
 def tariff_rollup(spark, folder):
     rows = serving.select_periods(bindings.supplier_months(spark, folder), month=5)
     return serving.tariff_rollup(rows.withColumn("tarrif", F.when(F.col("consumer_no") % 9 != 0, F.col("tarrif"))))

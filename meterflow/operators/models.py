@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
@@ -50,7 +51,7 @@ def linear_ladder() -> list[Configuration]:
 
 def _tree_settings(depth: int | None) -> dict:
     # One histogram pass covers as many nodes as fit in maxMemoryInMB.
-    return {"maxDepth": depth or FULL_DEPTH, "maxBins": 128, "seed": schema.MODEL_SEED, "maxMemoryInMB": 1024}
+    return {"maxDepth": depth or FULL_DEPTH, "seed": schema.MODEL_SEED, "maxMemoryInMB": 1024}
 
 
 def forest_regression(grid: Sequence[tuple[int, int | None]] = tuple(schema.FOREST_GRID)) -> list[Configuration]:
@@ -101,26 +102,36 @@ def split_columns(features: Sequence[str]) -> tuple[list[str], list[str]]:
 class Preprocessing:
     """Medians, modes and encoders as learned from one fit population."""
 
-    features: tuple[str, ...]
     medians: dict[str, float]
     modes: dict[str, str]
-    encoders: PipelineModel
+    encoders: PipelineModel | None
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return self.encoders.transform(impute(df, self.medians, self.modes))
+        """Imputed predictors, and an indicator vector `<name>_hot` for each category."""
+        filled = impute(df, self.medians, self.modes)
+        return self.encoders.transform(filled) if self.encoders else filled
+
+    def columns(self, features: Sequence[str] | None = None) -> list[str]:
+        """Model inputs of the given predictors, numeric ones first."""
+        wanted = [*self.medians, *self.modes] if features is None else features
+        return [f for f in wanted if f in self.medians] + [f"{f}_hot" for f in wanted if f in self.modes]
+
+    def assemble(self, df: DataFrame, features: Sequence[str]) -> DataFrame:
+        """Add the feature vector to transformed rows."""
+        return VectorAssembler(inputCols=self.columns(features), outputCol="features").transform(df)
 
     def save(self, path: str) -> None:
         spark = SparkSession.getActiveSession()
-        learned = json.dumps({"features": self.features, "medians": self.medians, "modes": self.modes})
+        learned = json.dumps({"medians": self.medians, "modes": self.modes})
         spark.createDataFrame([(learned,)], "learned string").coalesce(1).write.parquet(f"{path}/learned")
-        self.encoders.write().save(f"{path}/encoders")
+        if self.encoders:
+            self.encoders.write().save(f"{path}/encoders")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> Preprocessing:
         learned = json.loads(spark.read.parquet(f"{path}/learned").first().learned)
-        return Preprocessing(
-            tuple(learned["features"]), learned["medians"], learned["modes"], PipelineModel.load(f"{path}/encoders")
-        )
+        encoders = PipelineModel.load(f"{path}/encoders") if learned["modes"] else None
+        return Preprocessing(learned["medians"], learned["modes"], encoders)
 
 
 def fit_preprocessing(train: DataFrame, features: Sequence[str]) -> Preprocessing:
@@ -131,22 +142,17 @@ def fit_preprocessing(train: DataFrame, features: Sequence[str]) -> Preprocessin
     """
     numeric, categorical = split_columns(features)
     medians = {r.feature: r.median for r in fit_medians(train, numeric).collect()}
+    medians = {f: medians[f] for f in numeric}
     modes = {r.feature: r.mode for r in fit_modes(train, categorical).collect()} if categorical else {}
-    categorical = [c for c in categorical if c in modes]
-    stages = []
-    if categorical:
-        stages = [
-            StringIndexer(
-                inputCols=categorical, outputCols=[f"{c}_index" for c in categorical],
-                handleInvalid="keep", stringOrderType="alphabetAsc",
-            ),
-            OneHotEncoder(
-                inputCols=[f"{c}_index" for c in categorical], outputCols=[f"{c}_hot" for c in categorical], dropLast=True
-            ),
-        ]
-    stages.append(VectorAssembler(inputCols=[*numeric, *[f"{c}_hot" for c in categorical]], outputCol="features"))
-    encoders = Pipeline(stages=stages).fit(impute(train, medians, modes))
-    return Preprocessing(tuple(features), medians, modes, encoders)
+    modes = {f: modes[f] for f in categorical if f in modes}
+    if not modes:
+        return Preprocessing(medians, modes, None)
+    indexed, hot = [f"{c}_index" for c in modes], [f"{c}_hot" for c in modes]
+    stages = [
+        StringIndexer(inputCols=list(modes), outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"),
+        OneHotEncoder(inputCols=indexed, outputCols=hot, dropLast=True),
+    ]
+    return Preprocessing(medians, modes, Pipeline(stages=stages).fit(impute(train, medians, modes)))
 
 
 @dataclass(frozen=True)
@@ -154,11 +160,15 @@ class FittedPipeline:
     """Preprocessing and model fitted on the same rows."""
 
     name: str
+    features: tuple[str, ...]
     preprocessing: Preprocessing
     model: object
 
+    def prepare(self, df: DataFrame) -> DataFrame:
+        return self.preprocessing.assemble(self.preprocessing.transform(df), self.features)
+
     def transform(self, df: DataFrame) -> DataFrame:
-        return self.model.transform(self.preprocessing.transform(df))
+        return self.model.transform(self.prepare(df))
 
     def save(self, path: str) -> None:
         """Refuses to overwrite a saved pipeline."""
@@ -166,29 +176,34 @@ class FittedPipeline:
         PipelineModel([self.model]).write().save(f"{path}/model")
 
     @staticmethod
-    def load(spark: SparkSession, path: str, name: str) -> FittedPipeline:
+    def load(spark: SparkSession, path: str, name: str, features: Sequence[str]) -> FittedPipeline:
         model = PipelineModel.load(f"{path}/model").stages[0]
-        return FittedPipeline(name, Preprocessing.load(spark, path), model)
+        return FittedPipeline(name, tuple(features), Preprocessing.load(spark, path), model)
 
 
 _KEPT = ["consumer_no", "target_ord", "target"]
 
 
-def vectors(preprocessing: Preprocessing, df: DataFrame) -> DataFrame:
-    """Keys, target, weight when present, and the feature vector, stored once."""
+def model_inputs(preprocessing: Preprocessing, df: DataFrame) -> DataFrame:
+    """Keys, target, weight when present, and the prepared predictors, stored once."""
     kept = [c for c in [*_KEPT, "partition", "weight"] if c in df.columns]
-    return materialize(preprocessing.transform(df).select(*kept, "features"), "vectors")
+    stored = materialize(preprocessing.transform(df).select(*kept, *preprocessing.columns()), "inputs")
+    # A small table comes back as few splits; training passes over it many times, so it is spread.
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return stored.repartition(cores) if stored.rdd.getNumPartitions() < cores else stored
 
 
-def fit_estimator(config: Configuration, fit_vectors: DataFrame):
-    return config.estimator.copy({config.estimator.labelCol: "target"}).fit(fit_vectors)
+def fit_estimator(config: Configuration, preprocessing: Preprocessing, inputs: DataFrame):
+    estimator = config.estimator.copy({config.estimator.labelCol: "target"})
+    return estimator.fit(preprocessing.assemble(inputs, config.features))
 
 
 def fit_pipeline(config: Configuration, train: DataFrame) -> FittedPipeline:
     """Learn everything, preprocessing and model, on `train`."""
     rows = balanced_weights(train) if config.balanced else train
     preprocessing = fit_preprocessing(rows, config.features)
-    return FittedPipeline(config.name, preprocessing, fit_estimator(config, vectors(preprocessing, rows)))
+    model = fit_estimator(config, preprocessing, model_inputs(preprocessing, rows))
+    return FittedPipeline(config.name, config.features, preprocessing, model)
 
 
 def score_regression(model, df: DataFrame) -> DataFrame:
@@ -207,36 +222,40 @@ def compare_models(
 ) -> tuple[DataFrame, dict[str, object]]:
     """(metrics per configuration and stage, fitted models by name).
 
-    The loop over the bounded grid runs on the driver; each fit and each scoring is a Spark job
-    over stored vectors. All metrics come from one aggregate over the stored scores.
+    The predictors of all configurations are prepared and stored once: medians, modes and
+    vocabularies are learned per column, so a smaller predictor set learns the same ones. The
+    loop over the bounded grid runs on the driver; each fit and each scoring is a Spark job.
+    All metrics come from one aggregate over the stored scores.
     """
-    fitted, scored, prepared = {}, None, {}
+    features = list(dict.fromkeys(f for c in configs for f in c.features))
+    preprocessing = fit_preprocessing(train, features)
     weighted = balanced_weights(train) if classify else train
+    fit_rows = model_inputs(preprocessing, weighted.withColumn("partition", F.lit("TRAIN")))
+    other = model_inputs(preprocessing, validation.withColumn("partition", F.lit("VALIDATION")))
+    both = fit_rows.drop("weight").unionByName(other)
+    fitted, scored = {}, []
     for pos, config in enumerate(configs, start=1):
-        if config.features not in prepared:
-            preprocessing = fit_preprocessing(train, config.features)
-            prepared[config.features] = (
-                vectors(preprocessing, weighted.withColumn("partition", F.lit("TRAIN"))),
-                vectors(preprocessing, validation.withColumn("partition", F.lit("VALIDATION"))),
+        model = fitted[config.name] = fit_estimator(config, preprocessing, fit_rows)
+        ready = preprocessing.assemble(both, config.features)
+        out = score_classes(model, ready) if classify else score_regression(model, ready)
+        scored.append(
+            materialize(
+                out.select(
+                    F.lit(pos).alias("pos"),
+                    F.lit(config.name).alias("configuration"),
+                    F.lit(config.algorithm).alias("algorithm"),
+                    F.col("partition").alias("stage"),
+                    "target",
+                    *(["probability", "predicted_class"] if classify else ["prediction"]),
+                ),
+                "scores",
             )
-        fit_vectors, other = prepared[config.features]
-        model = fit_estimator(config, fit_vectors)
-        fitted[config.name] = model
-        both = fit_vectors.select(*_KEPT, "partition", "features").unionByName(other.select(*_KEPT, "partition", "features"))
-        out = score_classes(model, both) if classify else score_regression(model, both)
-        columns = ["probability", "predicted_class"] if classify else ["prediction"]
-        out = materialize(
-            out.select(
-                F.lit(pos).alias("pos"), F.lit(config.name).alias("configuration"), F.lit(config.algorithm).alias("algorithm"),
-                F.col("partition").alias("stage"), "target", *columns,
-            ),
-            "scores",
         )
-        scored = out if scored is None else scored.unionByName(out)
+    rows = reduce(DataFrame.unionByName, scored)
     group = ["pos", "configuration", "algorithm", "stage"]
     if classify:
-        return scored_metrics(scored, "target", "predicted_class", "probability", group), fitted
-    return regression_metrics(scored, "target", "prediction", group), fitted
+        return scored_metrics(rows, "target", "predicted_class", "probability", group), fitted
+    return regression_metrics(rows, "target", "prediction", group), fitted
 
 
 def comparison(metrics: DataFrame, classify: bool) -> DataFrame:
@@ -259,7 +278,7 @@ def vector_names(df: DataFrame) -> list[str]:
 
 def top_importances(pipeline: FittedPipeline, df: DataFrame, n: int = 15) -> DataFrame:
     """The n features with the largest importance; one entry per vector position."""
-    names = vector_names(pipeline.preprocessing.transform(df))
+    names = vector_names(pipeline.prepare(df))
     values = pipeline.model.featureImportances.toArray().tolist()
     table = df.sparkSession.createDataFrame(list(zip(names, values)), "encoded_feature string, importance double")
     return table.orderBy(F.col("importance").desc(), "encoded_feature").limit(n)
@@ -315,8 +334,7 @@ def freeze_and_refit(config: Configuration, train: DataFrame, labelled: DataFram
 
 def score_next_period(pipeline: FittedPipeline, future: DataFrame, classify: bool) -> DataFrame:
     """One prediction per consumer of the next period."""
-    rows = pipeline.preprocessing.transform(future)
-    keys = ["consumer_no", "target_ord"]
+    rows, keys = pipeline.prepare(future), ["consumer_no", "target_ord"]
     if classify:
         return score_classes(pipeline.model, rows).select(*keys, "predicted_class", "probability")
     return score_regression(pipeline.model, rows).select(*keys, "prediction")
