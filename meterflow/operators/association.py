@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from meterflow.functions.pvalues import chi_square_p, correlation_p
 from meterflow.functions.reshape import long_form
-from meterflow.operators.profile import consumer_means, skew_g1
+from meterflow.operators.profile import consumer_means, pearson_r, skew_g1
 from meterflow.operators.ranks import exact_quantiles
 from meterflow.session import materialize
 
@@ -137,7 +137,7 @@ def _pearson_columns(x: str, y: str) -> list[Column]:
     varied = (F.min(x) < F.max(x)) & (F.min(y) < F.max(y)) & (F.count("*") >= 3)
     return [
         F.count("*").alias("sample_size"),
-        F.when(varied, F.corr(x, y)).alias("r"),
+        F.when(varied, pearson_r(x, y)).alias("r"),
         F.when(varied, (F.count("*") - 2)).cast("int").alias("degrees_of_freedom"),
         F.when(varied, "performed").otherwise("skipped").alias("status"),
     ]

@@ -28,6 +28,11 @@ def kurtosis_g2(value: str) -> Column:
     return F.when(n > 3, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.kurtosis(value) + 6))
 
 
+def pearson_r(x: Column | str, y: Column | str) -> Column:
+    """Coefficient over complete pairs, NULL where one side is constant (`corr` fails there)."""
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def _cells(df: DataFrame, columns: Sequence[str], finite_only: bool = False) -> DataFrame:
     cells = long_form(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), columns, "variable", "value")
     return cells.filter(is_finite(F.col("value")) if finite_only else F.col("value").isNotNull())
@@ -156,7 +161,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     row = df.agg(
         *[
             F.struct(
-                F.corr(F.when(complete(a, b), F.col(a)), F.when(complete(a, b), F.col(b))).alias("r"),
+                pearson_r(F.when(complete(a, b), F.col(a)), F.when(complete(a, b), F.col(b))).alias("r"),
                 F.count_if(complete(a, b)).alias("n"),
             ).alias(f"_p_{a}__{b}")
             for a, b in pairs
