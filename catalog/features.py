@@ -8,6 +8,7 @@ from catalog.base import FEATURES, P1, P2, P3, query
 from meterflow import schema
 from meterflow.functions import scalars
 from meterflow.operators import calendar, features
+from meterflow.session import materialize
 from meterflow.sources import bindings
 
 KEYS = ["consumer_no", "ord"]
@@ -21,8 +22,14 @@ def built(spark, folder):
     return features.build_features(p1(spark, folder))
 
 
-def asof(spark, folder):
-    return features.asof_columns(p1(spark, folder))
+def panel(spark, folder):
+    """P1 stored, for queries that read it more than once."""
+    return materialize(p1(spark, folder), "panel")
+
+
+def feature_table(spark, folder):
+    """The features stored, as the stages of a pipeline hand them over."""
+    return materialize(built(spark, folder), "features")
 
 
 def _fx(columns: str) -> str:
@@ -100,7 +107,7 @@ _OUTPUTS = {**features.HISTORY, **features.NEXT}
 SELECT o.output, (SELECT count(*) FROM p1) AS rows_checked, CAST(0 AS BIGINT) AS mismatches
 FROM (VALUES {", ".join(f"('{o}')" for o in _OUTPUTS)}) o(output)""")
 def verify_calendar_lags(spark, folder):
-    return calendar.verify_calendar_lags(built(spark, folder), _OUTPUTS)
+    return calendar.verify_calendar_lags(feature_table(spark, folder), _OUTPUTS)
 
 
 @query("internal_gaps", f"""WITH {P2}

@@ -27,6 +27,12 @@ def split(spark, folder):
     return splits.chronological_split(built(spark, folder), P1_BOUNDS)
 
 
+def stored_split(spark, folder, *columns):
+    """The split of all modules, stored for queries that read it more than once."""
+    kept = ["module", "partition", "consumer_no", "ord", "target_ord", "target", *columns]
+    return materialize(split(spark, folder).select(*kept), "splits")
+
+
 def module(spark, folder, name):
     return splits.module_rows(built(spark, folder), P1_BOUNDS, name)
 
@@ -51,13 +57,14 @@ SELECT module, "partition", CAST(CASE "partition" WHEN 'TRAIN' THEN 23941 WHEN '
   CASE WHEN module <> 'consumption' AND "partition" <> 'FUTURE' THEN 100.0 * count(*) FILTER (target = 1) / CAST(count(target) AS DOUBLE) END AS class_1_percent
 FROM w GROUP BY module, "partition" """, ["mean", "sd", "q1", "median", "q3", "class_1_percent"])
 def split_summary(spark, folder):
-    return splits.split_summary(splits.windowed(built(spark, folder), P1_BOUNDS), P1_BOUNDS)
+    rows = splits.windowed(built(spark, folder), P1_BOUNDS).select("module", "partition", "target", "target_ord", "consumer_no")
+    return splits.split_summary(materialize(rows, "windows"), P1_BOUNDS)
 
 
 @query("partition_disjointness", f"""WITH {SPLITS} SELECT module, count(DISTINCT target_ord) AS target_months, CAST(0 AS BIGINT) AS shared_months,
   CAST(0 AS BIGINT) AS rows_outside_window, CAST(0 AS BIGINT) AS windows_out_of_order, CAST(0 AS BIGINT) AS labelled_future_rows FROM sp GROUP BY module""")
 def partition_disjointness(spark, folder):
-    return splits.partition_disjointness(split(spark, folder), P1_BOUNDS)
+    return splits.partition_disjointness(stored_split(spark, folder), P1_BOUNDS)
 
 
 @query("labelled_history", f"""WITH {SPLITS} SELECT module, consumer_no, target_ord, target FROM sp WHERE "partition" <> 'FUTURE'""")
@@ -81,7 +88,9 @@ TRAIN_SQL = _TR.format(SPLITS, "consumption")
 
 
 def fit_rows(spark, folder, name="consumption"):
-    return module(spark, folder, name).filter(F.col("partition") == "TRAIN")
+    """TRAIN rows of a module, stored for the fits that pass over them repeatedly."""
+    rows = module(spark, folder, name).filter(F.col("partition") == "TRAIN")
+    return materialize(rows.select("consumer_no", "target_ord", "target", *schema.PREDICTORS[name]), "train")
 
 
 _MEDIANS = " UNION ALL ".join(f"SELECT '{c}' AS feature, coalesce(quantile_cont(CAST({c} AS DOUBLE), 0.5), 0) AS median FROM tr" for c in NUMERIC)
@@ -130,7 +139,7 @@ def persistence_baseline(spark, folder):
 @query("majority_baseline", f"""WITH {_TR.format(SPLITS, "anomaly")}, m AS (SELECT CAST(CASE WHEN count(*) FILTER (target = 1) > count(*) FILTER (target = 0) THEN 1 ELSE 0 END AS INT) AS predicted_class, avg(target) AS probability FROM tr)
 SELECT consumer_no, target_ord, target, predicted_class, probability FROM sp, m WHERE module = 'anomaly' AND "partition" = 'FINAL_TEST'""", ["probability"])
 def majority_baseline(spark, folder):
-    rows = module(spark, folder, "anomaly")
+    rows = stored_split(spark, folder).filter("module = 'anomaly'")
     scored = baselines.majority(
         rows.filter(F.col("partition") == "TRAIN"), rows.filter(F.col("partition") == "FINAL_TEST")
     )
@@ -178,14 +187,16 @@ sc AS (
 GROUP = ["module", "stage", "pos", "configuration", "algorithm"]
 
 
-def scored_rules(spark, folder, names=("revenue", "anomaly")):
+_SCORED_COLUMNS = ["payment_ratio_current", "payment_ratio_mean3", "current_consumption", "prior_mean", "recent_std_3", "recent_mean_3"]
+
+
+def scored_rules(spark, folder, names=("revenue", "anomaly"), stored=None):
     """Rule scores, balanced scores and the majority baseline of the labelled rows.
 
     The split is stored once, because each module reads it for its baseline and its scores.
     """
-    needed = "module partition consumer_no ord target_ord target payment_ratio_current payment_ratio_mean3 current_consumption prior_mean recent_std_3 recent_mean_3"
-    labelled = splits.labelled_history(split(spark, folder)).filter(F.col("module").isin(list(names)))
-    every = materialize(labelled.select(*needed.split()), "splits")
+    stored = stored_split(spark, folder, *_SCORED_COLUMNS) if stored is None else stored
+    every = splits.labelled_history(stored)
     parts = []
     for name in names:
         rows = every.filter(F.col("module") == name)
@@ -302,8 +313,12 @@ rm AS (SELECT module, stage, pos, configuration, algorithm, count(*) AS sample_c
 FORECAST_SQL = SPLITS + FORECAST_CTES
 
 
-def forecasts(spark, folder):
-    rows = module(spark, folder, "consumption").filter(F.col("partition") != "FUTURE")
+_FORECAST_COLUMNS = ["current_consumption", "consumption_lag1", "same_month_last_year", "recent_mean_3", "prior_mean"]
+
+
+def forecasts(spark, folder, stored=None):
+    rows = module(spark, folder, "consumption") if stored is None else stored.filter("module = 'consumption'")
+    rows = splits.labelled_history(rows)
     options = [
         F.struct(F.lit(i).alias("pos"), F.lit(n).alias("configuration"), F.lit(f).alias("algorithm"), F.expr(e).alias("p"))
         for i, n, f, e in FORECASTS
@@ -333,12 +348,15 @@ def regression_comparison(spark, folder):
     return evaluate.comparison_table(long, KEYS, evaluate.REGRESSION_METRICS)
 
 
-def class_metrics_long(spark, folder):
-    return metrics.scored_metrics(scored_rules(spark, folder), "y", "label", "p", GROUP)
+def class_metrics_long(spark, folder, stored=None, names=("revenue", "anomaly")):
+    """Both kinds of metrics read the scores, so these are stored as well."""
+    scored = materialize(scored_rules(spark, folder, names, stored).select(*GROUP, "y", "p", "label"), "scores")
+    return metrics.scored_metrics(scored, "y", "label", "p", GROUP)
 
 
-def class_comparison(spark, folder):
-    return evaluate.comparison_table(class_metrics_long(spark, folder), KEYS, evaluate.CLASS_METRICS)
+def class_comparison(spark, folder, names=("revenue", "anomaly")):
+    long = class_metrics_long(spark, folder, names=names)
+    return evaluate.comparison_table(long, KEYS, evaluate.CLASS_METRICS)
 
 
 def _staged(names):
@@ -359,7 +377,7 @@ fr AS (SELECT *, CAST(row_number() OVER (ORDER BY "VALIDATION_F1_1" DESC, "VALID
 
 
 def ranked(spark, folder, name):
-    candidates = class_comparison(spark, folder).filter((F.col("module") == name) & (F.col("configuration") != "TRAIN-majority"))
+    candidates = class_comparison(spark, folder, [name]).filter("configuration <> 'TRAIN-majority'")
     rule, gap = (evaluate.RANK_AUC, "ROC_AUC") if name == "revenue" else (evaluate.RANK_F1, "F1_1")
     return evaluate.rank_models(candidates, rule, gap)
 
@@ -427,7 +445,7 @@ def selection_record(spark, folder):
         },
         baseline=0.5,
     )
-    anomaly = ranked(spark, folder, "anomaly")
+    anomaly = materialize(ranked(spark, folder, "anomaly"), "ranked")
     named = evaluate.selection_record(
         anomaly,
         "VALIDATION_F1_1",
@@ -529,8 +547,9 @@ _PRIMARY = {"consumption": "RMSE", "revenue": "ROC_AUC", "anomaly": "F1_1"}
 
 def consolidated(spark, folder):
     roles = spark.createDataFrame(ROLES, "module string, configuration string, rank int, role string")
-    regression = metrics.regression_metrics(forecasts(spark, folder), "y", "p", GROUP)
-    return evaluate.final_metrics(regression, class_metrics_long(spark, folder), roles).select(*_FM)
+    stored = stored_split(spark, folder, *dict.fromkeys(_SCORED_COLUMNS + _FORECAST_COLUMNS))
+    regression = metrics.regression_metrics(forecasts(spark, folder, stored), "y", "p", GROUP)
+    return evaluate.final_metrics(regression, class_metrics_long(spark, folder, stored), roles).select(*_FM)
 
 
 @query("final_metrics", f"WITH {FINAL_SQL} SELECT * FROM fm", _FM_FLOATS)

@@ -7,9 +7,10 @@ from itertools import combinations
 from pyspark.sql import functions as F
 
 from catalog.base import FEATURES, P1, P2, SPLITS, query
-from catalog.features import built, p1
+from catalog.features import built, p1, panel
 from meterflow import schema
-from meterflow.operators import association, payments, profile, splits
+from meterflow.operators import association, features, payments, profile, splits
+from meterflow.session import materialize
 from meterflow.sources import bindings
 
 FIELDS = ["consumption_unit", "bill_amount", "payment_amount", "closing_arrears", "contract_load"]
@@ -40,7 +41,7 @@ SELECT variable, {_MOMENTS}, skewness(value) AS skewness, kurtosis(value) AS kur
   quantile_cont(value, 0.75) - quantile_cont(value, 0.25) AS iqr FROM c GROUP BY variable""",
     ["mean", "sd", "q1", "median", "q3", "iqr", "skewness", "kurtosis"], 4)
 def descriptive_stats(spark, folder):
-    return profile.descriptive_stats(p1(spark, folder), FIELDS)
+    return profile.descriptive_stats(panel(spark, folder), FIELDS)
 
 
 _INF = "CASE WHEN ord % 10 = 3 THEN CAST('inf' AS DOUBLE) WHEN ord % 10 = 4 THEN NULL ELSE {0} END AS {0}"
@@ -50,7 +51,7 @@ _INF = "CASE WHEN ord % 10 = 3 THEN CAST('inf' AS DOUBLE) WHEN ord % 10 = 4 THEN
 c AS (SELECT * FROM ({_long(FIELDS, 'o')}) WHERE isfinite(value))
 SELECT variable, {_MOMENTS} FROM c GROUP BY variable""", ["mean", "sd", "q1", "median", "q3"], 4)
 def finite_describe(spark, folder):
-    odd = p1(spark, folder).select(
+    odd = panel(spark, folder).select(
         *[
             F.when(F.col("ord") % 10 == 3, float("inf")).when(F.col("ord") % 10 != 4, F.col(c)).alias(c)
             for c in FIELDS
@@ -65,7 +66,7 @@ SELECT c.variable, count(*) AS n, max(q3 - q1) AS iqr, max(q1 - 1.5*(q3 - q1)) A
   count(*) FILTER (value < q1 - 1.5*(q3 - q1) OR value > q3 + 1.5*(q3 - q1)) AS potential_outliers
 FROM c JOIN q ON q.variable = c.variable GROUP BY c.variable""", ["iqr", "iqr_lower", "iqr_upper"], 4)
 def iqr_outliers(spark, folder):
-    return profile.iqr_outliers(p1(spark, folder), FIELDS)
+    return profile.iqr_outliers(panel(spark, folder), FIELDS)
 
 
 _BLANK_TARIFF = "CASE WHEN (consumer_no + ord) % 7 = 0 THEN '' ELSE tarrif END"
@@ -75,7 +76,7 @@ _BLANK_TARIFF = "CASE WHEN (consumer_no + ord) % 7 = 0 THEN '' ELSE tarrif END"
   UNION ALL SELECT 'solar_consumer', solar_consumer FROM p1)
 SELECT variable, category, count(*) AS n_rows, 100.0 * count(*) / CAST((SELECT count(*) FROM p1) AS DOUBLE) AS percent FROM c GROUP BY 1, 2""", ["percent"])
 def category_frequency(spark, folder):
-    rows = p1(spark, folder).withColumn(
+    rows = panel(spark, folder).withColumn(
         "tarrif", F.when((F.col("consumer_no") + F.col("ord")) % 7 == 0, "").otherwise(F.col("tarrif"))
     )
     return profile.category_frequency(rows, ["tarrif", "solar_consumer"])
@@ -100,13 +101,13 @@ def top_categories(spark, folder):
   100.0 * count(consumption_unit) / CAST((SELECT count(*) FROM p1) AS DOUBLE) AS percent_of_rows FROM p1 GROUP BY tarrif""",
     ["mean", "sd", "median", "percent_of_rows"])
 def group_stats(spark, folder):
-    return profile.group_stats(p1(spark, folder), "tarrif", "consumption_unit")
+    return profile.group_stats(panel(spark, folder), "tarrif", "consumption_unit")
 
 
 @query("calendar_month_profile", f"""WITH {P1} SELECT CAST(ord % 12 + 1 AS INT) AS calendar_month, count(consumption_unit) AS n, avg(consumption_unit) AS mean,
   quantile_cont(consumption_unit, 0.5) AS median FROM p1 GROUP BY 1""", ["mean", "median"])
 def calendar_month_profile(spark, folder):
-    return profile.calendar_month_profile(p1(spark, folder), "consumption_unit")
+    return profile.calendar_month_profile(panel(spark, folder), "consumption_unit")
 
 
 @query("consumer_means", f"""WITH {P1} SELECT consumer_no, avg(consumption_unit) AS consumption_unit, avg(bill_amount) AS bill_amount,
@@ -133,8 +134,10 @@ NUMERIC_PREDICTORS = [c for c in schema.CONSUMPTION_PREDICTORS if c not in schem
 
 
 def train(spark, folder, module="consumption"):
+    """TRAIN rows of a module, stored for the statistics that pass over them repeatedly."""
     rows = splits.module_rows(built(spark, folder), bindings.P1_BOUNDS, module)
-    return rows.filter(F.col("partition") == "TRAIN")
+    kept = ["consumer_no", "target_ord", "target", *schema.PREDICTORS[module]]
+    return materialize(rows.filter(F.col("partition") == "TRAIN").select(*kept), "train")
 
 
 def _collinear_sql():
@@ -169,7 +172,7 @@ b AS (SELECT {_bin('bill_amount', 'lo', 'hi', 60)} AS bin, count(*) AS n FROM p1
 SELECT CAST(e.i AS INT) AS bin, lo + e.i * ((hi - lo) / 60) AS lower_edge, lo + (e.i + 1) * ((hi - lo) / 60) AS upper_edge, coalesce(n, 0) AS n
 FROM range(60) e(i) CROSS JOIN s LEFT JOIN b ON b.bin = e.i""", ["lower_edge", "upper_edge"], 4)
 def histogram_bins(spark, folder):
-    return profile.histogram_bins(p1(spark, folder), "bill_amount", 60)
+    return profile.histogram_bins(panel(spark, folder), "bill_amount", 60)
 
 
 @query("grid_density", f"""WITH {P1}, s AS (SELECT min(consumption_unit) AS x0, max(consumption_unit) AS x1, min(payment_amount) AS y0, max(payment_amount) AS y1
@@ -177,7 +180,7 @@ def histogram_bins(spark, folder):
 SELECT {_bin('consumption_unit', 'x0', 'x1', 45)} AS x_bin, {_bin('payment_amount', 'y0', 'y1', 45)} AS y_bin, count(*) AS n
 FROM p1, s WHERE consumption_unit IS NOT NULL AND payment_amount IS NOT NULL GROUP BY 1, 2""")
 def grid_density(spark, folder):
-    return profile.grid_density(p1(spark, folder), "consumption_unit", "payment_amount", 45)
+    return profile.grid_density(panel(spark, folder), "consumption_unit", "payment_amount", 45)
 
 
 @query("box_summary", f"""WITH {P1}, q AS (SELECT tarrif, quantile_cont(bill_amount, 0.25) AS q1, quantile_cont(bill_amount, 0.5) AS median,
@@ -187,7 +190,7 @@ SELECT p1.tarrif, q1, median, q3, count(*) AS n, least(min(bill_amount) FILTER (
   count(*) FILTER (bill_amount < q1 - 1.5*(q3 - q1) OR bill_amount > q3 + 1.5*(q3 - q1)) AS fliers
 FROM p1 JOIN q ON q.tarrif = p1.tarrif GROUP BY 1, 2, 3, 4""", ["q1", "median", "q3", "whisker_low", "whisker_high"], 4)
 def box_summary(spark, folder):
-    return profile.box_summary(p1(spark, folder), "bill_amount", "tarrif")
+    return profile.box_summary(panel(spark, folder), "bill_amount", "tarrif")
 
 
 @query("eda_findings", f"""WITH {P1}, m AS (SELECT CAST(ord % 12 + 1 AS INT) AS month, avg(consumption_unit) AS mean FROM p1 GROUP BY 1),
@@ -198,7 +201,7 @@ SELECT count(*) FILTER (consumption_unit = 0) AS zero_consumption_rows, count(*)
   (SELECT tarrif FROM t ORDER BY mean DESC, tarrif LIMIT 1) AS highest_group, (SELECT tarrif FROM t ORDER BY mean, tarrif LIMIT 1) AS lowest_group FROM p1""",
     ["mean_arrears", "max_arrears"], 4)
 def eda_findings(spark, folder):
-    return profile.eda_findings(p1(spark, folder))
+    return profile.eda_findings(panel(spark, folder))
 
 
 # --- association ---------------------------------------------------------------------
@@ -457,10 +460,8 @@ _RESOLUTION = {
 }
 
 
-def asof(spark, folder):
-    from meterflow.operators import features
-
-    return features.asof_columns(p1(spark, folder))
+def asof(spark, folder, source=p1):
+    return features.asof_columns(source(spark, folder))
 
 
 @query("payment_resolution", f"""WITH {FEATURES} SELECT ord, count(*) AS total_rows,
@@ -487,10 +488,10 @@ def due_date_profile(spark, folder):
 @query("due_day_frequencies", f"""WITH {P1} SELECT CAST(dayofmonth(due_date) AS INT) AS due_day, count(*) AS n,
   100.0 * count(*) / CAST((SELECT count(*) FROM p1 WHERE {_ELIGIBLE}) AS DOUBLE) AS percent_of_eligible FROM p1 WHERE {_ELIGIBLE} GROUP BY 1""", ["percent_of_eligible"])
 def due_day_frequencies(spark, folder):
-    return payments.due_day_frequencies(asof(spark, folder))
+    return payments.due_day_frequencies(asof(spark, folder, panel))
 
 
 @query("due_day_quartiles", f"""WITH {P1}, d AS (SELECT CAST(dayofmonth(due_date) AS DOUBLE) AS v FROM p1 WHERE {_ELIGIBLE})
 SELECT 'due_day' AS variable, min(v) AS minimum, max(v) AS maximum, avg(v) AS mean, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median, quantile_cont(v, 0.75) AS q3 FROM d""", ["mean"])
 def due_day_quartiles(spark, folder):
-    return payments.due_day_quartiles(asof(spark, folder))
+    return payments.due_day_quartiles(asof(spark, folder, panel))

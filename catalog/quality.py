@@ -287,9 +287,7 @@ def audit(spark, folder):
         quality.audit_part(duplicates, "duplicates"),
         quality.audit_part(failures, "conversion", F.col("column_name")),
         quality.audit_part(signs, "logical", F.col("column_name")),
-        quality.audit_part(quality.zero_flags(panel), "logical"),
-        quality.audit_part(quality.billing_context(panel), "logical"),
-        quality.audit_part(quality.date_order_checks(panel, _PAIRS), "logical"),
+        quality.audit_part(quality.logical_flags(panel, _PAIRS), "logical"),
     )
 
 

@@ -239,38 +239,47 @@ def sign_checks(df: DataFrame, numeric: Sequence[str], nonnegative: Sequence[str
     )
 
 
+def zero_conditions() -> dict[str, Column]:
+    return {
+        "nonpositive_bill": F.col("bill_amount") <= 0,
+        "zero_consumption": F.col("consumption_unit") == 0,
+        "zero_contract_load": F.col("contract_load") == 0,
+    }
+
+
+def date_order_conditions(pairs: Sequence[tuple[str, str]]) -> dict[str, Column]:
+    return {f"{later}_before_{earlier}": F.col(later) < F.col(earlier) for later, earlier in pairs}
+
+
+def billing_conditions() -> dict[str, Column]:
+    """How zero use, bills and payments occur together."""
+    use, bill, paid = F.col("consumption_unit"), F.col("bill_amount"), F.col("payment_amount")
+    return {
+        "zero_consumption_with_positive_bill": (use == 0) & (bill > 0),
+        "zero_consumption_with_nonpositive_bill": (use == 0) & (bill <= 0),
+        "nonpositive_bill_with_positive_consumption": (bill <= 0) & (use > 0),
+        "nonpositive_bill_with_payment": (bill <= 0) & (paid > 0),
+        "negative_bill": bill < 0,
+        "zero_bill": bill == 0,
+    }
+
+
 def zero_flags(df: DataFrame) -> DataFrame:
-    return count_flags(
-        df,
-        {
-            "nonpositive_bill": F.col("bill_amount") <= 0,
-            "zero_consumption": F.col("consumption_unit") == 0,
-            "zero_contract_load": F.col("contract_load") == 0,
-        },
-    )
+    return count_flags(df, zero_conditions())
 
 
 def date_order_checks(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """(later, earlier) pairs whose later date comes first."""
-    return count_flags(
-        df, {f"{later}_before_{earlier}": F.col(later) < F.col(earlier) for later, earlier in pairs}
-    )
+    return count_flags(df, date_order_conditions(pairs))
 
 
 def billing_context(df: DataFrame) -> DataFrame:
-    """How zero use, bills and payments occur together."""
-    use, bill, paid = F.col("consumption_unit"), F.col("bill_amount"), F.col("payment_amount")
-    return count_flags(
-        df,
-        {
-            "zero_consumption_with_positive_bill": (use == 0) & (bill > 0),
-            "zero_consumption_with_nonpositive_bill": (use == 0) & (bill <= 0),
-            "nonpositive_bill_with_positive_consumption": (bill <= 0) & (use > 0),
-            "nonpositive_bill_with_payment": (bill <= 0) & (paid > 0),
-            "negative_bill": bill < 0,
-            "zero_bill": bill == 0,
-        },
-    )
+    return count_flags(df, billing_conditions())
+
+
+def logical_flags(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """Zero, context and date-order findings together, from one pass over the panel."""
+    return count_flags(df, {**zero_conditions(), **billing_conditions(), **date_order_conditions(pairs)})
 
 
 def review_rows(df: DataFrame, nonnegative: Sequence[str], bill_date: str = "bill_date", connection: str = "connection_date") -> DataFrame:

@@ -30,7 +30,6 @@ def audit(raw: DataFrame, cleaned: DataFrame, first: int, last: int) -> DataFram
         return df.agg(total.alias("n")).select(F.lit(finding).alias("finding"), "n", none.alias("denominator"))
 
     typed = quality.typed_columns(cleaned, schema.NUMERIC_FIELDS, schema.DATE_FIELDS)
-    measures = typed.select(*[F.col(c).alias(c.lower()) for c in ("CONSUMPTION_UNIT", "BILL_AMOUNT", "PAYMENT_AMOUNT", "CONTRACT_LOAD")])
     conversions = quality.conversion_counts(cleaned, schema.NUMERIC_FIELDS, schema.DATE_FIELDS).select(
         "column_name", F.lit("nonblank_conversion_failures").alias("finding"), F.col("failures").alias("n"),
         F.col("values_before").alias("denominator"),
@@ -54,9 +53,7 @@ def audit(raw: DataFrame, cleaned: DataFrame, first: int, last: int) -> DataFram
             "logical", F.col("column_name"),
         ),
         quality.audit_part(blank, "logical"),
-        quality.audit_part(quality.zero_flags(measures), "logical"),
-        quality.audit_part(quality.billing_context(measures), "logical"),
-        quality.audit_part(quality.date_order_checks(typed, schema.DATE_ORDER_PAIRS), "logical"),
+        quality.audit_part(quality.logical_flags(typed, schema.DATE_ORDER_PAIRS), "logical"),
     )
 
 
