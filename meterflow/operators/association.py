@@ -164,21 +164,29 @@ def paired_mean_relevance(
     train: DataFrame, features: Sequence[str], target: str, key: str = "consumer_no"
 ) -> DataFrame:
     """The test for every predictor at once, over the rows complete in predictor and target."""
-    consumers = train.agg(F.count_distinct(key)).scalar()
-    rows = train.select(
-        key, F.col(target).cast("double").alias("_y"), *[F.col(f).cast("double").alias(f) for f in features]
-    )
-    pairs = long_form(rows, features, "feature", "_x", [key, "_y"]).dropna(subset=["_x", "_y"])
-    means = pairs.groupBy("feature", key).agg(
-        F.count("*").alias("_rows"), F.avg("_x").alias("_x"), F.avg("_y").alias("_y")
+    y = F.col(target).cast("double")
+
+    def pair(feature: str) -> Column:
+        x = F.col(feature).cast("double")
+        both = x.isNotNull() & y.isNotNull()
+        return F.struct(
+            F.count_if(both).alias("n"), F.avg(F.when(both, x)).alias("x"), F.avg(F.when(both, y)).alias("y")
+        ).alias(feature)
+
+    # One wide aggregate per consumer; only its rows are turned into one row per predictor.
+    consumers = train.groupBy(key).agg(*[pair(f) for f in features])
+    means = long_form(consumers, features, "feature", "_pair").select(
+        "feature", F.col("_pair.n").alias("_rows"), F.col("_pair.x").alias("_x"), F.col("_pair.y").alias("_y")
     )
-    tested = means.groupBy("feature").agg(
+    present = means.filter("_rows > 0")
+    tested = present.groupBy("feature").agg(
         F.sum("_rows").alias("paired_rows"),
         *_pearson_columns("_x", "_y"),
         skew_g1("_x").alias("predictor_skew"),
         skew_g1("_y").alias("target_skew"),
     )
-    return _with_test(tested).withColumn("excluded_consumers", consumers - F.col("sample_size"))
+    total = train.agg(F.count_distinct(key)).scalar()
+    return _with_test(tested).withColumn("excluded_consumers", total - F.col("sample_size"))
 
 
 # --- distributions by category or class ----------------------------------------------

@@ -16,7 +16,7 @@ from meterflow.sources import extracts, tables
 def load_extracts(spark: SparkSession, folder: str, out: str) -> DataFrame:
     """Read every extract, stop on structural errors, store the text panel by period."""
     rows = extracts.require_valid_extract(extracts.load_history(spark, folder))
-    rows.write.mode("errorifexists").partitionBy("ord").parquet(out)
+    tables.write_panel(rows, out)
     return spark.read.schema(rows.schema).parquet(out)
 
 

@@ -18,16 +18,20 @@ def read_panel(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFr
 
 
 def write_panel(df: DataFrame, path: str, fmt: str = "parquet", partition: str = "ord", mode: str = "errorifexists") -> None:
-    """Store a panel by period. Rows of a period are spread over tasks, not sent to one."""
-    writer = df.write.mode(mode).partitionBy(partition)
+    """Store a panel by period.
+
+    The rebalance gathers the rows of a period, so that not every task writes a file for every
+    period, and splits a period that is too large for one task.
+    """
+    writer = df.hint("rebalance", partition).write.mode(mode).partitionBy(partition)
     if fmt == "csv":
         writer = writer.option("header", True).option("dateFormat", "yyyy-MM-dd")
     writer.format(fmt).save(path)
 
 
 def write_partitions(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """One folder per module and partition."""
-    df.write.mode(mode).partitionBy("module", "partition").parquet(path)
+    """One folder per module and partition, large ones written by several tasks."""
+    df.hint("rebalance", "module", "partition").write.mode(mode).partitionBy("module", "partition").parquet(path)
 
 
 def write_once(df: DataFrame, path: str) -> None:

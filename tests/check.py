@@ -38,6 +38,15 @@ def plain(v):
     return v
 
 
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN"}
+
+
+def type_differences(df, description):
+    """Columns whose type is not the same on both sides."""
+    sql = {d[0]: str(d[1]) for d in description}
+    return [f"{c}: {t} != {sql[c]}" for c, t in df.dtypes if TYPES.get(t, t) != sql[c]]
+
+
 def rows(columns, data):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return sorted((tuple(plain(r[i]) for i in order) for r in data), key=repr)
@@ -54,6 +63,9 @@ def compare(spark, con, entry, folder):
     want = rows(names, con.fetchall())
     if sorted(names) != sorted(df.columns):
         return f"columns {sorted(df.columns)} != {sorted(names)}"
+    types = type_differences(df, con.description)
+    if types:
+        return f"types {types}"
     if len(got) != len(want):
         return f"rows {len(got)} != {len(want)}: only spark {list(set(got) - set(want))[:2]} only sql {list(set(want) - set(got))[:2]}"
     if got != want:
