@@ -276,9 +276,9 @@ def expected_counts(spark, folder):
 # Survival function for 3 degrees of freedom would need erf; for even ones it is a finite sum.
 _CHI = """SELECT CAST(sum(observed) AS BIGINT) AS sample_size, min(expected) AS minimum_expected,
   100.0 * count(*) FILTER (expected < 5) / CAST(count(*) AS DOUBLE) AS percent_expected_below_5,
-  CAST((count(DISTINCT {a}) - 1) * (count(DISTINCT {b}) - 1) AS INT) AS degrees_of_freedom,
-  CASE WHEN min(expected) >= 1 AND 100.0 * count(*) FILTER (expected < 5) / CAST(count(*) AS DOUBLE) <= 20 THEN sum((observed - expected) * (observed - expected) / expected) END AS statistic,
-  CASE WHEN min(expected) >= 1 AND 100.0 * count(*) FILTER (expected < 5) / CAST(count(*) AS DOUBLE) <= 20 THEN 'performed' ELSE 'skipped' END AS status FROM ex"""
+  CASE WHEN count(DISTINCT {a}) >= 2 AND count(DISTINCT {b}) >= 2 THEN CAST((count(DISTINCT {a}) - 1) * (count(DISTINCT {b}) - 1) AS INT) END AS degrees_of_freedom,
+  CASE WHEN count(DISTINCT {a}) >= 2 AND count(DISTINCT {b}) >= 2 AND min(expected) >= 1 AND 100.0 * count(*) FILTER (expected < 5) / CAST(count(*) AS DOUBLE) <= 20 THEN sum((observed - expected) * (observed - expected) / expected) END AS statistic,
+  CASE WHEN count(DISTINCT {a}) >= 2 AND count(DISTINCT {b}) >= 2 AND min(expected) >= 1 AND 100.0 * count(*) FILTER (expected < 5) / CAST(count(*) AS DOUBLE) <= 20 THEN 'performed' ELSE 'skipped' END AS status FROM ex"""
 
 
 @query("chi_square_test", f"WITH {_STABLE_ROWS} {_CHI.format(a='shifting', b='solar_consumer')}",
@@ -492,6 +492,6 @@ def due_day_frequencies(spark, folder):
 
 
 @query("due_day_quartiles", f"""WITH {P1}, d AS (SELECT CAST(dayofmonth(due_date) AS DOUBLE) AS v FROM p1 WHERE {_ELIGIBLE})
-SELECT 'due_day' AS variable, min(v) AS minimum, max(v) AS maximum, avg(v) AS mean, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median, quantile_cont(v, 0.75) AS q3 FROM d""", ["mean"])
+SELECT min(v) AS minimum, max(v) AS maximum, avg(v) AS mean, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median, quantile_cont(v, 0.75) AS q3 FROM d""", ["mean"])
 def due_day_quartiles(spark, folder):
     return payments.due_day_quartiles(asof(spark, folder, panel))

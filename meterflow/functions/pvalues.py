@@ -7,11 +7,16 @@ only the finished row of a test reaches these functions.
 from __future__ import annotations
 
 import math
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The functions travel to the executors as code, which then need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _TINY = 1e-300
 
 

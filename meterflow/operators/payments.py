@@ -98,13 +98,13 @@ def due_day_frequencies(df: DataFrame) -> DataFrame:
 def due_day_quartiles(df: DataFrame) -> DataFrame:
     """Extremes, quartiles and mean of the due day, from the 31 daily counts at most."""
     days = df.filter(_conditions()["outcome_eligible"]).select(
-        F.lit("due_day").alias("variable"), F.dayofmonth("due_date").cast("double").alias("value")
+        F.dayofmonth("due_date").cast("double").alias("value")
     )
-    moments = days.groupBy("variable").agg(
+    names = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    quartiles = exact_quantiles(days, [], "value", names).select(F.struct(*names)).scalar()
+    return days.agg(
         F.min("value").alias("minimum"), F.max("value").alias("maximum"), F.avg("value").alias("mean")
-    )
-    quartiles = exact_quantiles(days, ["variable"], "value", {"q1": 0.25, "median": 0.5, "q3": 0.75})
-    return moments.join(quartiles, "variable")
+    ).withColumns({name: quartiles.getField(name) for name in names})
 
 
 def target_availability(df: DataFrame, targets: dict[str, str]) -> DataFrame:
