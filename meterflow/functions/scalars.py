@@ -92,16 +92,24 @@ def financial_year(day: Column, first_month: int = 4) -> Column:
 def _round_half_even(value: Column, decimals: int) -> Column:
     """value * 10**decimals to the nearest integer, ties to even, judged on the exact double.
 
-    10**decimals is a sum of powers of two, and scaling by a power of two is exact, so the
-    integer and fractional parts are summed separately without rounding error.
+    10**decimals is a sum of powers of two, and scaling by a power of two is exact. The integer
+    parts are added as integers; the fractions are added with the error of each addition kept, so
+    that a value next to a tie is not taken for one.
     """
     powers = [1 << bit for bit in range((10**decimals).bit_length()) if (10**decimals >> bit) & 1]
     parts = [value * F.lit(float(power)) for power in powers]
-    whole = sum((F.floor(part) for part in parts[1:]), F.floor(parts[0]))
-    rest = sum((part - F.floor(part) for part in parts[1:]), parts[0] - F.floor(parts[0]))
-    whole = whole + F.floor(rest)
-    rest = rest - F.floor(rest)
-    up = (rest > 0.5) | ((rest == 0.5) & (F.pmod(whole, F.lit(2)) == 1))
+    whole = F.floor(parts[0])
+    rest, error = parts[0] - whole, F.lit(0.0)
+    for part in parts[1:]:
+        whole = whole + F.floor(part)
+        fraction = part - F.floor(part)
+        total = rest + fraction
+        added = total - rest
+        error = error + (rest - (total - added)) + (fraction - added)
+        rest = total
+    whole, rest = whole + F.floor(rest), rest - F.floor(rest)
+    odd = F.pmod(whole, F.lit(2)) == 1
+    up = (rest > 0.5) | ((rest == 0.5) & ((error > 0) | ((error == 0) & odd)))
     return whole + up.cast("bigint")
 
 
