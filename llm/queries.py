@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from llm.chat import chat_digests, format_chat, write_chat
+from llm.embedding_dedup import embedding_components
 from llm.language import identify_language
 from llm.mixing import mix_sources
 from llm.ngram_jaccard import ngram_jaccard_components
@@ -44,11 +45,16 @@ def op8_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mix_sources(_table(spark, folder, "documents")).taken()
 
 
+def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_components(_table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op3_chat_format": op3_chat_format,
     "op5_token_files": op5_token_files,
     "op7_language_id": op7_language_id,
     "op8_source_mix": op8_source_mix,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 SQL: dict[str, str] = {}
