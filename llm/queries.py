@@ -12,6 +12,7 @@ from llm.embedding_dedup import embedding_components
 from llm.language import identify_language
 from llm.mixing import mix_sources
 from llm.ngram_jaccard import ngram_jaccard_components
+from llm.quality import score_quality
 from llm.token_files import token_index, write_token_files
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -37,6 +38,10 @@ def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_index(write_token_files(_table(spark, folder, "documents"), TOKENIZER))
 
 
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return score_quality(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return identify_language(_table(spark, folder, "documents"))
 
@@ -53,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op3_chat_format": op3_chat_format,
     "op5_token_files": op5_token_files,
+    "op6_quality": op6_quality,
     "op7_language_id": op7_language_id,
     "op8_source_mix": op8_source_mix,
     "op10_embedding_dedup": op10_embedding_dedup,
