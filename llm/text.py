@@ -22,6 +22,9 @@ _white[[9, 10, 11, 12, 13, 32]] = True
 _lower = np.arange(256, dtype=np.uint8)
 _lower[65:91] += 32
 
+_plain = _lower.copy()
+_plain[[c for c in range(128) if not chr(c).isalnum()]] = 32
+
 
 def mix(x: np.ndarray) -> np.ndarray:
     """Bijective scrambling of 64-bit values."""
@@ -78,6 +81,11 @@ def lowered(raw: np.ndarray) -> np.ndarray:
     return _lower[raw]
 
 
+def plained(raw: np.ndarray) -> np.ndarray:
+    """Lower case, and a space for every ASCII byte that is neither letter nor digit."""
+    return _plain[raw]
+
+
 def words(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of every word, and the first word of each text (with the total at the end)."""
     inside = np.zeros(len(raw) + 2, dtype=np.int8)
