@@ -1,31 +1,69 @@
-"""Documents to training files: the stages, each on what its predecessor kept."""
+"""Documents to training files: five stages, each on all that its predecessor kept.
+
+Every stage but the last returns the columns of `documents`. Decisions are joined by document id, and rows without an id, which no
+operator judges, pass the filters; only the mix leaves them out.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from llm.decontaminate import benchmark_hits
+from llm.mixing import mix_sources, mixed_documents
 from llm.ngram_jaccard import ngram_jaccard_components
-from meterflow.session import scratch_path
+from llm.quality import score_quality
+from llm.token_files import token_index, write_token_files
+from meterflow.session import materialize, scratch_path
+
+
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The documents whose ids are not in `gone`, which is stored first so that its size decides how they are joined."""
+    return docs.join(materialize(gone.select("doc_id").distinct(), "gone"), "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return _without(docs, score_quality(docs, labels).where("predicted = 0"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked documents stays: the one with the smallest id."""
-    kept = ngram_jaccard_components(docs).where("doc_id = component_id").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi")
+    return _without(docs, ngram_jaccard_components(docs).where("doc_id <> component_id"))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return _without(docs, benchmark_hits(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as the mix takes them: a row for each epoch, texts cut down to the words taken."""
+    return mixed_documents(docs, mix_sources(docs)).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files, and their index read back from them."""
+    return token_index(write_token_files(docs, public_tokenizers.path("byte_bpe_50k.json")))
 
 
 STAGES = [
-    ("ngram_jaccard", drop_near_copies),
+    ("quality classifier", drop_low_quality),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("benchmark decontamination", drop_contaminated),
+    ("mixing to target weights", mix),
+    ("token files", token_files),
 ]
-#: SQL can't express the stages; tests hold each against a plain version.
+#: SQL can't express the classifier, the search or the tokenizer: the tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        path = scratch_path(spark, f"stage-{name}")
+    for k, (_, stage) in enumerate(STAGES):
+        path = scratch_path(spark, f"stage{k}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs

@@ -188,11 +188,12 @@ def mixed_documents(docs: DataFrame, mix: Mix, id_col: str = "doc_id", text_col:
     spans = mix.spans().groupBy("doc_id", "epoch").agg(
         F.array_sort(F.collect_list(F.struct("from", "to"))).alias("spans"), F.sum(F.col("to") - F.col("from")).alias("words")
     )
-    chosen = spans.join(once, "doc_id").select(F.col("doc_id").alias("_id"), "epoch", "spans", "words", "size")
+    chosen = spans.join(once, "doc_id").withColumn("partly", F.col("words") < F.col("size")).select("doc_id", "spans", "partly")
+    # The other columns travel in a struct, whatever their names.
+    others = [c for c in docs.columns if c != text_col]
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.struct(*[F.col(f"`{c}`") for c in others]).alias("others")).join(chosen, "doc_id")
     # Word by word only where a document is taken in part.
-    pieces = F.regexp_extract_all(F.col(text_col), F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
-    part = F.array_join(
-        F.flatten(F.transform("spans", lambda s: F.slice(F.col("_pieces"), (s["from"] + 1).cast("int"), (s["to"] - s["from"]).cast("int")))), ""
-    )
-    joined = docs.join(chosen, F.col(id_col) == F.col("_id")).withColumn("_pieces", F.when(F.col("words") < F.col("size"), pieces))
-    return joined.withColumn(text_col, F.when(F.col("words") < F.col("size"), part).otherwise(F.col(text_col))).select(*docs.columns)
+    rows = rows.withColumn("pieces", F.when(F.col("partly"), F.regexp_extract_all("text", F.lit(f"{WORD}[\\x20\\x09-\\x0D]*"), F.lit(0))))
+    part = F.array_join(F.flatten(F.transform("spans", lambda s: F.slice("pieces", (s["from"] + 1).cast("int"), (s["to"] - s["from"]).cast("int")))), "")
+    text = F.when(F.col("partly"), part).otherwise(F.col("text")).alias(text_col)
+    return rows.select(*[text if c == text_col else F.col("others")[c].alias(c) for c in docs.columns])
