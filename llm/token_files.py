@@ -35,7 +35,7 @@ from meterflow.session import materialize, scratch_path
 MASK = 0xA282EAD8
 HEAD = np.dtype([("length", "<u8"), ("check", "<u4")])
 #: Different units whose ids a worker remembers; beyond it starts anew.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 20
 _CHUNK = 8 << 20
 _MANIFEST = "file string, part int, records long, tokens long, bytes long, width int"
 
@@ -86,11 +86,9 @@ class Encoder:
         self.cuts = self.tokenizer.normalizer is None and made.startswith("ByteLevel(") and "add_prefix_space=False" in made and "use_regex=True" in made
 
     def plain(self, text: str) -> bytes:
-        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        return array(self.code, self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
 
     def learn(self, units: list[str]) -> None:
-        if len(self.units) + len(units) > REMEMBERED:
-            self.units.clear()
         ids = np.frombuffer(self.plain("".join([" " + x for x in units])), dtype=self.code)
         starts = np.flatnonzero(self.first[ids])
         if len(starts) == len(units) and (not len(starts) or starts[0] == 0):
@@ -110,16 +108,13 @@ class Encoder:
         first = self.plain(units[0])
         del units[0]
         known = self.units
-        try:
-            return first + b"".join([known[x] for x in units])
-        except KeyError:
-            self.learn([x for x in dict.fromkeys(units) if x not in known])
-            if len(known) > REMEMBERED:  # more different units in one text than are remembered
-                known = dict(known)
-        missing = [x for x in dict.fromkeys(units) if x not in known]
-        if missing:  # dropped while the last ones were learned
-            self.learn(missing)
-        return first + b"".join([known[x] if x in known else self.plain(" " + x) for x in units])
+        new = set(units).difference(known)
+        if len(known) + len(new) > REMEMBERED:
+            known.clear()
+            new = set(units)
+        if new:
+            self.learn(list(new))
+        return first + b"".join(map(known.__getitem__, units))
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -223,7 +218,7 @@ def _read(column: str, kind: pa.DataType, value):
 
 
 def _files(manifest: DataFrame) -> DataFrame:
-    return manifest.select("folder", "file", "width", "start").repartition(F.col("file"))
+    return manifest.select("folder", "file", "width", "start").repartition(max(1, manifest.count()), "file")
 
 
 def read_token_files(manifest: DataFrame) -> DataFrame:
