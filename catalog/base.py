@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterflow.functions.scalars import OUTER_WHITE
+
 
 @dataclass(frozen=True)
 class Entry:
@@ -19,6 +21,10 @@ class Entry:
 REGISTRY: dict[str, Entry] = {}
 
 
+def strip_sql(c: str) -> str:
+    return f"regexp_replace({c}, '{OUTER_WHITE}', '', 'g')"
+
+
 def query(name: str, sql: str | None = None, floats: Sequence[str] = (), digits: int = 6):
     """Register a query. Columns in `floats` are rounded alike on both sides."""
 
@@ -86,12 +92,13 @@ p3 AS (
 F3 = """
 f3 AS (
   SELECT o_orderkey,
-    CASE o_orderkey % 11 WHEN 0 THEN '' WHEN 1 THEN 'NA' WHEN 2 THEN 'bad' WHEN 3 THEN ' ' WHEN 4 THEN '?'
-         WHEN 5 THEN '12d' WHEN 6 THEN 'inf' WHEN 7 THEN '-1'
+    CASE o_orderkey % 11 WHEN 0 THEN '' WHEN 1 THEN 'NA' WHEN 2 THEN 'bad'
+         WHEN 3 THEN CASE o_orderkey % 3 WHEN 0 THEN ' ' WHEN 1 THEN chr(9) || chr(10) ELSE chr(160) || ' ' END
+         WHEN 4 THEN '?' WHEN 5 THEN '12d' WHEN 6 THEN 'inf' WHEN 7 THEN '-1' WHEN 8 THEN chr(160) || '75.5' || chr(10)
          ELSE CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) END AS amount_txt,
-    CASE o_orderkey % 7 WHEN 0 THEN '' WHEN 1 THEN '2025-02-30' WHEN 2 THEN '2025-3-1' WHEN 3 THEN 'UNKNOWN X'
+    CASE o_orderkey % 7 WHEN 0 THEN CASE WHEN o_orderkey % 2 = 0 THEN chr(9) ELSE '' END WHEN 1 THEN '2025-02-30' WHEN 2 THEN '2025-3-1' WHEN 3 THEN 'UNKNOWN X'
          ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS date_txt,
-    CASE o_orderkey % 5 WHEN 0 THEN lower(o_orderpriority) WHEN 1 THEN ' ' || o_orderpriority
+    CASE o_orderkey % 5 WHEN 0 THEN lower(o_orderpriority) WHEN 1 THEN ' ' || o_orderpriority WHEN 2 THEN o_orderpriority || chr(9) || chr(160)
          ELSE o_orderpriority END AS category_txt
   FROM orders)
 """

@@ -4,14 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base import F3, P1, query
+from catalog.base import F3, P1, query, strip_sql
 from meterflow import schema
-from meterflow.functions.scalars import to_day, to_number
+from meterflow.functions.scalars import NUMBER_PATTERN, is_blank, to_day, to_number
 from meterflow.operators import quality
 from meterflow.sources import bindings
 
-_NUM = r"""regexp_matches({0}, '^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf(inity)?))\s*$')"""
-_NUMBER = f"CASE WHEN {_NUM} THEN TRY_CAST(trim({{0}}) AS DOUBLE) END"
+class _Number(str):
+    """A number's SQL, to be formatted with the column."""
+
+    def format(self, c):
+        text = strip_sql(c)
+        return f"CASE WHEN regexp_matches({text}, '{NUMBER_PATTERN}') THEN TRY_CAST({text} AS DOUBLE) END"
+
+
+_NUMBER = _Number()
 _DAY = r"CASE WHEN regexp_matches({0}, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$') THEN TRY_CAST({0} AS DATE) END"
 
 
@@ -47,7 +54,7 @@ _NA = ", ".join(f"'{v}'" for v in schema.CONVENTIONAL_NA)
 def _profile_sql(column: str, typed: str) -> str:
     return f"""SELECT '{column}' AS column_name, count(*) AS n_rows, count(*) FILTER ({column} IN ({_NA})) AS conventional_missing,
   100.0 * count(*) FILTER ({column} IN ({_NA})) / CAST(count(*) AS DOUBLE) AS conventional_percent,
-  count(*) FILTER (trim({column}) = '') AS blank_rows, count(*) FILTER ({typed} IS NULL) AS typed_missing FROM f3"""
+  count(*) FILTER ({strip_sql(column)} = '') AS blank_rows, count(*) FILTER ({typed} IS NULL) AS typed_missing FROM f3"""
 
 
 @query(
@@ -70,7 +77,7 @@ _TOK = ", ".join(f"'{v}'" for v in schema.MISSING_TOKENS)
 @query("disguised_missing", f"""WITH {F3}, c AS (
   SELECT 'amount_txt' AS column_name, amount_txt AS original_value FROM f3 UNION ALL SELECT 'date_txt', date_txt FROM f3
   UNION ALL SELECT 'category_txt', category_txt FROM f3),
-n AS (SELECT *, upper(trim(original_value)) AS norm FROM c)
+n AS (SELECT *, upper({strip_sql('original_value')}) AS norm FROM c)
 SELECT column_name, original_value, CASE WHEN norm = '' THEN '[blank/whitespace]' WHEN norm IN ({_TOK}) THEN norm ELSE '[other candidate]' END AS label,
   count(*) AS n FROM n
 WHERE norm IN ({_TOK}) OR regexp_matches(norm, '^[?.*_-]+$') OR norm LIKE 'UNKNOWN%' OR norm LIKE 'MISSING%' OR norm LIKE 'NOT AVAILABLE%'
@@ -81,14 +88,14 @@ def disguised_missing(spark, folder):
     )
 
 
-@query("artifact_profile", """WITH t AS (SELECT CASE WHEN o_orderkey % 1000 = 7 THEN 'x' || CAST(o_custkey % 3 AS VARCHAR) WHEN o_orderkey % 2 = 0 THEN ' ' ELSE '' END AS a FROM orders)
-SELECT count(*) AS total_rows, count(*) FILTER (trim(a) = '') AS blank_rows, count(*) FILTER (trim(a) <> '') AS nonblank_rows,
-  count(DISTINCT CASE WHEN trim(a) <> '' THEN a END) AS distinct_nonblank, count(*) FILTER (trim(a) <> '') = 0 AS droppable FROM t""")
+@query("artifact_profile", f"""WITH t AS (SELECT CASE WHEN o_orderkey % 1000 = 7 THEN 'x' || CAST(o_custkey % 3 AS VARCHAR) WHEN o_orderkey % 2 = 0 THEN chr(9) || ' ' ELSE '' END AS a FROM orders)
+SELECT count(*) AS total_rows, count(*) FILTER ({strip_sql('a')} = '') AS blank_rows, count(*) FILTER ({strip_sql('a')} <> '') AS nonblank_rows,
+  count(DISTINCT CASE WHEN {strip_sql('a')} <> '' THEN a END) AS distinct_nonblank, count(*) FILTER ({strip_sql('a')} <> '') = 0 AS droppable FROM t""")
 def artifact_profile(spark, folder):
     key = F.col("o_orderkey")
     rows = bindings.table(spark, folder, "orders").select(
         F.when(key % 1000 == 7, F.concat(F.lit("x"), (F.col("o_custkey") % 3).cast("string")))
-        .when(key % 2 == 0, " ")
+        .when(key % 2 == 0, "\t ")
         .otherwise("")
         .alias("_trailing")
     )
@@ -96,7 +103,7 @@ def artifact_profile(spark, folder):
 
 
 @query("to_number", f"""WITH {F3} SELECT o_orderkey, CASE WHEN isinf({_NUMBER.format('amount_txt')}) THEN NULL ELSE {_NUMBER.format('amount_txt')} END AS amount,
-  CASE WHEN trim(amount_txt) = '' THEN 'blank' WHEN {_NUMBER.format('amount_txt')} IS NULL THEN 'failed'
+  CASE WHEN {strip_sql('amount_txt')} = '' THEN 'blank' WHEN {_NUMBER.format('amount_txt')} IS NULL THEN 'failed'
        WHEN isinf({_NUMBER.format('amount_txt')}) THEN 'nonfinite' ELSE 'number' END AS kind FROM f3""")
 def to_number_(spark, folder):
     value = to_number(F.col("amount_txt"))
@@ -104,7 +111,7 @@ def to_number_(spark, folder):
     return bindings.dirty_orders(spark, folder).select(
         "o_orderkey",
         F.when(~infinite, value).alias("amount"),
-        F.when(F.trim("amount_txt") == "", "blank")
+        F.when(is_blank(F.col("amount_txt")), "blank")
         .when(value.isNull(), "failed")
         .when(infinite, "nonfinite")
         .otherwise("number")
@@ -119,17 +126,17 @@ def to_day_(spark, folder):
     )
 
 
-@query("conversion_counts", f"""WITH {F3} SELECT 'amount_txt' AS column_name, count(*) AS values_before, count(*) FILTER (trim(amount_txt) <> '') AS nonblank_before,
-  count(*) FILTER (trim(amount_txt) = '') AS blank_to_missing, count(*) FILTER (trim(amount_txt) <> '' AND {_NUMBER.format('amount_txt')} IS NULL) AS failures FROM f3
-UNION ALL SELECT 'date_txt', count(*), count(*) FILTER (trim(date_txt) <> ''), count(*) FILTER (trim(date_txt) = ''),
-  count(*) FILTER (trim(date_txt) <> '' AND {_DAY.format('date_txt')} IS NULL) FROM f3""")
+@query("conversion_counts", f"""WITH {F3} SELECT 'amount_txt' AS column_name, count(*) AS values_before, count(*) FILTER ({strip_sql('amount_txt')} <> '') AS nonblank_before,
+  count(*) FILTER ({strip_sql('amount_txt')} = '') AS blank_to_missing, count(*) FILTER ({strip_sql('amount_txt')} <> '' AND {_NUMBER.format('amount_txt')} IS NULL) AS failures FROM f3
+UNION ALL SELECT 'date_txt', count(*), count(*) FILTER ({strip_sql('date_txt')} <> ''), count(*) FILTER ({strip_sql('date_txt')} = ''),
+  count(*) FILTER ({strip_sql('date_txt')} <> '' AND {_DAY.format('date_txt')} IS NULL) FROM f3""")
 def conversion_counts(spark, folder):
     return quality.conversion_counts(bindings.dirty_orders(spark, folder), ["amount_txt"], ["date_txt"])
 
 
 @query("conversion_failures", f"""WITH {F3} SELECT o_orderkey, 'amount_txt' AS column_name, amount_txt AS original_value FROM f3
-WHERE trim(amount_txt) <> '' AND {_NUMBER.format('amount_txt')} IS NULL
-UNION ALL SELECT o_orderkey, 'date_txt', date_txt FROM f3 WHERE trim(date_txt) <> '' AND {_DAY.format('date_txt')} IS NULL""")
+WHERE {strip_sql('amount_txt')} <> '' AND {_NUMBER.format('amount_txt')} IS NULL
+UNION ALL SELECT o_orderkey, 'date_txt', date_txt FROM f3 WHERE {strip_sql('date_txt')} <> '' AND {_DAY.format('date_txt')} IS NULL""")
 def conversion_failures(spark, folder):
     return quality.conversion_failures(
         bindings.dirty_orders(spark, folder), ["o_orderkey"], ["amount_txt"], ["date_txt"]
@@ -265,7 +272,7 @@ def review_rows(spark, folder):
 
 
 @query("category_collisions", f"""WITH {F3}, s AS (SELECT DISTINCT 'category_txt' AS column_name, category_txt AS spelling FROM f3)
-SELECT column_name, upper(trim(spelling)) AS normal, count(*) AS n_spellings, min(spelling) AS first_spelling, max(spelling) AS last_spelling
+SELECT column_name, upper({strip_sql('spelling')}) AS normal, count(*) AS n_spellings, min(spelling) AS first_spelling, max(spelling) AS last_spelling
 FROM s GROUP BY 1, 2 HAVING count(*) > 1""")
 def category_collisions(spark, folder):
     return quality.category_collisions(bindings.dirty_orders(spark, folder), ["category_txt"])
@@ -302,8 +309,8 @@ AUDIT = (
     f"{ODD}, {F3}, dup AS (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1), a0 AS ("
     + " UNION ALL ".join([
         "SELECT 'duplicates' AS section, '' AS column_name, 'duplicate_key_rows' AS finding, CAST(coalesce(sum(n), 0) AS BIGINT) AS n, CAST(NULL AS BIGINT) AS denominator FROM dup",
-        f"SELECT 'conversion', 'amount_txt', 'nonblank_conversion_failures', count(*) FILTER (trim(amount_txt) <> '' AND {_NUMBER.format('amount_txt')} IS NULL), count(*) FROM f3",
-        f"SELECT 'conversion', 'date_txt', 'nonblank_conversion_failures', count(*) FILTER (trim(date_txt) <> '' AND {_DAY.format('date_txt')} IS NULL), count(*) FROM f3",
+        f"SELECT 'conversion', 'amount_txt', 'nonblank_conversion_failures', count(*) FILTER ({strip_sql('amount_txt')} <> '' AND {_NUMBER.format('amount_txt')} IS NULL), count(*) FROM f3",
+        f"SELECT 'conversion', 'date_txt', 'nonblank_conversion_failures', count(*) FILTER ({strip_sql('date_txt')} <> '' AND {_DAY.format('date_txt')} IS NULL), count(*) FROM f3",
         *[f"SELECT 'logical', '{c}', 'negative_value', count(*) FILTER ({c} < 0), count(*) FROM odd" for c in _SIGNED],
         _findings("logical", _ZERO),
         _findings("logical", _CONTEXT),

@@ -5,18 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NUMBER_PATTERN = r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf(inity)?))\s*$"
+NUMBER_PATTERN = r"^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf(inity)?))\z"
+# White space of every kind, as a class that both regular expression dialects read alike.
+WHITE = r"[\t-\r\x1c-\x1f \x85\p{Z}]"
+OUTER_WHITE = rf"^{WHITE}+|{WHITE}+\z"
 DAY_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 MONTH_PATTERN = r"^[0-9]{4}-(0[1-9]|1[0-2])$"
 
 
+def stripped(c: Column) -> Column:
+    """Without white space of any kind at both ends."""
+    return F.regexp_replace(c, OUTER_WHITE, "")
+
+
 def is_blank(c: Column) -> Column:
-    return F.trim(c) == ""
+    return stripped(c) == ""
 
 
 def to_number(c: Column) -> Column:
     """Double, or NULL where the text is not a plain number ('12d' is not one)."""
-    return F.when(c.rlike(NUMBER_PATTERN), F.trim(c).try_cast("double"))
+    text = stripped(c)
+    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
 
 
 def to_day(c: Column) -> Column:

@@ -16,6 +16,7 @@ from meterflow.functions.scalars import (
     is_finite,
     month_ordinal,
     period_ordinal,
+    stripped,
     to_day,
     to_number,
 )
@@ -95,7 +96,7 @@ def disguised_missing(df: DataFrame, columns: Sequence[str], tokens: Sequence[st
     Candidates are filtered before the shuffle, so identifiers never reach it.
     """
     cells = long_form(df, columns, "column_name", "original_value")
-    norm = F.upper(F.trim("original_value"))
+    norm = F.upper(stripped(F.col("original_value")))
     other = norm.rlike(r"^[?\-.*_]+$") | reduce(
         Column.__or__, [norm.startswith(p) for p in schema.MISSING_PREFIXES]
     )
@@ -292,7 +293,7 @@ def category_collisions(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Spellings that become equal after trimming and upper-casing."""
     spellings = long_form(df, columns, "column_name", "spelling").distinct()
     return (
-        spellings.groupBy("column_name", F.upper(F.trim("spelling")).alias("normal"))
+        spellings.groupBy("column_name", F.upper(stripped(F.col("spelling"))).alias("normal"))
         .agg(
             F.count("*").alias("n_spellings"),
             F.min("spelling").alias("first_spelling"),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterflow import schema
-from meterflow.functions.scalars import flag
+from meterflow.functions.scalars import flag, is_blank
 from meterflow.operators import calendar, features, quality
 from meterflow.sources import extracts, tables
 
@@ -36,7 +36,7 @@ def audit(raw: DataFrame, cleaned: DataFrame, first: int, last: int) -> DataFram
     )
     signs = quality.sign_checks(typed, schema.NUMERIC_FIELDS, schema.NONNEGATIVE_FIELDS)
     coverage = extracts.period_coverage(cleaned.select("ord").distinct(), first, last).filter("status <> 'ok'")
-    blank = quality.count_flags(cleaned, {"missing_consumer_identifier": F.trim("CONSUMER_NO") == ""})
+    blank = quality.count_flags(cleaned, {"missing_consumer_identifier": is_blank(F.col("CONSUMER_NO"))})
     return quality.audit_table(
         quality.audit_part(found(coverage.withColumn("one", F.lit(1)), "uncovered_periods", "one"), "coverage"),
         quality.audit_part(found(quality.duplicate_keys(raw, keys, []), "duplicate_key_rows", "member_rows"), "duplicates"),

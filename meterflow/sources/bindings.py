@@ -110,14 +110,15 @@ def user_days(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dirty_orders(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders as text with blanks, tokens, malformed numbers and malformed dates."""
+    """Orders as text with blanks, white space of several kinds, tokens, malformed numbers and malformed dates."""
     key = F.col("o_orderkey")
-    bad_amounts = ["", "NA", "bad", " ", "?", "12d", "inf", "-1"]
+    blank = F.when(key % 3 == 0, " ").when(key % 3 == 1, "\t\n").otherwise("\xa0 ")
+    bad_amounts = ["", "NA", "bad", blank, "?", "12d", "inf", "-1", "\xa075.5\n"]
     amount = F.col("o_totalprice").cast("decimal(12,2)").cast("string")
     for rest, text in reversed(list(enumerate(bad_amounts))):
         amount = F.when(key % 11 == rest, text).otherwise(amount)
     day = F.col("o_orderdate").cast("date").cast("string")
-    for rest, text in reversed(list(enumerate(["", "2025-02-30", "2025-3-1", "UNKNOWN X"]))):
+    for rest, text in reversed(list(enumerate([F.when(key % 2 == 0, "\t").otherwise(""), "2025-02-30", "2025-3-1", "UNKNOWN X"]))):
         day = F.when(key % 7 == rest, text).otherwise(day)
     priority = F.col("o_orderpriority")
     return table(spark, folder, "orders").select(
@@ -126,6 +127,7 @@ def dirty_orders(spark: SparkSession, folder: str) -> DataFrame:
         day.alias("date_txt"),
         F.when(key % 5 == 0, F.lower(priority))
         .when(key % 5 == 1, F.concat(F.lit(" "), priority))
+        .when(key % 5 == 2, F.concat(priority, F.lit("\t\xa0")))
         .otherwise(priority)
         .alias("category_txt"),
     )
