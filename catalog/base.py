@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterflow.functions.scalars import OUTER_WHITE
+from meterflow.functions.scalars import WHITE
 
 
 @dataclass(frozen=True)
@@ -22,7 +22,7 @@ REGISTRY: dict[str, Entry] = {}
 
 
 def strip_sql(c: str) -> str:
-    return f"regexp_replace({c}, '{OUTER_WHITE}', '', 'g')"
+    return f"trim({c}, '{WHITE}')"
 
 
 def query(name: str, sql: str | None = None, floats: Sequence[str] = (), digits: int = 6):

@@ -6,16 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 NUMBER_PATTERN = r"^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf(inity)?))\z"
-# White space of every kind, as a class that both regular expression dialects read alike.
-WHITE = r"[\t-\r\x1c-\x1f \x85\p{Z}]"
-OUTER_WHITE = rf"^{WHITE}+|{WHITE}+\z"
+# Every character that Unicode counts as white space, and the four separators of ASCII.
+WHITE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 DAY_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 MONTH_PATTERN = r"^[0-9]{4}-(0[1-9]|1[0-2])$"
 
 
 def stripped(c: Column) -> Column:
     """Without white space of any kind at both ends."""
-    return F.regexp_replace(c, OUTER_WHITE, "")
+    return F.btrim(c, F.lit(WHITE))
 
 
 def is_blank(c: Column) -> Column:
