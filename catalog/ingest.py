@@ -68,22 +68,19 @@ def discover_periods(spark, folder):
 
 
 @query("period_coverage", f"""WITH r AS (
-  SELECT {_ORDER_ORD} AS ord, o_orderpriority FROM orders WHERE o_custkey % 7 = 0 AND {_ORDER_ORD} % 5 <> 0
-  GROUP BY 1, 2 HAVING count(*) > 0 AND (ord % 3 = 0 OR o_orderpriority = '5-LOW')),
+  SELECT DISTINCT {_ORDER_ORD} AS ord, CASE WHEN {_ORDER_ORD} % 3 = 0 THEN o_orderpriority ELSE '' END AS file FROM orders),
 o AS (SELECT ord, count(*) AS n FROM r GROUP BY ord),
-e AS (SELECT CAST(i AS INT) AS ord FROM range(23940, 24031) t(i)),
+e AS (SELECT CAST(i AS INT) AS ord FROM range(23945, 24031) t(i)),
 j AS (SELECT coalesce(e.ord, o.ord) AS ord, coalesce(o.n, 0) AS n_records, e.ord IS NOT NULL AS wanted FROM e FULL JOIN o ON o.ord = e.ord)
 SELECT ord, lpad(CAST(ord // 12 AS VARCHAR), 4, '0') || '-' || lpad(CAST(ord % 12 + 1 AS VARCHAR), 2, '0') AS period, n_records,
   CASE WHEN n_records = 0 THEN 'missing' WHEN NOT wanted THEN 'extra' WHEN n_records > 1 THEN 'duplicate' ELSE 'ok' END AS status
 FROM j""")
 def period_coverage(spark, folder):
-    orders = bindings.table(spark, folder, "orders").filter("o_custkey % 7 = 0")
-    records = (
-        orders.select(month_ordinal(F.col("o_orderdate").cast("date")).alias("ord"), "o_orderpriority")
-        .filter((F.col("ord") % 5 != 0) & ((F.col("ord") % 3 == 0) | (F.col("o_orderpriority") == "5-LOW")))
-        .distinct()
-    )
-    return extracts.period_coverage(records, 23940, 24030)
+    """One record per month, and one per priority in every third month; the expected span begins and ends later than the orders."""
+    month = month_ordinal(F.col("o_orderdate").cast("date"))
+    file = F.when(month % 3 == 0, F.col("o_orderpriority")).otherwise("")
+    records = bindings.table(spark, folder, "orders").select(month.alias("ord"), file.alias("file")).distinct()
+    return extracts.period_coverage(records, 23945, 24030)
 
 
 @query("period_agreement", f"""WITH t AS (SELECT {_ORDER_ORD} AS ord,
@@ -198,9 +195,11 @@ SELECT 'passed' AS status, np AS file_count, n AS total_rows, (SELECT count(*) F
   {_PERIOD.format('lo')} AS first_actual_month, {_PERIOD.format('hi')} AS latest_actual_month,
   {_PERIOD.format('(hi + 1)')} AS next_prediction_month, CAST(0 AS BIGINT) AS duplicate_consumer_month_rows,
   (SELECT count(*) FROM g WHERE f > lo) AS late_joiner_consumers, CAST(0 AS BIGINT) AS unverifiable_connection_date_rows,
-  CAST(0 AS BIGINT) AS inconsistent_connection_date_consumers, CAST(0 AS BIGINT) AS rows_before_connection FROM s""")
+  CAST(0 AS BIGINT) AS inconsistent_connection_date_consumers, CAST(0 AS BIGINT) AS rows_before_connection,
+  (SELECT CAST(to_json(list({{'period': {_PERIOD.format('ord')}, 'rows': rows, 'consumers': consumers}} ORDER BY ord)) AS VARCHAR)
+   FROM (SELECT ord, count(*) AS rows, count(DISTINCT consumer_no) AS consumers FROM p1 GROUP BY ord)) AS files FROM s""")
 def loading_summary(spark, folder):
-    return extracts.loading_summary(bindings.supplier_months(spark, folder)).drop("files")
+    return extracts.loading_summary(bindings.supplier_months(spark, folder))
 
 
 @query("incremental_periods", f"""WITH {P3} SELECT ord, count(*) AS n_rows, count(DISTINCT consumer_no) AS n_consumers,

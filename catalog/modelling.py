@@ -136,14 +136,16 @@ def persistence_baseline(spark, folder):
     return rows.select("partition", "consumer_no", "target_ord", "target", "prediction")
 
 
-@query("majority_baseline", f"""WITH {_TR.format(SPLITS, "anomaly")}, m AS (SELECT CAST(CASE WHEN count(*) FILTER (target = 1) > count(*) FILTER (target = 0) THEN 1 ELSE 0 END AS INT) AS predicted_class, avg(target) AS probability FROM tr)
-SELECT consumer_no, target_ord, target, predicted_class, probability FROM sp, m WHERE module = 'anomaly' AND "partition" = 'FINAL_TEST'""", ["probability"])
+@query("majority_baseline", f"""WITH {SPLITS}, m AS (SELECT module AS name, CAST(CASE WHEN count(*) FILTER (target = 1) > count(*) FILTER (target = 0) THEN 1 ELSE 0 END AS INT) AS predicted_class, avg(target) AS probability
+  FROM sp WHERE "partition" = 'TRAIN' AND module <> 'consumption' GROUP BY module)
+SELECT module, "partition", consumer_no, target_ord, target, predicted_class, probability FROM sp JOIN m ON m.name = sp.module""", ["probability"])
 def majority_baseline(spark, folder):
-    rows = stored_split(spark, folder).filter("module = 'anomaly'")
-    scored = baselines.majority(
-        rows.filter(F.col("partition") == "TRAIN"), rows.filter(F.col("partition") == "FINAL_TEST")
-    )
-    return scored.select("consumer_no", "target_ord", "target", "predicted_class", "probability")
+    rows = stored_split(spark, folder)
+    parts = []
+    for name in ("revenue", "anomaly"):
+        own = rows.filter(F.col("module") == name)
+        parts.append(baselines.majority(own.filter(F.col("partition") == "TRAIN"), own))
+    return reduce(DataFrame.unionByName, parts).select("module", "partition", "consumer_no", "target_ord", "target", "predicted_class", "probability")
 
 
 @query("balanced_weights", f"""WITH {_TR.format(SPLITS, "revenue")}, c AS (SELECT target AS t, count(*) AS n FROM tr GROUP BY target)
@@ -271,18 +273,17 @@ def average_precision(spark, folder):
     return metrics.average_precision(scored_rules(spark, folder), "y", "p", ["module", "stage", "configuration"])
 
 
-@query("roc_points", f"""WITH {RANK_SQL} SELECT configuration, p, fp / nn AS fpr, tp / np AS tpr FROM cu WHERE module = 'revenue' AND stage = 'VALIDATION'
-UNION ALL SELECT DISTINCT configuration, CAST(NULL AS DOUBLE), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE) FROM cu WHERE module = 'revenue' AND stage = 'VALIDATION'""", ["p", "fpr", "tpr"], 9)
+@query("roc_points", f"""WITH {RANK_SQL} SELECT module, stage, configuration, p, fp / nn AS fpr, tp / np AS tpr FROM cu
+UNION ALL SELECT DISTINCT module, stage, configuration, CAST(NULL AS DOUBLE), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE) FROM cu""", ["p", "fpr", "tpr"], 9)
 def roc_points(spark, folder):
-    rows = scored_rules(spark, folder, ["revenue"]).filter("stage = 'VALIDATION'")
-    return metrics.roc_points(rows, "y", "p", ["configuration"])
+    return metrics.roc_points(scored_rules(spark, folder), "y", "p", ["module", "stage", "configuration"])
 
 
-@query("confusion_matrix", f"""WITH {SCORED}, t AS (SELECT y, label FROM sc WHERE module = 'anomaly' AND stage = 'FINAL_TEST' AND configuration = 'TRAIN-majority')
-SELECT CAST(a AS INT) AS actual, CAST(b AS INT) AS predicted, (SELECT count(*) FROM t WHERE y = a AND label = b) AS n FROM range(2) x(a), range(2) z(b)""")
+@query("confusion_matrix", f"""WITH {SCORED}
+SELECT module, stage, configuration, CAST(a AS INT) AS actual, CAST(b AS INT) AS predicted, count(*) FILTER (y = a AND label = b) AS n
+FROM sc, range(2) x(a), range(2) z(b) GROUP BY ALL""")
 def confusion_matrix(spark, folder):
-    rows = scored_rules(spark, folder, ["anomaly"]).filter("stage = 'FINAL_TEST' AND configuration = 'TRAIN-majority'")
-    return metrics.confusion_matrix(rows, "y", "label")
+    return metrics.confusion_matrix(scored_rules(spark, folder), "y", "label", ["module", "stage", "configuration"])
 
 
 @query("class_distribution", f"""WITH {SPLITS}, l AS (SELECT module, "partition", target FROM sp WHERE module <> 'consumption' AND target IS NOT NULL),

@@ -254,11 +254,11 @@ _CELLS = """cells AS (SELECT x.{a}, y.{b}, coalesce(c.n, 0) AS observed FROM (SE
 _EXPECTED = """ex AS (SELECT *, CAST(sum(observed) OVER (PARTITION BY {a}) AS DOUBLE) * CAST(sum(observed) OVER (PARTITION BY {b}) AS DOUBLE) / CAST(sum(observed) OVER () AS DOUBLE) AS expected FROM cells)"""
 
 
-@query("crosstab_counts", f"""WITH {P1}, x1 AS (SELECT tarrif, solar_consumer FROM p1 WHERE NOT (tarrif = 'ASIA' AND solar_consumer = 'Y')), {_CELLS.format(a='tarrif', b='solar_consumer', s='x1')} SELECT * FROM cells""")
+@query("crosstab_counts", f"""WITH {P1}, x1 AS (SELECT CAST(ord // 12 AS VARCHAR) AS year, solar_consumer FROM p1), {_CELLS.format(a='year', b='solar_consumer', s='x1')} SELECT * FROM cells""")
 def crosstab_counts(spark, folder):
-    """One combination is taken out, so that a zero cell has to be filled."""
-    rows = p1(spark, folder).filter(~((F.col("tarrif") == "ASIA") & (F.col("solar_consumer") == "Y")))
-    return association.crosstab_counts(rows, "tarrif", "solar_consumer")
+    """No consumer is solar in the first years: those cells have to be filled with zeros."""
+    rows = p1(spark, folder).select(F.floor(F.col("ord") / 12).cast("string").alias("year"), "solar_consumer")
+    return association.crosstab_counts(rows, "year", "solar_consumer")
 
 
 _STABLE_ROWS = f"{P2_GROUPS}, {_STABLE}, kept AS (SELECT * FROM stable WHERE included), {_CELLS.format(a='shifting', b='solar_consumer', s='kept')}, {_EXPECTED.format(a='shifting', b='solar_consumer')}"
@@ -365,33 +365,30 @@ def class_feature_stats(spark, folder):
     return association.class_feature_stats(train(spark, folder, "revenue"), _REVENUE_NUMERIC, "target")
 
 
-_REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE"]
+def labelled_groups(spark, folder):
+    """P2 with a label that most consumers keep: whether a month's bills come to more than 150,000."""
+    return p2_groups(spark, folder).withColumn("label", (F.col("bill_amount") > 150_000).cast("int"))
 
 
-def recent_train(spark, folder):
-    """Few months per consumer, so that some consumers keep one label throughout."""
-    return train(spark, folder, "revenue").filter("target_ord >= 24004").withColumn("label", F.col("target").cast("int"))
+_LABELLED = f"""{P2_GROUPS}, rt AS (SELECT consumer_no, shifting, CAST(CAST(bill_amount > 150000 AS INT) AS VARCHAR) AS label FROM pg),
+st AS (SELECT consumer_no, min(shifting) AS shifting, min(label) AS label, count(DISTINCT shifting) > 1 AS ct, count(DISTINCT label) > 1 AS cl,
+   NOT bool_and(shifting IN ({_SEG})) AS bad FROM rt GROUP BY 1),
+kept AS (SELECT * FROM st WHERE NOT ct AND NOT cl AND NOT bad),
+{_CELLS.format(a='shifting', b='label', s='kept')}, {_EXPECTED.format(a='shifting', b='label')}"""
 
 
-@query("stable_chi_square", f"""WITH {_TRAIN.format('revenue')}, rt AS (SELECT consumer_no, tarrif, CAST(CAST(target AS INT) AS VARCHAR) AS label FROM tr WHERE target_ord >= 24004),
-st AS (SELECT consumer_no, min(tarrif) AS tarrif, min(label) AS label, count(DISTINCT tarrif) > 1 AS ct, count(DISTINCT label) > 1 AS cl,
-   NOT bool_and(tarrif IN ('AFRICA', 'AMERICA', 'ASIA', 'EUROPE')) AS bad FROM rt GROUP BY 1),
-kept AS (SELECT * FROM st WHERE NOT ct AND NOT cl AND NOT bad),
-{_CELLS.format(a='tarrif', b='label', s='kept')}, {_EXPECTED.format(a='tarrif', b='label')}, t AS ({_CHI.format(a='tarrif', b='label')})
-SELECT t.*, 'tarrif' AS feature, (SELECT count(*) FILTER (ct OR cl OR bad) FROM st) AS excluded_consumers, (SELECT count(*) FILTER (ct) FROM st) AS changing_feature_consumers,
+@query("stable_chi_square", f"""WITH {_LABELLED}, t AS ({_CHI.format(a='shifting', b='label')})
+SELECT t.*, 'shifting' AS feature, (SELECT count(*) FILTER (ct OR cl OR bad) FROM st) AS excluded_consumers, (SELECT count(*) FILTER (ct) FROM st) AS changing_feature_consumers,
   (SELECT count(*) FILTER (cl) FROM st) AS changing_target_consumers, (SELECT count(*) FILTER (bad) FROM st) AS invalid_category_consumers FROM t""",
     ["minimum_expected", "percent_expected_below_5", "statistic"])
 def stable_chi_square(spark, folder):
-    test, _ = association.stable_chi_square(recent_train(spark, folder), "tarrif", "label", _REGIONS)
+    test, _ = association.stable_chi_square(labelled_groups(spark, folder), "shifting", "label", SEGMENTS)
     return test.drop("p_value")
 
 
-@query("stable_contingency", f"""WITH {_TRAIN.format('revenue')}, rt AS (SELECT consumer_no, tarrif, CAST(CAST(target AS INT) AS VARCHAR) AS label FROM tr WHERE target_ord >= 24004),
-st AS (SELECT consumer_no, min(tarrif) AS tarrif, min(label) AS label, count(DISTINCT label) > 1 AS cl, NOT bool_and(tarrif IN ('AFRICA', 'AMERICA', 'ASIA', 'EUROPE')) AS bad FROM rt GROUP BY 1),
-kept AS (SELECT * FROM st WHERE NOT cl AND NOT bad),
-{_CELLS.format(a='tarrif', b='label', s='kept')}, {_EXPECTED.format(a='tarrif', b='label')} SELECT * FROM ex""", ["expected"])
+@query("stable_contingency", f"WITH {_LABELLED} SELECT * FROM ex", ["expected"])
 def stable_contingency(spark, folder):
-    _, cells = association.stable_chi_square(recent_train(spark, folder), "tarrif", "label", _REGIONS)
+    _, cells = association.stable_chi_square(labelled_groups(spark, folder), "shifting", "label", SEGMENTS)
     return cells
 
 

@@ -10,16 +10,16 @@ from meterflow.operators import evaluate, serving, splits
 from meterflow.session import materialize
 from meterflow.sources import bindings
 
-# Next-month rule predictions; some consumers lack one of the three sets.
+# Next-month rule predictions; a consumer without a rule's inputs lacks that prediction.
 PREDICTIONS = (
     SPLITS
     + """,
 fu AS (SELECT * FROM sp WHERE "partition" = 'FUTURE' AND module = 'consumption'),
-pa AS (SELECT consumer_no, target_ord, coalesce(recent_mean_3, current_consumption) AS prediction FROM fu WHERE consumer_no % 7 <> 0),
+pa AS (SELECT consumer_no, target_ord, coalesce(recent_mean_3, current_consumption) AS prediction FROM fu WHERE recent_mean_3 IS NOT NULL),
 pb AS (SELECT consumer_no, target_ord, CAST(q > 0.5 AS INT) AS predicted_class, q AS probability
-  FROM (SELECT consumer_no, target_ord, 1 - least(1, coalesce(payment_ratio_current, 0)) AS q FROM fu WHERE consumer_no % 5 <> 0)),
+  FROM (SELECT consumer_no, target_ord, 1 - least(1, coalesce(payment_ratio_current, 0)) AS q FROM fu WHERE payment_ratio_current IS NOT NULL)),
 pc AS (SELECT consumer_no, target_ord, CAST(q > 0.3 AS INT) AS predicted_class, q AS probability
-  FROM (SELECT consumer_no, target_ord, coalesce(recent_std_3 / (recent_std_3 + recent_mean_3), 0) AS q FROM fu WHERE consumer_no % 11 <> 0))
+  FROM (SELECT consumer_no, target_ord, coalesce(recent_std_3 / (recent_std_3 + recent_mean_3), 0) AS q FROM fu WHERE recent_std_3 IS NOT NULL))
 """
 )
 SERVED = (
@@ -46,11 +46,11 @@ def future(spark, folder):
 def rule_predictions(rows):
     """(consumption, revenue, anomaly) for the rows to be scored."""
     keys = ["consumer_no", "target_ord"]
-    a = rows.filter("consumer_no % 7 <> 0").select(*keys, F.coalesce("recent_mean_3", "current_consumption").alias("prediction"))
+    a = rows.filter("recent_mean_3 IS NOT NULL").select(*keys, F.coalesce("recent_mean_3", "current_consumption").alias("prediction"))
     paid = F.least(F.lit(1.0), F.coalesce("payment_ratio_current", F.lit(0.0)))
-    b = rows.filter("consumer_no % 5 <> 0").select(*keys, (F.lit(1.0) - paid).alias("probability"))
+    b = rows.filter("payment_ratio_current IS NOT NULL").select(*keys, (F.lit(1.0) - paid).alias("probability"))
     spread = F.coalesce(F.try_divide(F.col("recent_std_3"), F.col("recent_std_3") + F.col("recent_mean_3")), F.lit(0.0))
-    c = rows.filter("consumer_no % 11 <> 0").select(*keys, spread.alias("probability"))
+    c = rows.filter("recent_std_3 IS NOT NULL").select(*keys, spread.alias("probability"))
     return (
         a,
         b.withColumn("predicted_class", (F.col("probability") > 0.5).cast("int")),

@@ -96,10 +96,11 @@ def roc_points(df: DataFrame, actual: str, score: str, by: Sequence[str] = ()) -
     return points.unionByName(origin)
 
 
-def confusion_matrix(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """Both classes on both axes, cells without rows as zero."""
-    cells = classification_metrics(df, actual, predicted)
+def confusion_matrix(df: DataFrame, actual: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:
+    """Both classes on both axes per group, cells without rows as zero."""
+    cells = classification_metrics(df, actual, predicted, by)
     return cells.select(
+        *by,
         F.inline(
             F.array(
                 *[
