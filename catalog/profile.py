@@ -366,11 +366,12 @@ def class_feature_stats(spark, folder):
 
 
 def labelled_groups(spark, folder):
-    """P2 with a label that most consumers keep: whether a month's bills come to more than 150,000."""
-    return p2_groups(spark, folder).withColumn("label", (F.col("bill_amount") > 150_000).cast("int"))
+    """P2 with a label that most consumers keep."""
+    odd = (F.col("consumer_no") + F.col("ord")) % 97 == 0
+    return p2_groups(spark, folder).withColumn("label", (odd != (F.col("solar_consumer") == "Y")).cast("int"))
 
 
-_LABELLED = f"""{P2_GROUPS}, rt AS (SELECT consumer_no, shifting, CAST(CAST(bill_amount > 150000 AS INT) AS VARCHAR) AS label FROM pg),
+_LABELLED = f"""{P2_GROUPS}, rt AS (SELECT consumer_no, shifting, CAST(CAST(((consumer_no + ord) % 97 = 0) <> (solar_consumer = 'Y') AS INT) AS VARCHAR) AS label FROM pg),
 st AS (SELECT consumer_no, min(shifting) AS shifting, min(label) AS label, count(DISTINCT shifting) > 1 AS ct, count(DISTINCT label) > 1 AS cl,
    NOT bool_and(shifting IN ({_SEG})) AS bad FROM rt GROUP BY 1),
 kept AS (SELECT * FROM st WHERE NOT ct AND NOT cl AND NOT bad),
