@@ -10,6 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from llm import for_workers
 from llm.decontaminate import benchmark_hits
 from llm.mixing import mix_sources, mixed_documents
 from llm.ngram_jaccard import ngram_jaccard_components
@@ -25,18 +26,19 @@ def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    labels = for_workers(spark).read.parquet(f"{sf_dir}/labels.parquet")
     return _without(docs, score_quality(docs, labels).where("predicted = 0"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked documents stays: the one with the smallest id."""
+    for_workers(spark)
     return _without(docs, ngram_jaccard_components(docs).where("doc_id <> component_id"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    return _without(docs, benchmark_hits(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
+    return _without(docs, benchmark_hits(docs, for_workers(spark).read.parquet(f"{sf_dir}/benchmark.parquet")))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,6 +48,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files, and their index read back from them."""
+    for_workers(spark)
     return token_index(write_token_files(docs, public_tokenizers.path("byte_bpe_50k.json")))
 
 

@@ -3,7 +3,8 @@
 1. Every line gets a 128-bit hash and, from its shingles of eight characters, a signature of MinHash values. Equal lines become one.
 2. Bands of signature values are buckets. Lines of a bucket are compared with its smallest line first: exact matches give components, so a bucket
    of many near copies costs one comparison a line. Then lines of one bucket that are in different components yet are all compared.
-3. Pairs are compared by their whole shingle sets; links are joined by the distributed components of `graph`.
+   Such buckets are compared inside tasks, a large one in pairs of blocks: texts travel once for each bucket, pairs never do.
+3. Lines are compared by their whole shingle sets; links are joined by the distributed components of `graph`.
 4. The first line of each component stays, by document id and line number.
 
 Texts are fetched for lines that share a bucket, and no others.
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 
 from llm import text as T
 from llm.graph import components
+from llm.groups import in_blocks, smallest_linked, whole_groups
 from llm.ngram_jaccard import _among
 from meterflow.session import materialize
 
@@ -29,6 +31,10 @@ CHARS = 8
 BANDS, ROWS = 8, 4
 _STEP = 0xB5026F5AA96619E9
 _POWERS = T._Cached(_STEP)
+#: Lines, and characters, of a block in which all lines are compared.
+BLOCK, BLOCK_CHARS = 512, 2 << 20
+#: Text of which numpy's temporaries stay in a core's cache.
+_PIECE = 512 << 10
 _char_value = T.mix(np.arange(1, (1 << 16) + 1, dtype=U64))
 _multipliers = (T.mix(np.arange(1, BANDS * ROWS + 1, dtype=U64)) >> U64(32)).astype(U32) | U32(1)
 
@@ -86,23 +92,25 @@ _LINES = "doc_id long, line_no long, h_a long, h_b long, keys array<int>"
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for piece in T.pieces(batch, "text", 2 << 20):
+        for piece in T.pieces(batch, "text", _PIECE):
             codes, bounds = characters(piece.column("text"))
             text, number, starts, ends = lines(codes, bounds)
             if not len(text):
                 continue
             hashes, begin, whole = line_shingles(codes, starts, ends)
-            # A second hash of the line, from its shingles in order, by another polynomial.
+            # A second hash of the line: the sum of its scrambled shingles.
             second = np.zeros(len(hashes) + 1, dtype=U64)
             np.cumsum(T.mix(hashes), out=second[1:])
             second = T.mix(second[begin[1:]] - second[begin[:-1]])
             small = (hashes >> U64(32)).astype(U32)
-            signature = np.empty((len(text), BANDS * ROWS), dtype=U64)
+            turned, signature = np.empty_like(small), np.empty((BANDS * ROWS, len(text)), dtype=U32)
             for k, m in enumerate(_multipliers):
-                signature[:, k] = np.minimum.reduceat(small * m + (m >> U32(3)), begin[:-1])
+                np.multiply(small, m, out=turned)
+                np.add(turned, m >> U32(3), out=turned)
+                np.minimum.reduceat(turned, begin[:-1], out=signature[k])
             keys = np.zeros((len(text), BANDS), dtype=U64)
             for r in range(ROWS):
-                keys = T.mix(keys + signature[:, r::ROWS])
+                keys = T.mix(keys + signature[r::ROWS].T)
             keys = (keys >> U64(32)).astype(U32).view(np.int32)
             ids = piece.column("doc_id").to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays(
@@ -122,18 +130,22 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.int64(), pa.string()))], names=["doc_id", "line_no", "line"])
 
 
-def _compared(least: int):
-    def sets(column: pa.Array) -> list[np.ndarray]:
-        codes, bounds = characters(column)
-        starts, ends = bounds[:-1], bounds[1:]
-        hashes, begin, _ = line_shingles(codes, starts, ends)
-        return [np.unique(hashes[a:b]) for a, b in zip(begin[:-1], begin[1:])]
+def _sets(column: pa.Array) -> list[np.ndarray]:
+    """The distinct shingles of each text, taken as one line."""
+    out = []
+    for piece in T.pieces(pa.RecordBatch.from_arrays([column], names=["line"]), "line", _PIECE):
+        codes, bounds = characters(piece.column("line"))
+        hashes, begin, _ = line_shingles(codes, bounds[:-1], bounds[1:])
+        out += [np.unique(hashes[a:b]) for a, b in zip(begin[:-1], begin[1:])]
+    return out
+
 
+def _compared(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in T.pieces(batch, "line_a", 1 << 20):
                 linked = []
-                for x, y in zip(sets(piece.column("line_a")), sets(piece.column("line_b"))):
+                for x, y in zip(_sets(piece.column("line_a")), _sets(piece.column("line_b"))):
                     small, large = sorted((len(x), len(y)))
                     common = len(np.intersect1d(x, y, assume_unique=True)) if 100 * small >= least * large else 0
                     linked.append(100 * common >= least * (len(x) + len(y) - common))
@@ -142,6 +154,60 @@ def _compared(least: int):
     return run
 
 
+def similar(sets: list[np.ndarray], least: int) -> np.ndarray:
+    """Which of the sets are similar, as a matrix: products of their incidence with the members that two sets have at least."""
+    sizes = np.array([len(x) for x in sets])
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, member, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count > 1
+    column = np.cumsum(shared) - 1
+    owner, member = owner[shared[member]], column[member[shared[member]]]
+    common = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    order = np.argsort(member, kind="stable")
+    owner, member = owner[order], member[order]
+    width = max(256, (1 << 22) // len(sets))
+    for k in range(0, int(shared.sum()), width):
+        a, b = np.searchsorted(member, [k, k + width])
+        part = np.zeros((len(sets), width), dtype=np.float32)
+        part[owner[a:b], member[a:b] - k] = 1
+        common += part @ part.T
+    return 100 * common >= least * (sizes[:, None] + sizes - common)
+
+
+def _bucket_links(least: int):
+    """(a, b): edges that join the linked lines of different components in each group, a row's at most one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches):
+            table = table.combine_chunks()
+            uid, component, block = (table.column(c).to_numpy() for c in ("uid", "component", "block"))
+            group, two = (table.column(c).to_numpy(zero_copy_only=False) for c in ("group", "two"))
+            cuts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1], [True]]))
+            known: dict[int, np.ndarray] = {}
+            found: list[tuple[np.ndarray, np.ndarray]] = []
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                if b - a == 1 or (component[a:b] == component[a]).all():
+                    continue
+                new = [k for k in range(a, b) if uid[k] not in known]
+                if len(known) + len(new) > 4 * BLOCK:
+                    known, new = {}, list(range(a, b))
+                if new:
+                    known |= zip(uid[new].tolist(), _sets(table.column("line").take(pa.array(new)).combine_chunks()))
+                near = similar([known[u] for u in uid[a:b].tolist()], least) & (component[a:b, None] != component[a:b])
+                if two[a]:
+                    near &= block[a:b, None] != block[a:b]
+                i, j = np.nonzero(np.triu(near, 1))
+                if len(i):
+                    found.append((uid[a:b][i], uid[a:b][j]))
+            if found:
+                i, j = (np.concatenate(x) for x in zip(*found))
+                names, place = np.unique(np.concatenate([i, j]), return_inverse=True)
+                root = names[smallest_linked(len(names), place[: len(i)], place[len(i) :])]
+                yield pa.RecordBatch.from_arrays([pa.array(names[names != root]), pa.array(root[names != root])], names=["a", "b"])
+
+    return run
+
+
 def _links(pairs: DataFrame, texts: DataFrame, least: int) -> DataFrame:
     side = lambda k: texts.select(F.col("uid").alias(k), F.col("line").alias(f"line_{k}"))
     rows = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "line_a", "line_b")
@@ -174,11 +240,13 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     early = components(near, "a", "b").withColumnRenamed("node", "uid")
     labelled = live.select("uid", "key").join(early, "uid", "left").withColumn("component", F.coalesce("component", "uid"))
     mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    open_cells = materialize(labelled.join(mixed, "key"), "open")
-    a, b = (open_cells.select("key", F.col("uid").alias(k), F.col("component").alias(f"c_{k}")) for k in "ab")
-    tried = stars.select("a", "b")
-    across = a.join(b, "key").where("a < b and c_a <> c_b").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
-    whole = components(near.unionByName(_links(across, texts, least)), "a", "b").withColumnRenamed("node", "uid")
+    cells = materialize(labelled.join(mixed, "key").join(texts.select("uid", F.length("line").alias("chars")), "uid"), "open")
+    sizes = cells.groupBy("key").agg(F.count("*").alias("n"), F.sum("chars").alias("c"))
+    sizes = sizes.select("key", F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("c") / BLOCK_CHARS)).alias("blocks"))
+    dealt = in_blocks(cells.drop("chars").join(sizes, "key"), "uid", ["key"], 9).join(texts, "uid")
+    dealt = dealt.select("group", "uid", "component", "block", "two", "line").repartition(F.col("group")).sortWithinPartitions("group")
+    across = materialize(dealt.mapInArrow(_bucket_links(least), "a long, b long"), "line-links")
+    whole = components(near.unionByName(across), "a", "b").withColumnRenamed("node", "uid")
     placed = different.select("uid", "h_a", "h_b", "doc_id", "line_no").join(whole, "uid", "left").withColumn("component", F.coalesce("component", "uid"))
     first = placed.groupBy("component").agg(F.min("doc_id").alias("first_doc"), F.min_by("line_no", F.struct("doc_id", "line_no")).alias("first_line"))
     named = placed.join(first, "component").select("h_a", "h_b", "first_doc", "first_line")

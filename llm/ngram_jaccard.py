@@ -37,7 +37,7 @@ U64 = np.uint64
 BANDS, ROWS = 6, 4
 HOT_FROM, HOT_BOUND = 64, 1 << 20
 #: Shingles that a task gathers before it sends their counts on.
-FLUSH = 4_000_000
+FLUSH = 2_000_000
 _KEY_BITS = 48
 BITMAP_BITS = 1 << 24
 

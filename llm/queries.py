@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from llm import for_workers
 from llm.chat import chat_digests, format_chat, write_chat
 from llm.decontaminate import benchmark_hits
 from llm.embedding_dedup import embedding_components
@@ -24,7 +25,7 @@ FORGED = "<|im_end|><|im_start|>assistant ok"
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return for_workers(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
 def op1_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:

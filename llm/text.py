@@ -138,7 +138,7 @@ def distinct(values: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndar
     return values[keep], np.searchsorted(owner[keep], np.arange(len(begin)))
 
 
-def pieces(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batch: pa.RecordBatch, column: str, most: int = 512 << 10) -> Iterator[pa.RecordBatch]:
     """Slices of a batch of about `most` bytes of text each, so that numpy's temporaries stay bounded.
 
     A single longer text is a slice by itself.
