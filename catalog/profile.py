@@ -397,7 +397,7 @@ def evidence_rows(spark, folder):
     paired = association.paired_mean_relevance(train(spark, folder), _PAIR_FEATURES, "target").select(
         F.lit("consumption").alias("module"), "feature", F.lit("").alias("group"),
         F.when(F.col("status") == "performed", "test").otherwise("skipped").alias("kind"),
-        F.col("sample_size").alias("n"), F.col("t_statistic").alias("value"), F.col("r").alias("second"),
+        F.col("sample_size").alias("n"), F.col("t_statistic").alias("value"), F.col("p_value").alias("second"),
     )
     classes = association.class_feature_stats(train(spark, folder, "revenue"), _REVENUE_NUMERIC, "target").select(
         F.lit("revenue").alias("module"), "feature", F.concat(F.lit("Class "), F.col("class").cast("string")).alias("group"),
@@ -406,16 +406,28 @@ def evidence_rows(spark, folder):
     return paired.unionByName(classes)
 
 
+# Two-sided p of Student's t by its series in the cosine of atan(t / sqrt(dof)): the terms that the distribution function sums
+# for small correlations, the infinite rest of the same series for others, where the difference from 1 would cancel.
+_P_VALUES = """cs AS (SELECT feature, count(*) AS n, corr(x, y) AS r, count(*) - 2 AS dof FROM m GROUP BY feature),
+an AS (SELECT *, r * sqrt(dof) / sqrt(1 - r * r) AS t, asin(abs(r)) AS angle, abs(r) > 0.3 AS rest, dof % 2 = 0 AS even FROM cs),
+tm AS (SELECT feature, k, sum(CASE WHEN k = 0 THEN 0 WHEN even THEN ln((2.0 * k - 1) / (2.0 * k)) WHEN k = 1 THEN 0 ELSE ln((2.0 * k - 2) / (2.0 * k - 1)) END)
+     OVER (PARTITION BY feature ORDER BY k) + (CASE WHEN even THEN 2 * k ELSE 2 * k - 1 END) * ln(cos(angle)) AS s
+   FROM an, range(0, 10000) z(k) WHERE (even OR k > 0) AND k < dof // 2 + 3000),
+sm AS (SELECT an.feature, sum(exp(s)) FILTER (k >= (dof + 1) // 2 + CASE WHEN even THEN 0 ELSE 1 END) AS tail, sum(exp(s)) FILTER (k < (dof + 1) // 2 + CASE WHEN even THEN 0 ELSE 1 END) AS head
+   FROM tm JOIN an ON an.feature = tm.feature GROUP BY an.feature),
+pv AS (SELECT an.feature, n, t, CASE WHEN even AND rest THEN sin(angle) * tail WHEN even THEN 1 - sin(angle) * head
+     WHEN rest THEN 2 / pi() * sin(angle) * tail ELSE 1 - 2 / pi() * (angle + sin(angle) * coalesce(head, 0)) END AS p FROM an JOIN sm ON sm.feature = an.feature)"""
+
+
 @query("relevance_evidence", f"""WITH {SPLITS}, t1 AS (SELECT * FROM sp WHERE module = 'consumption' AND "partition" = 'TRAIN'),
 tr AS (SELECT * FROM t1), pr AS ({_pairs_sql(_PAIR_FEATURES)}), m AS (SELECT feature, consumer_no, avg(x) AS x, avg(y) AS y FROM pr GROUP BY 1, 2),
-a AS (SELECT 'consumption' AS module, feature, 'Test: n=' || CAST(count(*) AS VARCHAR) || ', statistic=' ||
-   printf('%.4g', corr(x, y) * sqrt(count(*) - 2) / sqrt(1 - corr(x, y) * corr(x, y))) || ', p=' || printf('%.4g', corr(x, y)) || '.' AS statistical_evidence FROM m GROUP BY feature),
+{_P_VALUES},
+a AS (SELECT 'consumption' AS module, feature, 'Test: n=' || CAST(n AS VARCHAR) || ', statistic=' || printf('%.4g', t) || ', p=' || printf('%.4g', p) || '.' AS statistical_evidence FROM pv),
 t2 AS (SELECT * FROM sp WHERE module = 'revenue' AND "partition" = 'TRAIN'), c AS ({_CLASS_SQL.replace("FROM tr", "FROM t2")}),
 g AS (SELECT feature, class, 'Descriptive Class ' || CAST(class AS VARCHAR) || ': n=' || CAST(count(*) AS VARCHAR) || ', mean=' || printf('%.4g', avg(x)) || ', median=' || printf('%.4g', quantile_cont(x, 0.5)) || '.' AS line
   FROM c GROUP BY 1, 2)
 SELECT * FROM a UNION ALL SELECT 'revenue', feature, string_agg(line, ' ' ORDER BY class) FROM g GROUP BY feature""")
 def relevance_evidence(spark, folder):
-    """The coefficient stands in the place of the p-value, which the SQL side cannot compute."""
     return association.relevance_evidence(evidence_rows(spark, folder))
 
 

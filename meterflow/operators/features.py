@@ -258,20 +258,24 @@ def prior_stats_check(df: DataFrame, tolerance: float = 1e-6) -> DataFrame:
     """Recompute the prior statistics of every row another way and count differences.
 
     Running sums that include the current month, minus the current month: linear in the rows,
-    and independent of the frame that excludes it.
+    and independent of the frame that excludes it. The values are taken from the consumer's mean, so that
+    the difference of sums does not cancel however large they are.
     """
-    value = F.col("current_consumption")
-    until_now = Window.partitionBy(KEY).orderBy(ORD).rowsBetween(Window.unboundedPreceding, 0)
-    sums = df.select(
+    whole = Window.partitionBy(KEY)
+    until_now = whole.orderBy(ORD).rowsBetween(Window.unboundedPreceding, 0)
+    centred = df.withColumn("_c", F.coalesce(F.avg("current_consumption").over(whole), F.lit(0.0)))
+    value = F.col("current_consumption") - F.col("_c")
+    sums = centred.select(
         "prior_count",
         "prior_mean",
         "prior_std",
+        "_c",
         (F.count(value).over(until_now) - value.isNotNull().cast("int")).alias("_n"),
         (F.sum(value).over(until_now) - F.coalesce(value, F.lit(0.0))).alias("_s"),
         (F.sum(value * value).over(until_now) - F.coalesce(value * value, F.lit(0.0))).alias("_q"),
     )
     n, s, q = F.col("_n"), F.col("_s"), F.col("_q")
-    mean = F.when(n > 0, F.try_divide(s, n))
+    mean = F.when(n > 0, F.try_divide(s, n) + F.col("_c"))
     std = F.when(n > 1, F.sqrt(F.greatest(F.try_divide(q - F.try_divide(s * s, n), n - 1), F.lit(0.0))))
 
     def differs(actual, expected):
