@@ -48,7 +48,7 @@ def query(name: str, sql: str | None = None, floats: Sequence[str] = (), digits:
 # P1 as SQL. `last_day` needs dates, `ord` is year * 12 + month - 1.
 P1 = """
 p1_line AS (
-  SELECT CAST(l_suppkey AS INT) AS k, CAST(l_shipdate AS DATE) AS d, l_quantity AS q,
+  SELECT l_suppkey AS k, CAST(l_shipdate AS DATE) AS d, l_quantity AS q,
          CAST(l_extendedprice AS DECIMAL(12,2)) AS p, CAST(l_discount AS DECIMAL(4,2)) AS dc,
          CAST(l_tax AS DECIMAL(4,2)) AS tx, l_linestatus AS st, l_returnflag AS rf
   FROM lineitem),
@@ -73,7 +73,7 @@ p1 AS (
 
 P2 = """
 p2 AS (
-  SELECT CAST(o_custkey AS INT) AS consumer_no,
+  SELECT o_custkey AS consumer_no,
          CAST(year(o_orderdate)*12 + month(o_orderdate) - 1 AS INT) AS ord,
          CAST(count(*) AS DOUBLE) AS consumption_unit,
          CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS bill_amount,
@@ -83,7 +83,7 @@ p2 AS (
 
 P3 = """
 p3 AS (
-  SELECT CAST(user_id AS INT) AS consumer_no,
+  SELECT user_id AS consumer_no,
          CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS INT) AS ord,
          CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS consumption_unit
   FROM events GROUP BY 1, 2)

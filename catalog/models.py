@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from catalog.base import SPLITS, query
@@ -35,7 +37,7 @@ def linear_ladder(spark, folder):
 
 @query("forest_regression")
 def forest_regression(spark, folder):
-    """The two smaller forests of the grid; the whole grid is `models.forest_regression()`."""
+    """The two smaller forests; the larger ones are fitted by the same function, see README for their time."""
     return compared(spark, folder, "consumption", models.forest_regression(schema.FOREST_GRID[:2]))
 
 
@@ -46,7 +48,7 @@ def tree_classifier(spark, folder):
 
 @query("forest_classifier")
 def forest_classifier(spark, folder):
-    """The two smaller forests of the grid; the whole grid is `models.forest_classifier(module)`."""
+    """The two smaller forests; the larger ones are fitted by the same function, see README for their time."""
     return compared(spark, folder, "anomaly", models.forest_classifier("anomaly", schema.FOREST_GRID[:2]))
 
 
@@ -66,13 +68,15 @@ def compare_models(spark, folder):
 
 @query("resume_comparison")
 def resume_comparison(spark, folder):
-    """The second call must find the first one's table."""
+    """The second call must find the first one's table, the third with other settings under the same names must not."""
     parts, _ = rows(spark, folder, "consumption")
     path = scratch_path(spark, "comparison")
     grid = models.linear_ladder()
     _, first = models.resume_comparison(path, grid, parts["TRAIN"], parts["VALIDATION"], False)
     table, second = models.resume_comparison(path, grid, parts["TRAIN"], parts["VALIDATION"], False)
-    return table.withColumns({"first_reused": F.lit(first), "second_reused": F.lit(second)})
+    other = [replace(c, estimator=c.estimator.copy({c.estimator.regParam: 0.1})) for c in grid]
+    _, third = models.resume_comparison(path, other, parts["TRAIN"], parts["VALIDATION"], False)
+    return table.withColumns({"first_reused": F.lit(first), "second_reused": F.lit(second), "other_settings_reused": F.lit(third)})
 
 
 @query("fit_pipeline")

@@ -28,6 +28,9 @@ from meterflow.session import materialize
 
 # Trees grown out stop at the deepest level the library supports.
 FULL_DEPTH = 30
+# Partitions of the rows a model is fitted on. Bootstrap samples are drawn by partition, so the number is a
+# parameter: it must not follow the size of the table or of the cluster.
+FIT_PARTITIONS = 16
 
 
 @dataclass(frozen=True)
@@ -185,12 +188,13 @@ _KEPT = ["consumer_no", "target_ord", "target"]
 
 
 def model_inputs(preprocessing: Preprocessing, df: DataFrame) -> DataFrame:
-    """Keys, target, weight when present, and the prepared predictors, stored once."""
+    """Keys, target, weight when present, and the prepared predictors, stored once.
+
+    Rows go to their partition by key and stand in its order: the same rows give the same fit on any cluster.
+    """
     kept = [c for c in [*_KEPT, "partition", "weight"] if c in df.columns]
     stored = materialize(preprocessing.transform(df).select(*kept, *preprocessing.columns()), "inputs")
-    # A small table comes back as few splits; training passes over it many times, so it is spread.
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return stored.repartition(cores) if stored.rdd.getNumPartitions() < cores else stored
+    return stored.repartition(FIT_PARTITIONS, "consumer_no", "target_ord").sortWithinPartitions("consumer_no", "target_ord")
 
 
 def fit_estimator(config: Configuration, preprocessing: Preprocessing, inputs: DataFrame):
@@ -210,10 +214,24 @@ def score_regression(model, df: DataFrame) -> DataFrame:
     return model.transform(df)
 
 
+def class_position(model, labels: Sequence | None = None, label=1) -> int:
+    """Where the probability of `label` stands: among the names of an indexed label, else at its own number."""
+    position = list(labels).index(label) if labels is not None else int(label)
+    if not 0 <= position < model.numClasses:
+        raise ValueError(f"the model knows {model.numClasses} classes and not class {label}")
+    return position
+
+
+def label_names(df: DataFrame, column: str = "target") -> list | None:
+    """The label names in a column's metadata, where an indexer left some."""
+    return df.schema[column].metadata.get("ml_attr", {}).get("vals") if column in df.columns else None
+
+
 def score_classes(model, df: DataFrame) -> DataFrame:
-    """Class-1 probability and the most likely class; an exact tie is class 0."""
-    p = vector_to_array(F.col("probability"))[1]
-    scored = model.transform(df).withColumn("probability", p)
+    """Class-1 probability and the most likely class; an exact tie is class 0. A probability outside 0 to 1 stops the job."""
+    p = vector_to_array(F.col("probability"))[class_position(model, label_names(df))]
+    valid = F.when(p.between(0, 1), p).otherwise(F.raise_error(F.lit("class probability outside 0 to 1")).cast("double"))
+    scored = model.transform(df).withColumn("probability", valid)
     return scored.withColumn("predicted_class", (F.col("probability") > 0.5).cast("int"))
 
 
@@ -266,7 +284,7 @@ def comparison(metrics: DataFrame, classify: bool) -> DataFrame:
 
 def probability_audit(models: dict[str, object]) -> list[tuple[str, int, int]]:
     """(configuration, classes, position of class 1) from the fitted models."""
-    return [(name, model.numClasses, 1) for name, model in models.items()]
+    return [(name, model.numClasses, class_position(model)) for name, model in models.items()]
 
 
 def vector_names(df: DataFrame) -> list[str]:
@@ -285,16 +303,27 @@ def top_importances(pipeline: FittedPipeline, df: DataFrame, n: int = 15) -> Dat
 
 
 def input_fingerprint(df: DataFrame) -> str:
-    """Content hash of a table, independent of row order: count and two sums of row hashes."""
+    """Content hash of a table, independent of row order: count and two sums of row hashes.
+
+    The hash skips missing values, so where they stand is hashed as well.
+    """
     columns = sorted(df.columns)
+    missing = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in columns])
     row = df.agg(
         F.count("*").alias("n"),
-        F.sum(F.xxhash64(*columns).cast("decimal(20,0)")).alias("a"),
-        F.sum(F.xxhash64(F.lit(1), *columns).cast("decimal(20,0)")).alias("b"),
+        F.sum(F.xxhash64(missing, *columns).cast("decimal(38,0)")).alias("a"),
+        F.sum(F.xxhash64(F.lit(1), missing, *columns).cast("decimal(38,0)")).alias("b"),
     ).first()
     return f"{row.n}:{row.a}:{row.b}"
 
 
+def configuration_key(config: Configuration) -> str:
+    """Everything that decides a fit: class, every parameter, predictors and weights."""
+    estimator = config.estimator
+    settings = {p.name: str(v) for p, v in estimator.extractParamMap().items()}
+    return json.dumps([config.name, config.algorithm, type(estimator).__name__, settings, list(config.features), config.balanced], sort_keys=True)
+
+
 def resume_comparison(
     path: str, configs: Sequence[Configuration], train: DataFrame, validation: DataFrame, classify: bool
 ) -> tuple[DataFrame, bool]:
@@ -303,7 +332,8 @@ def resume_comparison(
     Returns the table and whether it was reused. Every fitted model is saved next to it.
     """
     spark = train.sparkSession
-    parts = "|".join([*(c.name for c in configs), input_fingerprint(train), input_fingerprint(validation)])
+    known = [configuration_key(c) for c in configs]
+    parts = json.dumps([*known, classify, FIT_PARTITIONS, input_fingerprint(train), input_fingerprint(validation)])
     key = spark.range(1).select(F.sha2(F.lit(parts), 256)).first()[0]
     home = f"{path}/{key}"
     try:

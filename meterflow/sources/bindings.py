@@ -27,7 +27,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def supplier_months(spark: SparkSession, folder: str) -> DataFrame:
     """P1. Money is summed as decimal, so that the result does not depend on row order."""
     line = table(spark, folder, "lineitem").select(
-        F.col("l_suppkey").cast("int").alias("k"),
+        F.col("l_suppkey").alias("k"),
         F.col("l_shipdate").cast("date").alias("d"),
         F.col("l_quantity").alias("q"),
         F.col("l_extendedprice").cast("decimal(12,2)").alias("p"),
@@ -82,7 +82,7 @@ def customer_months(spark: SparkSession, folder: str) -> DataFrame:
     months = (
         table(spark, folder, "orders")
         .groupBy(
-            F.col("o_custkey").cast("int").alias("consumer_no"),
+            F.col("o_custkey").alias("consumer_no"),
             month_ordinal(F.col("o_orderdate").cast("date")).alias("ord"),
         )
         .agg(
@@ -91,7 +91,7 @@ def customer_months(spark: SparkSession, folder: str) -> DataFrame:
         )
     )
     segments = table(spark, folder, "customer").select(
-        F.col("c_custkey").cast("int").alias("consumer_no"), F.col("c_mktsegment").alias("tarrif")
+        F.col("c_custkey").alias("consumer_no"), F.col("c_mktsegment").alias("tarrif")
     )
     return months.join(segments, "consumer_no")
 
@@ -102,7 +102,7 @@ def user_days(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "events")
         .select("user_id", "value", F.col("ts").cast("date").alias("day"))
         .groupBy(
-            F.col("user_id").cast("int").alias("consumer_no"),
+            F.col("user_id").alias("consumer_no"),
             F.datediff("day", F.lit("1970-01-01").cast("date")).alias("ord"),
         )
         .agg(F.sum(F.col("value").cast("decimal(12,2)")).cast("double").alias("consumption_unit"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,7 +25,8 @@ def read_extract(
     The reader itself checks the header of every file against `names` plus the empty trailing
     name, and stops at the first record with too few or too many fields. Blanks stay blanks,
     'NA' stays a value, a byte-order mark is dropped. Names are compared without regard to
-    case unless spark.sql.caseSensitive is set.
+    case unless spark.sql.caseSensitive is set. A quote inside a quoted field is doubled. A quoted
+    line break is refused, so that files stay splittable, and lines without any character are skipped.
     """
     fields = [*names, _EMPTY_NAME]
     rows = (
@@ -35,6 +36,7 @@ def read_extract(
         .option("enforceSchema", False)
         .option("nullValue", _EMPTY_NAME)
         .option("columnPruning", False)
+        .option("escape", '"')
         .option("mode", "FAILFAST")
         .csv([path] if isinstance(path, str) else list(path))
     )
@@ -197,8 +199,9 @@ def extract_fingerprint(
 
     `name_pattern` takes the file's name out of its path.
 
-    Line by line and split by split, so a large file is never held by one task. A split's
-    digest weighs each line's hash by its position, so a changed order shows as well.
+    Line by line and split by split, so a large file is never held by one task. Each line's hash is
+    weighed by its position in the file, so a changed order shows as well. Positions count the lines
+    of the earlier splits: where a file is split makes no difference.
     """
     def digest(folder: str, side: str) -> DataFrame:
         lines = (
@@ -222,12 +225,15 @@ def extract_fingerprint(
             F.sum(F.pmod(F.col("h"), F.lit((1 << 31) - 1))).alias("s2"),
             F.min("i").alias("i0"),
         )
-        weighted = F.col("s1") - F.col("s2") * F.col("i0")
+        # A file has one row for each of its splits here.
+        before = Window.partitionBy("file_name").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+        splits = splits.withColumn("base", F.coalesce(F.sum("lines").over(before), F.lit(0)).cast("decimal(12,0)"))
+        weighted = F.col("s1") + F.col("s2") * (F.col("base") - F.col("i0").cast("decimal(12,0)"))
         return splits.groupBy("file_name").agg(
             F.max("bytes").alias(f"{side}_bytes"),
             F.sum("lines").alias(f"{side}_lines"),
             F.sum("s0").alias(f"_{side}_s0"),
-            F.sum(F.xxhash64("block", weighted).cast("decimal(20,0)")).alias(f"_{side}_s1"),
+            F.sum(weighted.cast("decimal(38,0)")).alias(f"_{side}_s1"),
         )
 
     def same(column: str):
@@ -269,20 +275,25 @@ def load_history(spark: SparkSession, folder: str, names: Sequence[str] = tuple(
     require_clean_periods(period_coverage(files, span.lo, span.hi))
     rows = read_extract(spark, folder, names)
     name = F.regexp_replace(F.col("_source_file"), r"^.*/", "")
-    return (
+    found = (
         discover_periods(rows.withColumn("file_name", name))
         .drop("status", "_source_file")
         .withColumnRenamed("period", "PERIOD")
     )
+    # The periods of the files go along, so that the row checks can name one without a row.
+    return found.withMetadata("PERIOD", {"periods": [r.ord for r in files.select("ord").distinct().orderBy("ord").collect()]})
 
 
 def require_valid_extract(df: DataFrame, key: str = "CONSUMER_NO", artifact: str = ARTIFACT) -> DataFrame:
     """Return `df` after the row-level checks of a loaded history (runs two jobs)."""
     row = key_and_artifact_check(df, key, artifact).first()
-    wrong = period_agreement(df).agg(F.sum("wrong_period_rows").alias("n")).first().n
-    if not row.n_rows or row.blank_keys or row.artifact_values or wrong:
+    periods = period_agreement(df).collect()
+    wrong = sum(r.wrong_period_rows for r in periods)
+    expected = df.schema["PERIOD"].metadata.get("periods", []) if "PERIOD" in df.columns else []
+    empty = sorted(set(expected) - {r.ord for r in periods})
+    if not row.n_rows or row.blank_keys or row.artifact_values or wrong or empty:
         raise ValueError(
             f"rows={row.n_rows}, blank keys={row.blank_keys}, trailing values={row.artifact_values}, "
-            f"rows of another period={wrong}"
+            f"rows of another period={wrong}, months without a row={[f'{o // 12}-{o % 12 + 1:02}' for o in empty]}"
         )
     return df

@@ -98,3 +98,43 @@ def test_replayed_batch_is_written_once(spark, tmp_path):
         ingest.append_periods(panel(spark, [(1, 12, 1.0), (1, 12, 2.0)]), 1, out)
     with pytest.raises(ValueError, match="do not continue"):
         ingest.append_periods(panel(spark, [(1, 11, 1.0)]), 1, out)
+
+
+def test_doubled_quotes_and_empty_months(spark, tmp_path):
+    folder = write(tmp_path / "q", "x.txt", HEADER + '1|2025|"a ""x""|b"|\n')
+    assert extracts.read_extract(spark, folder, NAMES).first().CONSUMER_NO == 'a "x"|b'
+    write(tmp_path / "q2", "x.txt", HEADER + '1|2025|"a\nb"|\n')
+    with pytest.raises(Exception, match="FAILED_READ_FILE|MALFORMED"):
+        extracts.read_extract(spark, str(tmp_path / "q2"), NAMES).collect()
+    raw = tmp_path / "raw"
+    for m in (1, 2, 3):
+        write(raw, f"512LDG{m}2025.txt", month(m) if m < 3 else HEADER)
+    with pytest.raises(ValueError, match="2025-03"):
+        extracts.require_valid_extract(extracts.load_history(spark, str(raw), NAMES))
+
+
+def test_every_bad_file_and_period_is_named(spark, tmp_path):
+    names = [f"notes{k}.txt" for k in range(30)]
+    for name in names:
+        write(tmp_path / "bad", name, month(1))
+    with pytest.raises(ValueError) as error:
+        extracts.load_history(spark, str(tmp_path / "bad"), NAMES)
+    assert all(name in str(error.value) for name in names)
+
+
+def test_fingerprints_do_not_depend_on_splits(spark, tmp_path):
+    lines = [f"line {k} of the file" for k in range(30_000)]
+    write(tmp_path / "a", "f.txt", "\n".join(lines) + "\n")
+    write(tmp_path / "b", "f.txt", "\n".join(lines) + "\n")
+    write(tmp_path / "b", "other.txt", "x" * 3_000_000 + "\n")
+    swapped = list(lines)
+    swapped[9_000], swapped[21_000] = swapped[21_000], swapped[9_000]
+    write(tmp_path / "c", "f.txt", "\n".join(swapped) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+        status = lambda x, y: {r.file_name: r.status for r in extracts.extract_fingerprint(spark, str(tmp_path / x), str(tmp_path / y)).collect()}
+        assert status("a", "b") == {"f.txt": "identical", "other.txt": "only_second"}
+        assert status("a", "c") == {"f.txt": "different"}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)

@@ -123,3 +123,21 @@ def test_leakage_guard():
     for names in schema.PREDICTORS.values():
         assert features.leakage_guard(names) == []
     assert features.leakage_guard(["prior_mean", "current_consumption", "at_risk_next"]) == ["at_risk_next", "prior_mean"]
+
+
+@pytest.mark.parametrize("level", [1e6, 1e9])
+def test_prior_statistics_of_large_values(spark, level):
+    """Correct rows near a large level count as correct, a planted error is counted."""
+    rows = [("a", 24000 + k, level + (k * 7) % 5) for k in range(40)] + [("b", 24000 + k, None if k == 3 else level * k) for k in range(12)]
+    panel = spark.createDataFrame(rows, "consumer_no string, ord int, current_consumption double")
+    found = features.prior_stats(panel)
+    assert tuple(features.prior_stats_check(found).first()) == (52, 0, 0, 0)
+    wrong = found.withColumn("prior_mean", F.when((F.col("ord") == 24020) & (F.col("consumer_no") == "a"), F.col("prior_mean") * 1.01).otherwise(F.col("prior_mean")))
+    assert features.prior_stats_check(wrong).first().mean_mismatches == 1
+
+
+def test_white_space_of_any_kind_is_blank(spark):
+    paid = ["", "\t", "\xa0 \n", "2025-04-01"]
+    found = build(spark, [row(consumer=str(k), paid=p, payment="0") for k, p in enumerate(paid)]).orderBy("consumer_no").collect()
+    assert [r.payment_blank for r in found] == [True, True, True, False]
+    assert [r.at_risk_current for r in found[:3]] == [1, 1, 1]

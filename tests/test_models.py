@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -86,3 +88,33 @@ def test_grids():
     assert len(models.tree_classifier("anomaly")) == 4
     clone = models.balanced_clone(models.tree_classifier("anomaly")[2])
     assert clone.estimator.getWeightCol() == "weight" and clone.estimator.getMaxDepth() == 8
+
+
+def test_settings_and_missing_values_decide_reuse(spark, consumption, tmp_path):
+    parts, _ = consumption
+    train, validation, path = parts["TRAIN"].limit(400), parts["VALIDATION"].limit(100), str(tmp_path / "r")
+    grid = models.linear_ladder()[:1]
+    other = [replace(grid[0], estimator=grid[0].estimator.copy({grid[0].estimator.regParam: 0.5}))]
+    assert [models.resume_comparison(path, grid, train, validation, False)[1] for _ in range(2)] == [False, True]
+    assert not models.resume_comparison(path, other, train, validation, False)[1]
+    rows = [(1, None, 5.0), (2, 5.0, None)]
+    a = spark.createDataFrame(rows, "k long, x double, y double")
+    b = spark.createDataFrame([(1, 5.0, None), (2, None, 5.0)], "k long, x double, y double")
+    assert models.input_fingerprint(a) != models.input_fingerprint(b)
+
+
+def test_forests_do_not_depend_on_the_cluster(spark, consumption):
+    """The same rows in other partitions give the same trees."""
+    parts, _ = consumption
+    config = models.forest_regression([(5, 4)])[0]
+    importances = [models.fit_pipeline(config, parts["TRAIN"].repartition(n)).model.featureImportances.toArray().tolist() for n in (3, 11)]
+    assert importances[0] == pytest.approx(importances[1], abs=1e-12)
+
+
+def test_class_positions(spark):
+    class Fitted:
+        numClasses = 2
+
+    assert models.class_position(Fitted) == 1 and models.class_position(Fitted, ["1", "0"], "1") == 0
+    with pytest.raises(ValueError):
+        models.class_position(Fitted, label=2)
