@@ -197,8 +197,8 @@ def odd_panel(spark, folder):
         F.when((k + o) % 9 == 0, F.lit(0.0)).when((k + o) % 17 == 0, -F.col("bill_amount")).otherwise(F.col("bill_amount")).alias("bill_amount"),
         F.when(o % 19 == 0, F.lit(float("inf"))).otherwise(F.col("payment_amount")).alias("payment_amount"),
         F.when(k % 6 == 0, F.lit(0.0)).when(k % 25 == 1, -F.col("contract_load")).otherwise(F.col("contract_load")).alias("contract_load"),
-        F.date_sub("month_end", (k * 3 + o) % 40).alias("bill_date"),
-        F.date_sub("month_end", (k * 5 + o) % 70).alias("prev_bill_date"),
+        F.date_sub("month_end", ((k * 3 + o) % 40).cast("int")).alias("bill_date"),
+        F.date_sub("month_end", ((k * 5 + o) % 70).cast("int")).alias("prev_bill_date"),
         F.date_add("connection_date", F.when(k % 4 == 0, 400).otherwise(0)).alias("connection_date"),
     )
 
