@@ -97,6 +97,14 @@ def financial_year(day: Column, first_month: int = 4) -> Column:
     return F.concat_ws("-", year.cast("string"), (year + 1).cast("string"))
 
 
+def financial_year_start(label: str, first_month: int = 4) -> int:
+    """Ordinal of the first month of a financial year such as 2025-2026."""
+    first, _, second = label.partition("-")
+    if not (first.isdigit() and second.isdigit() and int(second) == int(first) + 1):
+        raise ValueError(f"{label!r} is not a financial year")
+    return int(first) * 12 + first_month - 1
+
+
 def _round_half_even(value: Column, decimals: int) -> Column:
     """value * 10**decimals to the nearest integer, ties to even, judged on the exact double.
 

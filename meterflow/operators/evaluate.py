@@ -107,13 +107,13 @@ def selection_record(
     )
 
 
-def close_to_rival(rival: DataFrame, metric: str, recall: str, margin: float = 0.02) -> dict[str, Column]:
+def close_to_rival(rival: DataFrame, metric: str, recall: str, margin: float = 0.02, gap: str = "overfit_gap") -> dict[str, Column]:
     """Gates against one rival row: close enough, stronger recall, smaller overfit gap."""
-    other = rival.select(F.struct(metric, recall, "overfit_gap")).scalar()
+    other = rival.select(F.struct(F.col(metric).alias("metric"), F.col(recall).alias("recall"), F.col(gap).alias("gap"))).scalar()
     return {
-        "gate_close_to_top": other.getField(metric) - F.col(metric) <= margin,
-        "gate_stronger_recall": F.col(recall) > other.getField(recall),
-        "gate_smaller_gap": F.col("overfit_gap") < other.getField("overfit_gap"),
+        "gate_close_to_top": other.getField("metric") - F.col(metric) <= margin,
+        "gate_stronger_recall": F.col(recall) > other.getField("recall"),
+        "gate_smaller_gap": F.col(gap) < other.getField("gap"),
     }
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterflow.functions.reshape import long_form
-from meterflow.functions.scalars import financial_year, month_number, month_start
+from meterflow.functions.scalars import financial_year_start, month_number
 
 KEYS = ["consumer_no", "target_ord"]
 
@@ -109,9 +109,13 @@ def prediction_kpis(predictions: DataFrame) -> DataFrame:
 # --- history totals -------------------------------------------------------------------
 
 def select_periods(panel: DataFrame, year: str | None = None, month: int | None = None, ord: str = "ord") -> DataFrame:
-    """Rows of a financial year (2025-2026) and optionally one month of it."""
+    """Rows of a financial year (2025-2026) and optionally one month of it.
+
+    The year is a range of periods, which prunes the folders of a stored panel.
+    """
     if year is not None:
-        panel = panel.filter(financial_year(month_start(F.col(ord))) == year)
+        first = financial_year_start(year)
+        panel = panel.filter(F.col(ord).between(first, first + 11))
     if month is not None:
         panel = panel.filter(month_number(F.col(ord)) == month)
     return panel

@@ -74,6 +74,10 @@ def run_module(
             "gate_auc": F.col("VALIDATION_ROC_AUC") > 0.5,
             "gate_both_classes": (F.col("VALIDATION_Recall_0") > 0) & (F.col("VALIDATION_Recall_1") > 0),
         }
+    leader = ranked.filter("position = 1").first()
+    if module == "anomaly" and choice not in (None, leader.configuration):
+        # A named choice that isn't the first ranked one has to be close to it, with better recall and a smaller gap.
+        gates = evaluate.close_to_rival(ranked.filter("position = 1"), "VALIDATION_F1_1", "VALIDATION_Recall_1")
     record = evaluate.selection_record(ranked, primary, gates, choice)
     tables.write_once(record, f"{out}/selection")
     selection = spark.read.parquet(f"{out}/selection").select("configuration", "frozen_before_final_test").first()

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_SCRATCH: dict[str, str] = {}
+_SCRATCH: set[str] = set()
 
 
 def build_session(app: str = "meterflow", master: str | None = None, **conf: str) -> SparkSession:
@@ -42,9 +43,22 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_SCRATCH[context.applicationId]
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """The application's own folder below the shared one; it is deleted when the application ends."""
+    context = spark.sparkContext
+    root = f"{shared_dir(spark)}/meterflow/{context.applicationId}"
+    if root not in _SCRATCH:
+        path = context._jvm.org.apache.hadoop.fs.Path(root)
+        system = path.getFileSystem(context._jsc.hadoopConfiguration())
+        system.mkdirs(path)
+        system.deleteOnExit(path)
+        _SCRATCH.add(root)
+    return root
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh, unused path under the shared folder."""
-    return f"{shared_dir(spark)}/meterflow/{label}-{uuid.uuid4().hex}"
+    """A fresh, unused path for an intermediate table of this application."""
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
