@@ -143,7 +143,7 @@ def _sets(column: pa.Array) -> list[np.ndarray]:
 def _compared(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in T.pieces(batch, "line_a", 1 << 20):
+            for piece in T.pieces(batch, "line_a"):
                 linked = []
                 for x, y in zip(_sets(piece.column("line_a")), _sets(piece.column("line_b"))):
                     small, large = sorted((len(x), len(y)))
@@ -157,6 +157,9 @@ def _compared(least: int):
 def similar(sets: list[np.ndarray], least: int) -> np.ndarray:
     """Which of the sets are similar, as a matrix: products of their incidence with the members that two sets have at least."""
     sizes = np.array([len(x) for x in sets])
+    if len(sets) == 2:
+        common = len(np.intersect1d(*sets, assume_unique=True))
+        return np.full((2, 2), 100 * common >= least * (sizes.sum() - common))
     owner = np.repeat(np.arange(len(sets)), sizes)
     _, member, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     shared = count > 1
@@ -165,8 +168,9 @@ def similar(sets: list[np.ndarray], least: int) -> np.ndarray:
     common = np.zeros((len(sets), len(sets)), dtype=np.float32)
     order = np.argsort(member, kind="stable")
     owner, member = owner[order], member[order]
-    width = max(256, (1 << 22) // len(sets))
-    for k in range(0, int(shared.sum()), width):
+    columns = int(shared.sum())
+    width = min(columns, max(256, (1 << 22) // len(sets)))
+    for k in range(0, columns, width or 1):
         a, b = np.searchsorted(member, [k, k + width])
         part = np.zeros((len(sets), width), dtype=np.float32)
         part[owner[a:b], member[a:b] - k] = 1
@@ -183,16 +187,15 @@ def _bucket_links(least: int):
             uid, component, block = (table.column(c).to_numpy() for c in ("uid", "component", "block"))
             group, two = (table.column(c).to_numpy(zero_copy_only=False) for c in ("group", "two"))
             cuts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1], [True]]))
-            known: dict[int, np.ndarray] = {}
+            # A group of one component has nothing to find; the lines of the others are taken apart once for all groups here.
+            mixed = [(a, b) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()) if (component[a:b] != component[a]).any()]
+            if not mixed:
+                continue
+            at = np.concatenate([np.arange(a, b) for a, b in mixed])
+            names, first = np.unique(uid[at], return_index=True)
+            known = dict(zip(names.tolist(), _sets(table.column("line").take(pa.array(at[first])).combine_chunks())))
             found: list[tuple[np.ndarray, np.ndarray]] = []
-            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-                if b - a == 1 or (component[a:b] == component[a]).all():
-                    continue
-                new = [k for k in range(a, b) if uid[k] not in known]
-                if len(known) + len(new) > 4 * BLOCK:
-                    known, new = {}, list(range(a, b))
-                if new:
-                    known |= zip(uid[new].tolist(), _sets(table.column("line").take(pa.array(new)).combine_chunks()))
+            for a, b in mixed:
                 near = similar([known[u] for u in uid[a:b].tolist()], least) & (component[a:b, None] != component[a:b])
                 if two[a]:
                     near &= block[a:b, None] != block[a:b]
