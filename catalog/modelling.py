@@ -52,10 +52,13 @@ SELECT module, "partition", CAST(CASE "partition" WHEN 'TRAIN' THEN 23941 WHEN '
   count(target) AS known_targets, CASE WHEN module = 'consumption' THEN avg(target) END AS mean, CASE WHEN module = 'consumption' THEN stddev_samp(target) END AS sd,
   CASE WHEN module = 'consumption' THEN quantile_cont(target, 0.25) END AS q1, CASE WHEN module = 'consumption' THEN quantile_cont(target, 0.5) END AS median,
   CASE WHEN module = 'consumption' THEN quantile_cont(target, 0.75) END AS q3,
+  CASE WHEN module = 'consumption' THEN min(target) END AS minimum, CASE WHEN module = 'consumption' THEN max(target) END AS maximum,
+  count(*) FILTER (kept AND target IS NULL) AS missing_targets_retained,
+  CASE WHEN module <> 'consumption' AND "partition" <> 'FUTURE' THEN 100.0 * count(*) FILTER (target = 0) / CAST(count(target) AS DOUBLE) END AS class_0_percent,
   CASE WHEN module <> 'consumption' AND "partition" <> 'FUTURE' THEN count(*) FILTER (target = 0) END AS class_0,
   CASE WHEN module <> 'consumption' AND "partition" <> 'FUTURE' THEN count(*) FILTER (target = 1) END AS class_1,
   CASE WHEN module <> 'consumption' AND "partition" <> 'FUTURE' THEN 100.0 * count(*) FILTER (target = 1) / CAST(count(target) AS DOUBLE) END AS class_1_percent
-FROM w GROUP BY module, "partition" """, ["mean", "sd", "q1", "median", "q3", "class_1_percent"])
+FROM w GROUP BY module, "partition" """, ["mean", "sd", "q1", "median", "q3", "class_0_percent", "class_1_percent"])
 def split_summary(spark, folder):
     rows = splits.windowed(built(spark, folder), P1_BOUNDS).select("module", "partition", "target", "target_ord", "consumer_no")
     return splits.split_summary(materialize(rows, "windows"), P1_BOUNDS)

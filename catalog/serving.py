@@ -115,10 +115,11 @@ def prediction_kpis(spark, folder):
     return serving.prediction_kpis(serving.serving_predictions(*predictions(spark, folder)))
 
 
-@query("prediction_coverage", f"""WITH {PREDICTIONS} SELECT 'consumption' AS module, count(prediction) AS predictions, count(DISTINCT consumer_no) AS unique_consumers,
+@query("prediction_coverage", f"""WITH {PREDICTIONS} SELECT 'consumption' AS module, count(prediction) AS predictions, count(*) FILTER (isfinite(prediction)) AS finite_predictions, count(DISTINCT consumer_no) AS unique_consumers,
+  min(target_ord) AS target_ord, count(DISTINCT target_ord) AS target_periods,
   count(*) FILTER (prediction < 0) AS negative_predictions, min(prediction) AS minimum, max(prediction) AS maximum, CAST(NULL AS BIGINT) AS predicted_class_0, CAST(NULL AS BIGINT) AS predicted_class_1,
   (SELECT count(*) FROM fu) AS future_rows, 100.0 * count(prediction) / CAST((SELECT count(*) FROM fu) AS DOUBLE) AS coverage_percent FROM pa
-UNION ALL SELECT 'revenue', count(probability), count(DISTINCT consumer_no), count(*) FILTER (probability < 0), min(probability), max(probability),
+UNION ALL SELECT 'revenue', count(probability), count(*) FILTER (isfinite(probability)), count(DISTINCT consumer_no), min(target_ord), count(DISTINCT target_ord), count(*) FILTER (probability < 0), min(probability), max(probability),
   count(*) FILTER (predicted_class = 0), count(*) FILTER (predicted_class = 1), (SELECT count(*) FROM fu), 100.0 * count(probability) / CAST((SELECT count(*) FROM fu) AS DOUBLE) FROM pb""",
     ["minimum", "maximum", "coverage_percent"])
 def prediction_coverage(spark, folder):

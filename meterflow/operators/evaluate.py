@@ -230,7 +230,10 @@ def prediction_coverage(predictions: DataFrame, future: DataFrame, value: str, c
     )
     return predictions.agg(
         F.count(v).alias("predictions"),
+        F.count_if(~F.isnan(v) & (F.abs(v) < F.lit(float("inf")))).alias("finite_predictions"),
         F.count_distinct("consumer_no").alias("unique_consumers"),
+        F.min("target_ord").alias("target_ord"),
+        F.count_distinct("target_ord").alias("target_periods"),
         F.count_if(v < 0).alias("negative_predictions"),
         F.min(v).alias("minimum"),
         F.max(v).alias("maximum"),

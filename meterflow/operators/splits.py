@@ -70,6 +70,9 @@ def split_summary(rows: DataFrame, bounds: Bounds) -> DataFrame:
         F.count("target").alias("known_targets"),
         F.avg("target").alias("mean"),
         F.stddev_samp("target").alias("sd"),
+        F.min("target").alias("minimum"),
+        F.max("target").alias("maximum"),
+        F.count_if(kept & F.col("target").isNull()).alias("missing_targets_retained"),
         F.count_if(F.col("target") == 0).alias("_zero"),
         F.count_if(F.col("target") == 1).alias("_one"),
     )
@@ -92,7 +95,10 @@ def split_summary(rows: DataFrame, bounds: Bounds) -> DataFrame:
         "excluded_target_unavailable", "known_targets",
         F.when(F.col("module") == "consumption", F.col("mean")).alias("mean"),
         F.when(F.col("module") == "consumption", F.col("sd")).alias("sd"),
-        "q1", "median", "q3",
+        F.when(F.col("module") == "consumption", F.col("minimum")).alias("minimum"),
+        F.when(F.col("module") == "consumption", F.col("maximum")).alias("maximum"),
+        "q1", "median", "q3", "missing_targets_retained",
+        F.when(label, F.try_divide(100.0 * F.col("_zero"), F.col("known_targets").cast("double"))).alias("class_0_percent"),
         F.when(label, F.col("_zero")).alias("class_0"),
         F.when(label, F.col("_one")).alias("class_1"),
         F.when(label, F.try_divide(F.lit(100.0) * F.col("_one"), F.col("known_targets"))).alias("class_1_percent"),
