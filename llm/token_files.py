@@ -17,6 +17,7 @@ its own names and only finished attempts get into the manifest, so a lost execut
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from array import array
@@ -74,6 +75,8 @@ class Encoder:
     """
 
     def __init__(self, path: str):
+        # A task has its core, and the library would start a thread for each of the machine's.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
