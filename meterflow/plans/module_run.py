@@ -42,10 +42,12 @@ def _rank(module: str, table: DataFrame) -> DataFrame:
 def run_module(
     features: DataFrame, module: str, bounds: Mapping[str, tuple[int, int]], out: str,
     grid: Sequence[models.Configuration] | None = None, choice: str | None = None,
+    rival: str | None = None,
 ) -> ModuleResult:
     """Run a module and write its split, comparison, selection, evidence, models and predictions below `out`.
 
-    `choice` names a configuration; without it the first ranked one is taken.
+    `choice` names a configuration; without it the first ranked one is taken. In the anomaly module a `rival`
+    gates the choice: its F1 may be 0.02 lower at most, its recall has to be higher and its overfit gap smaller.
     """
     spark, classify = features.sparkSession, module != "consumption"
     split = splits.module_rows(features, bounds, module)
@@ -74,10 +76,10 @@ def run_module(
             "gate_auc": F.col("VALIDATION_ROC_AUC") > 0.5,
             "gate_both_classes": (F.col("VALIDATION_Recall_0") > 0) & (F.col("VALIDATION_Recall_1") > 0),
         }
-    leader = ranked.filter("position = 1").first()
-    if module == "anomaly" and choice not in (None, leader.configuration):
-        # A named choice that isn't the first ranked one has to be close to it, with better recall and a smaller gap.
-        gates = evaluate.close_to_rival(ranked.filter("position = 1"), "VALIDATION_F1_1", "VALIDATION_Recall_1")
+    if module == "anomaly" and rival is not None:
+        if not ranked.filter(F.col("configuration") == rival).count():
+            raise ValueError(f"{module}: no configuration {rival} to compare the choice with")
+        gates = evaluate.close_to_rival(ranked.filter(F.col("configuration") == rival), "VALIDATION_F1_1", "VALIDATION_Recall_1")
     record = evaluate.selection_record(ranked, primary, gates, choice)
     tables.write_once(record, f"{out}/selection")
     selection = spark.read.parquet(f"{out}/selection").select("configuration", "frozen_before_final_test").first()

@@ -80,3 +80,11 @@ def test_anomaly_module_with_named_choice(spark, table, tmp_path):
     scored = result.predictions.agg(F.count("*").alias("n"), F.min("probability").alias("lo"), F.max("probability").alias("hi")).first()
     assert scored.n == CONSUMERS and 0 <= scored.lo <= scored.hi <= 1
     assert {r.configuration for r in result.final_test.collect()} == {"DT-1-balanced", "TRAIN-majority"}
+
+
+def test_a_rival_gates_the_anomaly_choice(table, tmp_path):
+    grid = models.tree_classifier("anomaly", [3])
+    with pytest.raises(ValueError, match="gates"):  # never better than itself
+        module_run.run_module(table, "anomaly", BOUNDS, str(tmp_path / "g"), grid, choice="DT-1-balanced", rival="DT-1-balanced")
+    with pytest.raises(ValueError, match="no configuration"):
+        module_run.run_module(table, "anomaly", BOUNDS, str(tmp_path / "h"), grid, choice="DT-1", rival="DT-9")
