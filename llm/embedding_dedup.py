@@ -23,12 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm.graph import components
+from llm.groups import in_blocks, smallest_linked, whole_groups
 from meterflow.session import materialize
 
 BLOCK = 512
 #: Bounds hold for all but about one in 30,000 estimates, and only pairs close to the threshold could be missed.
 SIGMAS = 4.0
-_ROWS = 4096
 
 
 def rotations(dim: int, count: int, seed: int) -> np.ndarray:
@@ -150,44 +150,12 @@ class _Bucket:
         return i[exact >= self.plan.threshold], j[exact >= self.plan.threshold]
 
 
-def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """The smallest member of each row's component, for rows 0 .. n-1."""
-    root = np.arange(n)
-    while True:
-        before = root.copy()
-        least = np.minimum(root[i], root[j])
-        np.minimum.at(root, i, least)
-        np.minimum.at(root, j, least)
-        root = root[root]
-        if (root == before).all():
-            return root
-
-
 def _compare(plan: Plan, seed: int):
     schema = pa.schema([("row", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
 
-    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-        """Whole groups: rows of a group stand together, but may go on in the next batch."""
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            group = batch.column("group")
-            last = group[-1].as_py()
-            same = np.asarray(group.to_numpy(zero_copy_only=False) == last)
-            cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
-            if held and (cut or held[0].column("group")[-1].as_py() != last):
-                yield pa.Table.from_batches([*held, batch.slice(0, cut)])
-                held = []
-            elif cut:
-                yield pa.Table.from_batches([batch.slice(0, cut)])
-            held.append(batch.slice(cut))
-        if held:
-            yield pa.Table.from_batches(held)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket = _Bucket(plan, seed)
-        for table in groups(batches):
+        for table in whole_groups(batches):
             table = table.combine_chunks()
             ids, copies = table.column("row").to_numpy(), table.column("copies").to_numpy()
             group, band, dims = (table.column(c).to_numpy(zero_copy_only=False) for c in ("group", "band", "dim"))
@@ -220,7 +188,7 @@ def _compare(plan: Plan, seed: int):
                 links = np.zeros(len(names), dtype=np.int64)
                 np.add.at(links, i_of, copies[j])
                 np.add.at(links, j_of, copies[i])
-                root = names[_roots(len(names), i_of, j_of)]
+                root = names[smallest_linked(len(names), i_of, j_of)]
                 hit = np.flatnonzero(links)
                 yield pa.RecordBatch.from_arrays([pa.array(names[hit]), pa.array(links[hit]), pa.array(root[hit])], schema=schema)
 
@@ -248,13 +216,7 @@ def embedding_components(vectors: DataFrame, id_col: str = "vec_id", vec_col: st
     coded = materialize(coded, "codes")
     large = coded.groupBy("dim", "band", "key").agg(F.count("*").alias("n")).where(f"n > {BLOCK}").withColumn("blocks", F.ceil(F.col("n") / BLOCK))
     dealt = coded.join(large.drop("n"), ["dim", "band", "key"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    dealt = dealt.withColumn("block", F.pmod(F.xxhash64(F.lit(seed), "row"), F.col("blocks")))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    dealt = dealt.select(
-        "row", "copies", "dim", "vec", "code", "band", "block", (F.col("block") != F.col("other")).alias("_cross"),
-        F.concat_ws(":", "dim", "band", "key", F.least("block", "other"), F.greatest("block", "other")).alias("group"),
-        (F.least("block", "other") != F.greatest("block", "other")).alias("two"),
-    ).drop("_cross")
+    dealt = in_blocks(dealt, "row", ["dim", "band", "key"], seed).select("row", "copies", "dim", "vec", "code", "band", "block", "two", "group")
     dealt = dealt.repartition(F.col("group")).sortWithinPartitions("group")
     found = materialize(dealt.mapInArrow(_compare(plan, seed), "row long, links long, root long"), "links")
     links = found.groupBy("row").agg(F.sum("links").alias("links"))
