@@ -211,7 +211,7 @@ def _signed(words: int):
 def _overlaps(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in T.pieces(batch, "text_a", 2 << 20):
+            for piece in T.pieces(batch, "text_a"):
                 a, at_a = T.shingle_sets(piece.column("text_a"), words)
                 common = []
                 for k, b_text in enumerate(piece.column("text_b")):
