@@ -1,7 +1,7 @@
 """Documents to training files: five stages, each on all that its predecessor kept.
 
 Every stage but the last returns the columns of `documents`. Decisions are joined by document id, and rows without an id, which no
-operator judges, pass the filters; only the mix leaves them out.
+operator judges, pass the filters. The mix takes every row by itself, whatever its id.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from llm import for_workers
 from llm.decontaminate import benchmark_hits
-from llm.mixing import mix_sources, mixed_documents
+from llm.mixing import mixed_rows
 from llm.ngram_jaccard import ngram_jaccard_components
 from llm.quality import score_quality
 from llm.token_files import token_index, write_token_files
@@ -43,7 +43,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as the mix takes them: a row for each epoch, texts cut down to the words taken."""
-    return mixed_documents(docs, mix_sources(docs)).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    return mixed_rows(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -131,15 +131,20 @@ def mix_sources(
     block: int = 128,
     shard: int = 1024,
     seed: int = 17,
+    row_col: str | None = None,
 ) -> Mix:
     """Mix all documents; `weights` repeat over the sources in code point order, null last.
 
     A null or empty text has no words, and a null source is a source of its own. A null id sorts first; repeated ids are
-    documents of their own. An empty table, or one without words, gives no slots. Only the three named columns are read.
+    documents of their own. An empty table, or one without words, gives no slots. Only the named columns are read.
+    `row_col` names a column that numbers the rows; it then stands in the tables for the id, and has no say in the order.
     """
     spark = docs.sparkSession
     words = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
-    sizes = materialize(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), words.alias("size")), "sizes")
+    # Rows that share an id are told apart by their text.
+    numbered = [F.xxhash64(text_col).alias("digest"), F.col(row_col).alias("row")] if row_col else []
+    apart = ["digest"] if row_col else []
+    sizes = materialize(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), words.alias("size"), *numbered), "sizes")
     sources = source_targets(sizes, weights, ratio, cap)
     sources = sources.withColumn("blocks", F.ceil(F.col("source_size") / block)).withColumn(
         "quota", F.when(F.col("blocks") > 0, F.least(F.round(F.col("target") * F.col("blocks") / F.col("source_size")), F.floor(F.col("blocks") * F.lit(float(cap))))).otherwise(0).cast("long")
@@ -148,8 +153,10 @@ def mix_sources(
     sources = materialize(sources.withColumn("lo", F.coalesce(F.sum("quota").over(ahead), F.lit(0)).cast("long")).withColumn("hi", F.col("lo") + F.col("quota")), "sources")
     # Where each document starts in its source.
     chunks = max(1, int(sizes.count() ** 0.5))
-    placed = sizes.withColumn("chunk", F.pmod(_draw(seed, F.lit("chunk"), "doc_id"), F.lit(chunks)))
-    placed = running_total(placed, ["source"], "chunk", ["doc_id", "size"], "size", "start")
+    placed = sizes.withColumn("chunk", F.pmod(_draw(seed, F.lit("chunk"), "doc_id", *apart), F.lit(chunks)))
+    placed = running_total(placed, ["source"], "chunk", ["doc_id", "size", *apart], "size", "start")
+    if row_col:
+        placed = placed.withColumn("doc_id", F.col("row")).drop("row", "digest")
     named = sources.select(F.col("source").alias("_s"), "sid", "source_size", "target")
     placed = materialize(placed.join(named, F.col("source").eqNullSafe(F.col("_s"))).drop("_s", "chunk"), "placed")
     # A source for each slot.
@@ -197,3 +204,15 @@ def mixed_documents(docs: DataFrame, mix: Mix, id_col: str = "doc_id", text_col:
     part = F.array_join(F.flatten(F.transform("spans", lambda s: F.slice("pieces", (s["from"] + 1).cast("int"), (s["to"] - s["from"]).cast("int")))), "")
     text = F.when(F.col("partly"), part).otherwise(F.col("text")).alias(text_col)
     return rows.select(*[text if c == text_col else F.col("others")[c].alias(c) for c in docs.columns])
+
+
+def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """`docs` as its mix takes it, like `mixed_documents`, but every row by itself: repeated and null ids come out as well.
+
+    The rows are stored with a number each, by which they meet their places.
+    """
+    row = "_row"
+    while row in (c.lower() for c in docs.columns):
+        row = f"_{row}"
+    numbered = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    return mixed_documents(numbered, mix_sources(numbered, id_col, text_col, source_col, row_col=row), row, text_col).drop(row)

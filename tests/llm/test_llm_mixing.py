@@ -1,7 +1,10 @@
+from collections import Counter
+
 import pytest
 from conftest import DOCS, prose
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from llm.mixing import mix_sources, mixed_documents, permuted, running_total
 
 
@@ -131,3 +134,15 @@ def test_one_source_holds_most_words(spark):
         taken[r["source"]] = taken.get(r["source"], 0) + r["taken"]
         assert r["taken"] <= 2 * r["size"]
     assert all(abs(taken[s] - target[s]) <= 33 for s in sizes)
+
+
+def test_rows_with_repeated_and_null_ids_are_mixed(spark):
+    text = [" ".join(prose(100 + k, 150 + 40 * k)) for k in range(6)]
+    ids = [(1, 0), (1, 0), (2, 1), (2, 2), (None, 3), (None, 3), (None, 4), (5, 5)]
+    rows = [(i, text[t], "en", "a", len(text[t])) for i, t in ids]
+    found = [corpus_pipeline.mix(spark, spark.createDataFrame(rows, DOCS).repartition(n), "") for n in (3, 5)]
+    found = [Counter(tuple(r) for r in f.collect()) for f in found]
+    # Every row whole in the first epoch, and half of all words again.
+    assert not Counter(rows) - found[0] and found[0] == found[1]
+    total = sum(len(words(r[1])) for r in rows)
+    assert abs(sum(n * len(words(r[1])) for r, n in found[0].items()) - 1.5 * total) <= 130
