@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog.base import SPLITS, query
@@ -13,6 +15,9 @@ from meterflow.operators import evaluate, models, splits
 from meterflow.session import materialize, scratch_path
 from meterflow.sources.bindings import P1_BOUNDS
 
+#: Ranking rule and gap of each classified module.
+RULES = {"revenue": (evaluate.RANK_AUC, "ROC_AUC"), "anomaly": (evaluate.RANK_F1, "F1_1")}
+
 
 def rows(spark, folder, module):
     """The split of one module, stored for the fits that read it repeatedly."""
@@ -30,6 +35,11 @@ def compared(spark, folder, module, configs):
     return models.comparison(metrics, classify)
 
 
+def by_module(run):
+    """The tables of the classified modules, one below the other."""
+    return reduce(DataFrame.unionByName, [run(module).withColumn("module", F.lit(module)) for module in RULES])
+
+
 @query("linear_ladder")
 def linear_ladder(spark, folder):
     return compared(spark, folder, "consumption", models.linear_ladder())
@@ -43,27 +53,33 @@ def forest_regression(spark, folder):
 
 @query("tree_classifier")
 def tree_classifier(spark, folder):
-    return compared(spark, folder, "revenue", models.tree_classifier("revenue"))
+    return by_module(lambda module: compared(spark, folder, module, models.tree_classifier(module)))
 
 
 @query("forest_classifier")
 def forest_classifier(spark, folder):
-    """The two smaller forests; the larger ones are fitted by the same function, see README for their time."""
-    return compared(spark, folder, "anomaly", models.forest_classifier("anomaly", schema.FOREST_GRID[:2]))
+    """The whole grid for both modules."""
+    return by_module(lambda module: compared(spark, folder, module, models.forest_classifier(module)))
 
 
 @query("compare_models")
 def compare_models(spark, folder):
-    """Trees, and the balanced clone of the best one, ranked by the anomaly rule."""
-    parts, _ = rows(spark, folder, "anomaly")
+    """Trees, forests, and the balanced clone of the best one, ranked by the rule of their module."""
+    return by_module(lambda module: ranked(spark, folder, module))
+
+
+def ranked(spark, folder, module):
+    parts, _ = rows(spark, folder, module)
     train, validation = parts["TRAIN"], parts["VALIDATION"]
-    grid = models.tree_classifier("anomaly")
+    grid = [*models.tree_classifier(module), *models.forest_classifier(module)]
     metrics, _ = models.compare_models(grid, train, validation, True)
-    ranked = evaluate.rank_models(models.comparison(metrics, True), evaluate.RANK_F1, "F1_1")
-    best = ranked.filter("position = 1").first().configuration
-    both = [c for c in grid if c.name == best]
-    again, _ = models.compare_models([*grid, models.balanced_clone(both[0])], train, validation, True)
-    return evaluate.rank_models(models.comparison(again, True), evaluate.RANK_F1, "F1_1")
+    metrics = materialize(metrics, "metrics")
+    rule, gap = RULES[module]
+    best = evaluate.rank_models(models.comparison(metrics, True), rule, gap).filter("position = 1").first().configuration
+    clones = [models.balanced_clone(c) for c in grid if c.name == best]
+    again, _ = models.compare_models(clones, train, validation, True)
+    both = metrics.unionByName(again.withColumn("pos", F.lit(len(grid) + 1)))
+    return evaluate.rank_models(models.comparison(both, True), rule, gap)
 
 
 @query("resume_comparison")

@@ -118,3 +118,20 @@ def test_class_positions(spark):
     assert models.class_position(Fitted) == 1 and models.class_position(Fitted, ["1", "0"], "1") == 0
     with pytest.raises(ValueError):
         models.class_position(Fitted, label=2)
+
+
+def test_registered_queries_fit_the_whole_grid_of_both_modules(spark, monkeypatch):
+    fitted = []
+
+    class Table:
+        def withColumn(self, *_):
+            return self
+
+    monkeypatch.setattr(wired, "compared", lambda spark, folder, module, configs: fitted.append((module, [c.name for c in configs])) or Table())
+    monkeypatch.setattr(wired, "DataFrame", type("DataFrame", (), {"unionByName": staticmethod(lambda a, b: a)}))
+    names = lambda kind, grid: [(m, [f"{kind}-{i + 1}" for i in range(len(grid))]) for m in ("revenue", "anomaly")]
+    wired.forest_classifier(None, None)
+    assert fitted == names("RF", schema.FOREST_GRID)
+    fitted.clear()
+    wired.tree_classifier(None, None)
+    assert fitted == names("DT", schema.TREE_DEPTHS)
