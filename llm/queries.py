@@ -11,6 +11,7 @@ from llm import for_workers
 from llm.chat import chat_digests, format_chat, write_chat
 from llm.decontaminate import benchmark_hits
 from llm.embedding_dedup import embedding_components
+from llm.fill_middle import fill_middle_digests
 from llm.language import identify_language
 from llm.licenses import scan_licenses
 from llm.line_dedup import dedup_lines
@@ -69,6 +70,10 @@ def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_components(_table(spark, folder, "embeddings"))
 
 
+def op13_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return fill_middle_digests(_table(spark, folder, "documents"))
+
+
 __all__ = ["QUERIES", "SQL"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -82,4 +87,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mix": op8_source_mix,
     "op9_line_dedup": op9_line_dedup,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op13_fill_middle": op13_fill_middle,
 }

@@ -39,4 +39,13 @@ r(vec_id, reach) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id
 c AS (SELECT vec_id, min(reach) AS component_id FROM r GROUP BY vec_id)
 SELECT c.vec_id, (SELECT count(*) FROM l WHERE l.a = c.vec_id) AS n_links, component_id, c.vec_id = component_id AS kept FROM c"""
 
-SQL: dict[str, str] = {"op1_ngram_jaccard": OP1, "op3_chat_format": OP3, "op10_embedding_dedup": OP10}
+OP13 = r"""WITH t AS (SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d FROM documents),
+u AS (SELECT doc_id, t, regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS us, list_transform(range(4), lambda k: CAST('0x' || substr(d, 8 * k + 1, 8) AS BIGINT)) AS h FROM t),
+c AS (SELECT *, len(us) AS n, least(h[1] % (len(us) + 1), h[2] % (len(us) + 1)) AS a, greatest(h[1] % (len(us) + 1), h[2] % (len(us) + 1)) AS b,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 50 THEN 'plain' WHEN h[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u),
+s AS (SELECT doc_id, t, n, form, array_to_string(us[1:a], '') AS p, array_to_string(us[a + 1:b], '') AS m, array_to_string(us[b + 1:], '') AS s FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
+FROM s"""
+
+SQL: dict[str, str] = {"op1_ngram_jaccard": OP1, "op3_chat_format": OP3, "op10_embedding_dedup": OP10, "op13_fill_middle": OP13}
