@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from llm import for_workers
 from llm.chat import chat_digests, format_chat, write_chat
 from llm.decontaminate import benchmark_hits
 from llm.embedding_dedup import embedding_components
 from llm.fill_middle import fill_middle_digests
+from llm.hard_negatives import mine_hard_negatives
 from llm.language import identify_language
 from llm.licenses import scan_licenses
 from llm.line_dedup import dedup_lines
@@ -70,6 +72,12 @@ def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_components(_table(spark, folder, "embeddings"))
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    ids, label = F.col("vec_id"), F.col("label")
+    rows = _table(spark, folder, "embeddings").withColumn("label", F.when(ids % 7 == 0, (label + 1) % 10).otherwise(label))
+    return mine_hard_negatives(rows, ids % 50 == 0)
+
+
 def op13_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
     return fill_middle_digests(_table(spark, folder, "documents"))
 
@@ -87,5 +95,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mix": op8_source_mix,
     "op9_line_dedup": op9_line_dedup,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_hard_negatives": op11_hard_negatives,
     "op13_fill_middle": op13_fill_middle,
 }

@@ -39,6 +39,15 @@ r(vec_id, reach) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id
 c AS (SELECT vec_id, min(reach) AS component_id FROM r GROUP BY vec_id)
 SELECT c.vec_id, (SELECT count(*) FROM l WHERE l.a = c.vec_id) AS n_links, component_id, c.vec_id = component_id AS kept FROM c"""
 
+OP11 = """WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda y: floor(256 * CAST(y AS DOUBLE))) AS x
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0),
+s AS (SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, CAST(list_dot_product(a.x, b.x) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND len(a.x) = len(b.x) AND a.vec_id <> b.vec_id),
+p AS (SELECT a, b, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5)
+SELECT p.a AS anchor_id, p.b AS positive_id, CAST(row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.b) AS INTEGER) AS rank,
+  s.b AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.a = p.a AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score QUALIFY rank <= 3"""
+
 OP13 = r"""WITH t AS (SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d FROM documents),
 u AS (SELECT doc_id, t, regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS us, list_transform(range(4), lambda k: CAST('0x' || substr(d, 8 * k + 1, 8) AS BIGINT)) AS h FROM t),
 c AS (SELECT *, len(us) AS n, least(h[1] % (len(us) + 1), h[2] % (len(us) + 1)) AS a, greatest(h[1] % (len(us) + 1), h[2] % (len(us) + 1)) AS b,
@@ -48,4 +57,4 @@ SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN leng
   sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
 FROM s"""
 
-SQL: dict[str, str] = {"op1_ngram_jaccard": OP1, "op3_chat_format": OP3, "op10_embedding_dedup": OP10, "op13_fill_middle": OP13}
+SQL: dict[str, str] = {"op1_ngram_jaccard": OP1, "op3_chat_format": OP3, "op10_embedding_dedup": OP10, "op11_hard_negatives": OP11, "op13_fill_middle": OP13}
