@@ -22,6 +22,7 @@ from llm.ngram_jaccard import ngram_jaccard_components
 from llm.quality import score_quality
 from llm.token_files import token_index, write_token_files
 from llm.twins import FORGED, SQL
+from llm.warc import archived_pages, write_warc
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -78,6 +79,10 @@ def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return mine_hard_negatives(rows, ids % 50 == 0)
 
 
+def op12_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return archived_pages(write_warc(_table(spark, folder, "pages")))
+
+
 def op13_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
     return fill_middle_digests(_table(spark, folder, "documents"))
 
@@ -96,5 +101,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_embedding_dedup": op10_embedding_dedup,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_warc": op12_warc,
     "op13_fill_middle": op13_fill_middle,
 }

@@ -48,6 +48,13 @@ SELECT p.a AS anchor_id, p.b AS positive_id, CAST(row_number() OVER (PARTITION B
   s.b AS negative_id, p.score AS positive_score, s.score AS negative_score
 FROM p JOIN s ON s.a = p.a AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score QUALIFY rank <= 3"""
 
+OP12 = """WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS d FROM pages),
+b AS (SELECT page_id, h, array_to_string(list_transform(range(8), lambda i: array_to_string(list_transform([15, 10, 5, 0],
+  lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((CAST('0x' || substr(d, 5 * i + 1, 5) AS INTEGER) >> k) & 31), 1)), '')), '') AS d FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM b)
+SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, d AS payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to FROM f"""
+
 OP13 = r"""WITH t AS (SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d FROM documents),
 u AS (SELECT doc_id, t, regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS us, list_transform(range(4), lambda k: CAST('0x' || substr(d, 8 * k + 1, 8) AS BIGINT)) AS h FROM t),
 c AS (SELECT *, len(us) AS n, least(h[1] % (len(us) + 1), h[2] % (len(us) + 1)) AS a, greatest(h[1] % (len(us) + 1), h[2] % (len(us) + 1)) AS b,
@@ -57,4 +64,4 @@ SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN leng
   sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
 FROM s"""
 
-SQL: dict[str, str] = {"op1_ngram_jaccard": OP1, "op3_chat_format": OP3, "op10_embedding_dedup": OP10, "op11_hard_negatives": OP11, "op13_fill_middle": OP13}
+SQL: dict[str, str] = {"op1_ngram_jaccard": OP1, "op3_chat_format": OP3, "op10_embedding_dedup": OP10, "op11_hard_negatives": OP11, "op12_warc": OP12, "op13_fill_middle": OP13}
