@@ -35,6 +35,8 @@ IDENTICAL = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CAPTURES = ("response", "revisit", "resource")
 #: A task begins another file after about so many bytes.
 FILE_BYTES = 1 << 30
+#: A page's part among those with its payload: its only response, the response of several, or a revisit.
+_ALONE, _FIRST, _AGAIN = 0, 1, 2
 _PRINTABLE = "".join(map(chr, range(33, 127)))
 _MANIFEST = "folder string, file string, records long, bytes long"
 _MANIFEST_TYPES = pa.schema([("folder", "string"), ("file", "string"), ("records", "int64"), ("bytes", "int64")])
@@ -65,31 +67,33 @@ def _request(uri: str) -> bytes:
     return f"GET {slash or '/'}{path} HTTP/1.1\r\nHost: {host}\r\n\r\n".encode()
 
 
-def transaction(row: dict, naming, date: str) -> list[bytes]:
-    """Request, response or revisit, and metadata of one page."""
-    own, uri = naming(row["row"], "capture"), target_uri(row["url"])
+def transaction(row: dict, naming, serial: str, date: str) -> list[bytes]:
+    """Request, response or revisit, and metadata of one page. A response that others revisit is named by its payload, all else by `serial`."""
+    uri = target_uri(row["url"])
     payload = (row["html"] or "").encode("utf-8", "surrogatepass")
     digest = f"sha1:{sha1_base32(payload)}"
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     head = [("WARC-Target-URI", uri), ("WARC-Payload-Digest", digest)]
-    if row["first_row"] is None or row["first_row"] == row["row"]:
-        capture = record("response", own, date, head, "application/http; msgtype=response", http + payload)
-    else:
-        head += [("WARC-Profile", IDENTICAL), ("WARC-Refers-To", f"<{naming(row['first_row'], 'capture')}>"), ("WARC-Refers-To-Date", date)]
+    if row["part"] == _AGAIN:
+        own = naming("capture", serial)
+        head += [("WARC-Profile", IDENTICAL), ("WARC-Refers-To", f"<{naming('payload', digest)}>"), ("WARC-Refers-To-Date", date)]
         capture = record("revisit", own, date, head, "application/http; msgtype=response", http)
+    else:
+        own = naming("payload", digest) if row["part"] == _FIRST else naming("capture", serial)
+        capture = record("response", own, date, head, "application/http; msgtype=response", http + payload)
     near = [("WARC-Target-URI", uri), ("WARC-Concurrent-To", f"<{own}>")]
     # JSON, so that no URL can break a line.
     fields = f"page-id: {json.dumps(row['page_id'])}\r\nurl: {json.dumps(row['url'])}\r\n".encode()
     return [
-        record("request", naming(row["row"], "request"), date, near, "application/http; msgtype=request", _request(uri)),
+        record("request", naming("request", serial), date, near, "application/http; msgtype=request", _request(uri)),
         capture,
-        record("metadata", naming(row["row"], "metadata"), date, near, "application/warc-fields", fields),
+        record("metadata", naming("metadata", serial), date, near, "application/warc-fields", fields),
     ]
 
 
 def _write(folder: str, namespace: str, date: str, file_bytes: int):
-    def naming(row: int | str, kind: str) -> str:
-        return uuid.uuid5(uuid.UUID(namespace), f"{kind}:{row}").urn
+    def naming(kind: str, what: str) -> str:
+        return uuid.uuid5(uuid.UUID(namespace), f"{kind}:{what}").urn
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
@@ -100,10 +104,10 @@ def _write(folder: str, namespace: str, date: str, file_bytes: int):
                 if out is None:
                     name = f"part-{context.partitionId():06d}-{context.taskAttemptId()}-{files:04d}.warc.gz"
                     out, size, count, files = system.open_output_stream(f"{root}/{name}", buffer_size=1 << 20, compression=None), 0, 0, files + 1
-                    first = member(record("warcinfo", naming(name, "file"), date, [("WARC-Filename", name)], "application/warc-fields", b"format: WARC File Format 1.1\r\n"))
+                    first = member(record("warcinfo", naming("file", name), date, [("WARC-Filename", name)], "application/warc-fields", b"format: WARC File Format 1.1\r\n"))
                     out.write(first)
                     size += len(first)
-                for data in transaction(row, naming, date):
+                for data in transaction(row, naming, f"{name}:{count}", date):
                     packed = member(data)
                     out.write(packed)
                     size, count = size + len(packed), count + 1
@@ -133,14 +137,24 @@ def write_warc(
     folder = folder or scratch_path(spark, "warc")
     system, root = fs.FileSystem.from_uri(folder)
     system.create_dir(root, recursive=True)
+    text, size = F.coalesce("html", F.lit("")), F.octet_length(F.coalesce("html", F.lit("")))
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    text = F.coalesce("html", F.lit(""))
-    rows = rows.select(F.monotonically_increasing_id().alias("row"), "*", F.sha1(text.cast("binary")).alias("digest"), F.octet_length(text).alias("size"))
-    rows = materialize(rows, "pages")
-    # Copies are counted before they travel, and only payloads that repeat are joined.
-    first = rows.where(F.col("size") >= least_bytes).groupBy("digest").agg(F.count("*").alias("n"), F.min(F.struct(F.col("page_id").isNull(), "page_id", "row")).alias("first"))
-    first = materialize(first.where("n > 1").select("digest", F.col("first.row").alias("first_row")), "repeated")
-    rows = rows.join(first, "digest", "left").select("row", "page_id", "url", "html", F.when(F.col("size") >= least_bytes, F.col("first_row")).alias("first_row"))
+    rows = rows.withColumn("digest", F.when(size >= least_bytes, F.sha1(text.cast("binary"))))
+    # Digests are counted before they travel, and texts are joined with the repeated ones only.
+    counts = rows.where("digest is not null").groupBy("digest", "page_id").agg(F.count("*").alias("n"))
+    first = counts.groupBy("digest").agg(F.sum("n").alias("all"), F.min(F.struct(F.col("page_id").isNull(), "page_id", "n")).alias("first")).where("all > 1")
+    first = materialize(first.select("digest", F.col("first.page_id").alias("first_id"), F.col("first.n").alias("ties")), "repeated")
+    rows = rows.join(first, "digest", "left").withColumn("leads", F.col("ties").isNotNull() & F.col("page_id").eqNullSafe(F.col("first_id")))
+    part = F.when(F.col("ties").isNull(), _ALONE).when(F.col("leads"), _FIRST).otherwise(_AGAIN)
+    columns = ["page_id", "url", "html"]
+    if first.where("ties > 1").isEmpty():
+        rows = rows.select(*columns, part.alias("part"))
+    else:
+        # Rows that repeat the smallest id as well: they are numbered, and the least number leads.
+        tied = materialize(rows.where("leads and ties > 1").withColumn("number", F.monotonically_increasing_id()), "tied")
+        least = tied.groupBy("digest").agg(F.min("number").alias("least"))
+        tied = tied.join(least, "digest").select(*columns, F.when(F.col("number") == F.col("least"), _FIRST).otherwise(_AGAIN).alias("part"))
+        rows = rows.where("not (leads and ties > 1)").select(*columns, part.alias("part")).unionByName(tied)
     return materialize(rows.mapInArrow(_write(folder, str(uuid.uuid4()), date, file_bytes), _MANIFEST), "manifest")
 
 
@@ -270,7 +284,7 @@ def captures(records: DataFrame) -> DataFrame:
     named = records.select("record_id", F.explode("concurrent_to").alias("other"), is_capture.alias("captured"))
     known = records.where(is_capture).select(F.col("record_id").alias("capture")).distinct()
     # Links run both ways; what a capture names counts as naming the capture.
-    links = named.where("not captured").select("record_id", "other").unionByName(named.select(F.col("other").alias("record_id"), F.col("record_id").alias("other"))).distinct()
+    links = named.where("not captured").select("record_id", "other").unionByName(named.select(F.col("other").alias("record_id"), F.col("record_id").alias("other")))
     direct = links.join(known, links["other"] == known["capture"]).groupBy("record_id").agg(F.min("capture").alias("capture"))
     between = links.join(direct.select(F.col("record_id").alias("other"), "capture"), "other").groupBy("record_id").agg(F.min("capture").alias("far"))
     belongs = direct.join(between, "record_id", "full").select("record_id", F.coalesce("capture", "far").alias("capture"))
@@ -280,18 +294,26 @@ def captures(records: DataFrame) -> DataFrame:
     rest = rest.join(belongs, "record_id").groupBy("capture").agg(listed("request").alias("requests"), listed("metadata").alias("metadata"))
     out = own.join(rest, own["record_id"] == rest["capture"], "left").drop("capture")
     empty = lambda name: F.coalesce(name, F.array().cast(rest.schema[name].dataType)).alias(name)
-    return out.select(*[c for c in own.columns], empty("requests"), empty("metadata"))
+    return out.select(*own.columns, empty("requests"), empty("metadata"))
 
 
 def resolved(rows: DataFrame) -> DataFrame:
-    """Captures with `original`: the record id, size, digest and metadata of the response that a revisit refers to; null for others and where it is not at hand."""
-    first = rows.where("kind <> 'revisit'").select(F.col("record_id").alias("first_id"), F.struct("record_id", "payload_bytes", "payload_digest", "metadata").alias("original"))
-    return rows.join(first, (F.col("refers_to") == F.col("first_id")) & (F.col("kind") == "revisit"), "left").drop("first_id")
+    """Captures with `original`: the record id, size, digest and metadata of the response that a revisit refers to; null for others and where it is not at hand.
+
+    `rows` is read twice: store it if it is dear.
+    """
+    again = F.col("kind") == "revisit"
+    first = rows.where(~again).select(F.col("record_id").alias("first_id"), F.struct("record_id", "payload_bytes", "payload_digest", "metadata").alias("original"))
+    # What refers to nothing goes by its own id, so that it is spread over all tasks.
+    rows = rows.withColumn("first_id", F.when(again, F.coalesce("refers_to", "record_id")).otherwise(F.col("record_id")))
+    rows = rows.join(first, "first_id", "left").drop("first_id")
+    return rows.withColumn("original", F.when(again, F.col("original")))
 
 
 def archived_pages(manifest: DataFrame) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) of every capture in the archives."""
-    rows = resolved(captures(materialize(read_warc(manifest).drop("payload"), "records")))
+    records = read_warc(manifest).select("record_id", "kind", "concurrent_to", "refers_to", "fields", "payload_bytes", "payload_digest")
+    rows = resolved(materialize(captures(materialize(records, "records")), "captures"))
     page = lambda metadata: F.try_element_at(F.try_element_at(metadata, F.lit(1))["fields"], F.lit("page-id")).try_cast("long")
     again = F.col("kind") == "revisit"
     return rows.select(
