@@ -20,17 +20,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterflow import schema
-from meterflow.operators.baselines import balanced_weights
-from meterflow.operators.evaluate import CLASS_METRICS, REGRESSION_METRICS, comparison_table, metric_gaps
+from meterflow.operators.baselines import balanced_weights, majority, persistence
+from meterflow.operators.evaluate import CLASS_METRICS, REGRESSION_METRICS, comparison_table, metric_gaps, rank_models
+from meterflow.operators.families import FitStore, write_cut
 from meterflow.operators.metrics import regression_metrics, scored_metrics
 from meterflow.operators.prepare import fit_medians, fit_modes, impute
-from meterflow.session import materialize
+from meterflow.session import materialize, scratch_path
 
 # Trees grown out stop at the deepest level the library supports.
 FULL_DEPTH = 30
-# Partitions of the rows a model is fitted on. Bootstrap samples are drawn by partition, so the number is a
-# parameter: it must not follow the size of the table or of the cluster.
-FIT_PARTITIONS = 16
+# Bootstrap samples are drawn by partition of the fit rows. So many rows make a partition, and there are so many at least: the number
+# follows the fit rows alone, never the cluster or how a table is laid out.
+FIT_ROWS, LEAST_PARTITIONS = 1 << 18, 4
 
 
 @dataclass(frozen=True)
@@ -53,8 +54,8 @@ def linear_ladder() -> list[Configuration]:
 
 
 def _tree_settings(depth: int | None) -> dict:
-    # One histogram pass covers as many nodes as fit in maxMemoryInMB.
-    return {"maxDepth": depth or FULL_DEPTH, "seed": schema.MODEL_SEED, "maxMemoryInMB": 1024}
+    # With the nodes of rows kept beside them no pass sends the trees grown so far; the lineage is cut at every tenth pass.
+    return {"maxDepth": depth or FULL_DEPTH, "seed": schema.MODEL_SEED, "maxMemoryInMB": 512, "cacheNodeIds": True, "checkpointInterval": 10}
 
 
 def forest_regression(grid: Sequence[tuple[int, int | None]] = tuple(schema.FOREST_GRID)) -> list[Configuration]:
@@ -194,7 +195,8 @@ def model_inputs(preprocessing: Preprocessing, df: DataFrame) -> DataFrame:
     """
     kept = [c for c in [*_KEPT, "partition", "weight"] if c in df.columns]
     stored = materialize(preprocessing.transform(df).select(*kept, *preprocessing.columns()), "inputs")
-    return stored.repartition(FIT_PARTITIONS, "consumer_no", "target_ord").sortWithinPartitions("consumer_no", "target_ord")
+    parts = max(LEAST_PARTITIONS, -(-stored.count() // FIT_ROWS))
+    return stored.repartition(parts, "consumer_no", "target_ord").sortWithinPartitions("consumer_no", "target_ord")
 
 
 def fit_estimator(config: Configuration, preprocessing: Preprocessing, inputs: DataFrame):
@@ -235,8 +237,40 @@ def score_classes(model, df: DataFrame) -> DataFrame:
     return scored.withColumn("predicted_class", (F.col("probability") > 0.5).cast("int"))
 
 
+def families(configs: Sequence[Configuration]) -> list[list[Configuration]]:
+    """Configurations that differ in name and depth alone, the deepest first; every other one is a family by itself."""
+    found: dict[str, list[Configuration]] = {}
+    for config in configs:
+        found.setdefault(configuration_key(config, but=("maxDepth",)), []).append(config)
+    return [sorted(f, key=_depth, reverse=True) for f in found.values()]
+
+
+def _depth(config: Configuration) -> int:
+    return config.estimator.getMaxDepth() if config.estimator.hasParam("maxDepth") else 0
+
+
+def fit_all(configs: Sequence[Configuration], preprocessing: Preprocessing, fit_rows: DataFrame, train: DataFrame, store: FitStore) -> dict[str, object]:
+    """The fitted model of each configuration, by name. A family is fitted once, at its greatest depth, and cut at the others.
+
+    `store` keeps every model under its settings and the digest of the columns of `train` that it learns from.
+    """
+    digests, fitted = {}, {}
+    for family in families(configs):
+        deepest = family[0]
+        if deepest.features not in digests:
+            digests[deepest.features] = input_fingerprint(train.select(*_KEPT, *deepest.features))
+        parts = [configuration_key(deepest), FIT_ROWS, LEAST_PARTITIONS, digests[deepest.features]]
+        source = store.keep(parts, deepest.name, lambda path: fit_estimator(deepest, preprocessing, fit_rows).write().overwrite().save(path))  # noqa: B023
+        for config in family:
+            path = source
+            if _depth(config) != _depth(deepest):
+                path = store.keep([*parts, _depth(config)], config.name, lambda path: write_cut(store.spark, source, _depth(config), path))  # noqa: B023
+            fitted[config.name] = store.load(path)
+    return {c.name: fitted[c.name] for c in configs}
+
+
 def compare_models(
-    configs: Sequence[Configuration], train: DataFrame, validation: DataFrame, classify: bool
+    configs: Sequence[Configuration], train: DataFrame, validation: DataFrame, classify: bool, store: FitStore | None = None
 ) -> tuple[DataFrame, dict[str, object]]:
     """(metrics per configuration and stage, fitted models by name).
 
@@ -245,15 +279,16 @@ def compare_models(
     loop over the bounded grid runs on the driver; each fit and each scoring is a Spark job.
     All metrics come from one aggregate over the stored scores.
     """
+    store = store or FitStore(train.sparkSession, scratch_path(train.sparkSession, "fits"))
     features = list(dict.fromkeys(f for c in configs for f in c.features))
     preprocessing = fit_preprocessing(train, features)
     weighted = balanced_weights(train) if classify else train
     fit_rows = model_inputs(preprocessing, weighted.withColumn("partition", F.lit("TRAIN")))
     other = model_inputs(preprocessing, validation.withColumn("partition", F.lit("VALIDATION")))
     both = fit_rows.drop("weight").unionByName(other)
-    fitted, scored = {}, []
+    fitted, scored = fit_all(configs, preprocessing, fit_rows, train, store), []
     for pos, config in enumerate(configs, start=1):
-        model = fitted[config.name] = fit_estimator(config, preprocessing, fit_rows)
+        model = fitted[config.name]
         ready = preprocessing.assemble(both, config.features)
         out = score_classes(model, ready) if classify else score_regression(model, ready)
         scored.append(
@@ -269,11 +304,60 @@ def compare_models(
                 "scores",
             )
         )
-    rows = reduce(DataFrame.unionByName, scored)
+    return stage_metrics(reduce(DataFrame.unionByName, scored), classify), fitted
+
+
+def stage_metrics(rows: DataFrame, classify: bool) -> DataFrame:
+    """Metrics of scored rows for each configuration and stage."""
     group = ["pos", "configuration", "algorithm", "stage"]
     if classify:
-        return scored_metrics(rows, "target", "predicted_class", "probability", group), fitted
-    return regression_metrics(rows, "target", "prediction", group), fitted
+        return scored_metrics(rows, "target", "predicted_class", "probability", group)
+    return regression_metrics(rows, "target", "prediction", group)
+
+
+def baseline_metrics(train: DataFrame, validation: DataFrame, classify: bool) -> DataFrame:
+    """Metrics of the prediction that needs no fit: the majority of TRAIN, or this month's value."""
+    both = train.withColumn("stage", F.lit("TRAIN")).unionByName(validation.withColumn("stage", F.lit("VALIDATION")))
+    scored = majority(train, both) if classify else persistence(both)
+    name, algorithm = ("TRAIN-majority", "Constant baseline") if classify else ("Persistence", "Persistence baseline")
+    return stage_metrics(scored.withColumns({"pos": F.lit(0), "configuration": F.lit(name), "algorithm": F.lit(algorithm)}), classify)
+
+
+def settings_table(spark: SparkSession, configs: Sequence[Configuration]) -> DataFrame:
+    """(configuration, class_weight, hyperparameters, features) of each configuration; hyperparameters are those set to fit it."""
+
+    def described(config: Configuration) -> str:
+        chosen = {p.name: v for p, v in config.estimator.extractParamMap().items() if config.estimator.isSet(p) and p.name != "weightCol"}
+        return "; ".join(f"{k}={v}" for k, v in sorted(chosen.items()))
+
+    rows = [(c.name, "balanced" if c.balanced else "None", described(c), "; ".join(c.features)) for c in configs]
+    return spark.createDataFrame(rows, "configuration string, class_weight string, hyperparameters string, features string")
+
+
+def full_comparison(
+    configs: Sequence[Configuration], train: DataFrame, validation: DataFrame, classify: bool, rule: Sequence[tuple[str, bool]], gap: str | None = None, store: FitStore | None = None
+) -> tuple[DataFrame, list[Configuration]]:
+    """(the table of a module, its configurations): baseline, grid, and for classes one balanced clone of the best of each family of algorithms.
+
+    A row has the settings, the metrics of both stages, the gaps between them, and its position under `rule`; the baseline has none.
+    """
+    spark = train.sparkSession
+    store = store or FitStore(spark, scratch_path(spark, "fits"))
+    grid = list(configs)
+    metrics = materialize(compare_models(grid, train, validation, classify, store)[0], "metrics")
+    if classify:
+        ranked = rank_models(comparison(metrics, True), rule, gap)
+        leaders = {r.c for r in ranked.groupBy("algorithm").agg(F.min_by("configuration", "position").alias("c")).collect()}
+        clones = [balanced_clone(c) for c in grid if c.name in leaders]
+        more = materialize(compare_models(clones, train, validation, True, store)[0], "metrics")
+        metrics = metrics.unionByName(more.withColumn("pos", F.col("pos") + len(grid)))
+        grid += clones
+    ranked = rank_models(comparison(metrics, classify), rule, gap)
+    baseline = comparison(baseline_metrics(train, validation, classify), classify)
+    table = ranked.unionByName(baseline, allowMissingColumns=True).join(settings_table(spark, grid), "configuration", "left")
+    no_fit = F.col("pos") == 0
+    used = "None" if classify else "current_consumption"
+    return table.withColumns({"hyperparameters": F.when(no_fit, "None").otherwise(F.col("hyperparameters")), "class_weight": F.coalesce("class_weight", F.lit("None")), "features": F.when(no_fit, used).otherwise(F.col("features"))}), grid
 
 
 def comparison(metrics: DataFrame, classify: bool) -> DataFrame:
@@ -317,36 +401,31 @@ def input_fingerprint(df: DataFrame) -> str:
     return f"{row.n}:{row.a}:{row.b}"
 
 
-def configuration_key(config: Configuration) -> str:
-    """Everything that decides a fit: class, every parameter, predictors and weights."""
+def configuration_key(config: Configuration, but: Sequence[str] = ()) -> str:
+    """Everything that decides a fit: class, every parameter but those named in `but`, predictors and weights. The name does not."""
     estimator = config.estimator
-    settings = {p.name: str(v) for p, v in estimator.extractParamMap().items()}
-    return json.dumps([config.name, config.algorithm, type(estimator).__name__, settings, list(config.features), config.balanced], sort_keys=True)
+    settings = {p.name: str(v) for p, v in estimator.extractParamMap().items() if p.name not in but}
+    return json.dumps([config.algorithm, type(estimator).__name__, settings, list(config.features), config.balanced], sort_keys=True)
 
 
 def resume_comparison(
     path: str, configs: Sequence[Configuration], train: DataFrame, validation: DataFrame, classify: bool
-) -> tuple[DataFrame, bool]:
-    """Comparison stored under `path`, reused while the inputs and the grid are the same.
+) -> tuple[DataFrame, list[str]]:
+    """(the comparison kept under `path`, the names of the models that had to be made for it).
 
-    Returns the table and whether it was reused. Every fitted model is saved next to it.
+    The table is reused while the inputs and the grid are the same. Every model is stored by itself as soon as it is fitted, so a run that broke off goes on
+    with the next one, and other settings, weights or rows refit only what they touch.
     """
     spark = train.sparkSession
-    known = [configuration_key(c) for c in configs]
-    parts = json.dumps([*known, classify, FIT_PARTITIONS, input_fingerprint(train), input_fingerprint(validation)])
-    key = spark.range(1).select(F.sha2(F.lit(parts), 256)).first()[0]
-    home = f"{path}/{key}"
-    try:
-        return spark.read.parquet(f"{home}/comparison"), True
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-    metrics, fitted = compare_models(configs, train, validation, classify)
-    for name, model in fitted.items():
-        PipelineModel([model]).write().overwrite().save(f"{home}/models/{name}")
-    # Written last: its presence says that the comparison is complete.
-    comparison(metrics, classify).write.mode("overwrite").parquet(f"{home}/comparison")
-    return spark.read.parquet(f"{home}/comparison"), False
+    known = [[c.name, configuration_key(c)] for c in configs]
+    store = FitStore(spark, f"{path}/fits")
+    home = f"{path}/tables/{store.home([known, classify, FIT_ROWS, LEAST_PARTITIONS, input_fingerprint(train), input_fingerprint(validation)]).rsplit('/', 1)[-1]}"
+    if not store.finished(home):
+        metrics, _ = compare_models(configs, train, validation, classify, store)
+        comparison(metrics, classify).write.mode("overwrite").parquet(f"{home}/comparison")
+        # Written last: its presence says that the table is complete.
+        spark.createDataFrame([("comparison",)], "value string").coalesce(1).write.mode("overwrite").text(f"{home}/done")
+    return spark.read.parquet(f"{home}/comparison"), store.made
 
 
 def freeze_and_refit(config: Configuration, train: DataFrame, labelled: DataFrame, path: str) -> tuple[FittedPipeline, FittedPipeline]:

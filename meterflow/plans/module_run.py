@@ -32,11 +32,8 @@ def candidates(module: str) -> Sequence[models.Configuration]:
     return [*models.tree_classifier(module), *models.forest_classifier(module)]
 
 
-def _rank(module: str, table: DataFrame) -> DataFrame:
-    if module == "consumption":
-        return evaluate.rank_models(table, evaluate.RANK_RMSE)
-    rule, gap = (evaluate.RANK_AUC, "ROC_AUC") if module == "revenue" else (evaluate.RANK_F1, "F1_1")
-    return evaluate.rank_models(table, rule, gap)
+#: Ranking rule of each module, and the metric whose gap counts in it.
+RULES = {"consumption": (evaluate.RANK_RMSE, None), "revenue": (evaluate.RANK_AUC, "ROC_AUC"), "anomaly": (evaluate.RANK_F1, "F1_1")}
 
 
 def run_module(
@@ -56,17 +53,9 @@ def run_module(
     stored = spark.read.parquet(f"{out}/split")
     parts = {p: stored.filter(F.col("partition") == p) for p in bounds}
 
-    grid = list(grid or candidates(module))
-    found, _ = models.compare_models(grid, parts["TRAIN"], parts["VALIDATION"], classify)
-    if classify:
-        best = _rank(module, models.comparison(found, True))
-        leaders = best.groupBy("algorithm").agg(F.min_by("configuration", "position").alias("c")).collect()
-        names = {r.c for r in leaders}
-        clones = [models.balanced_clone(c) for c in grid if c.name in names]
-        more, _ = models.compare_models(clones, parts["TRAIN"], parts["VALIDATION"], True)
-        found = found.unionByName(more.withColumn("pos", F.col("pos") + len(grid)))
-        grid += clones
-    _rank(module, models.comparison(found, classify)).write.mode("errorifexists").parquet(f"{out}/comparison")
+    store = models.FitStore(spark, f"{out}/fits")
+    table, grid = models.full_comparison(grid or candidates(module), parts["TRAIN"], parts["VALIDATION"], classify, *RULES[module], store)
+    table.write.mode("errorifexists").parquet(f"{out}/comparison")
     ranked = spark.read.parquet(f"{out}/comparison")
 
     primary = {"consumption": "VALIDATION_RMSE", "revenue": "VALIDATION_ROC_AUC", "anomaly": "VALIDATION_F1_1"}[module]

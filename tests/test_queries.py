@@ -6,15 +6,11 @@ from check import compare, duck
 from catalog import load
 
 ENTRIES = load()
-# Fitting queries take most of the time; test_models covers the models on small inputs.
-SLOW = {"forest_regression", "forest_classifier", "tree_classifier", "compare_models", "linear_ladder", "resume_comparison"}
-
-
 @pytest.fixture(scope="module")
 def con(folder):
     return duck(folder)
 
 
-@pytest.mark.parametrize("name", [n for n in ENTRIES if n not in SLOW])
+@pytest.mark.parametrize("name", list(ENTRIES))
 def test_query(spark, con, folder, name):
     assert compare(spark, con, ENTRIES[name], folder) is None
