@@ -8,8 +8,9 @@ from catalog.base import FEATURES, P1, P2, P3, query
 from meterflow import schema
 from meterflow.functions import scalars
 from meterflow.operators import calendar, features
-from meterflow.session import materialize
+from meterflow.session import materialize, scratch_path
 from meterflow.sources import bindings
+from meterflow.streaming import ingest, maintained
 
 KEYS = ["consumer_no", "ord"]
 
@@ -371,3 +372,19 @@ def format_indian(spark, folder):
         scalars.format_indian(value, 0).alias("text_0"),
         scalars.format_indian(value, 1).alias("text_1"),
     )
+
+
+_LOOK_BACK = [*features.HISTORY, "prior_count", "prior_mean", "prior_std", "recent_mean_3", "recent_std_3", "payment_ratio_mean3", "arrears_trend", "rule_z_current", "anomaly_current", *features.NEXT]
+
+
+@query("maintained_features", _fx(", ".join(_LOOK_BACK)), ["prior_mean", "prior_std", "recent_mean_3", "recent_std_3", "payment_ratio_mean3", "arrears_trend", "rule_z_current", "payment_ratio_lag1", "payment_ratio_lag2_audit"], 5)
+def maintained_features(spark, folder):
+    """All months but the last three begin the table, these arrive as a stream: what it holds then is what a rebuild gives."""
+    rows = panel(spark, folder)
+    last = rows.agg(F.max("ord")).first()[0]
+    home, landing, out, state = (scratch_path(spark, n) for n in ("maintained", "landing", "history", "state"))
+    maintained.begin(rows.where(F.col("ord") <= last - 3), home)
+    for ord in range(last - 2, last + 1):
+        rows.where(F.col("ord") == ord).write.mode("append").parquet(landing)
+        ingest.ingest_new(spark, landing, out, state, rows.schema, then=lambda month, _: maintained.advance(month, home))
+    return maintained.maintained(spark, home).select(*KEYS, *_LOOK_BACK)

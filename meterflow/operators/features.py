@@ -245,6 +245,11 @@ def history_columns(df: DataFrame) -> DataFrame:
             "prior_std": F.stddev_samp(value).over(earlier),
         }
     )
+    return derived_history(df)
+
+
+def derived_history(df: DataFrame) -> DataFrame:
+    """What follows from the lags of a row alone."""
     df = _payment_mean(recent_window_3(df))
     return df.withColumn("arrears_trend", F.col("arrears_current") - F.col("arrears_lag1"))
 
