@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_SCRATCH: dict[str, str] = {}
 _SCRATCH: set[str] = set()
+_RECORD: ContextVar[list[str] | None] = ContextVar("recorded", default=None)
 
 
 def build_session(app: str = "meterflow", master: str | None = None, **conf: str) -> SparkSession:
@@ -58,7 +62,21 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, unused path for an intermediate table of this application."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    if (record := _RECORD.get()) is not None:
+        record.append(path)
+    return path
+
+
+@contextmanager
+def recorded_scratch() -> Iterator[list[str]]:
+    """The scratch paths that are handed out inside the block, for `delete` once what reads them has been written."""
+    paths: list[str] = []
+    token = _RECORD.set(paths)
+    try:
+        yield paths
+    finally:
+        _RECORD.reset(token)
 
 
 def delete(spark: SparkSession, path: str) -> None:

@@ -7,6 +7,7 @@ import sys
 import pytest
 
 from meterflow.functions.scalars import financial_year_start
+from meterflow.session import delete, materialize, recorded_scratch
 
 RUN = """
 import sys
@@ -25,6 +26,17 @@ def test_scratch_is_gone_after_the_session(tmp_path):
     assert not left
 
 
+def test_recorded_scratch_can_be_deleted(spark):
+    before = materialize(spark.range(3), "kept")
+    with recorded_scratch() as paths:
+        inside = materialize(spark.range(4), "gone")
+    after = materialize(spark.range(5), "kept")
+    assert len(paths) == 1 and inside.count() == 4
+    delete(spark, paths[0])
+    delete(spark, paths[0])
+    assert not os.path.exists(paths[0]) and before.count() == 3 and after.count() == 5
+
+
 def test_financial_years():
     assert financial_year_start("2025-2026") == 2025 * 12 + 3
     for wrong in ("2025", "2025-2027", "a-b"):
