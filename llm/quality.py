@@ -174,9 +174,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
 
 
 def score_quality(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", threshold: float = 0.3, sampled_docs: int = 2000, sampled_passages: int = 32
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", threshold: float = 0.3, sampled_docs: int = 2000, sampled_passages: int = 32, row_col: str | None = None
 ) -> DataFrame:
-    """(doc_id, held_out, score, predicted) of every row, read as a whole text.
+    """(doc_id, held_out, score, predicted) of every row, read as a whole text; with `row_col` that column as a long `row` as well.
 
     Rows whose crc32(id as text) modulo 5 is 0 are held out of the fit; a null id is held out too. Scores come from the text alone. A null
     text is an empty one, with a score like any other. Labels other than 0 and 1 are ignored, of a repeated id's labels the
@@ -191,8 +191,11 @@ def score_quality(
                     score = np.full(piece.num_rows, 0.5)
                 else:
                     score = model.value.score(*passage_features(piece.column("text")))
-                columns = [piece.column("doc_id"), piece.column("held_out"), pa.array(score.astype(np.float64)), pa.array((score >= threshold).astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "score", "predicted"])
-
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), (fold(id_col) == 0).alias("held_out"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+                columns = [*(piece.column(c) for c in names), pa.array(score.astype(np.float64)), pa.array((score >= threshold).astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, names=[*names, "score", "predicted"])
+
+    names = ["doc_id", "held_out", *(["row"] if row_col else [])]
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), (fold(id_col) == 0).alias("held_out"), F.col(text_col).alias("text"), *([F.col(row_col).cast("long").alias("row")] if row_col else [])
+    )
+    return rows.mapInArrow(run, f"doc_id long, held_out boolean, {'row long, ' if row_col else ''}score double, predicted int")
