@@ -76,7 +76,8 @@ def test_anomaly_module_with_named_choice(spark, table, tmp_path):
     grid = models.tree_classifier("anomaly", [3])
     result = module_run.run_module(table, "anomaly", BOUNDS, str(tmp_path / "a"), grid, choice="DT-1-balanced")
     assert result.selected == "DT-1-balanced"
-    assert {r.configuration for r in result.comparison.collect()} == {"DT-1", "DT-1-balanced"}
+    rows = {r.configuration: r.position for r in result.comparison.collect()}
+    assert set(rows) == {"TRAIN-majority", "DT-1", "DT-1-balanced"} and rows["TRAIN-majority"] is None
     scored = result.predictions.agg(F.count("*").alias("n"), F.min("probability").alias("lo"), F.max("probability").alias("hi")).first()
     assert scored.n == CONSUMERS and 0 <= scored.lo <= scored.hi <= 1
     assert {r.configuration for r in result.final_test.collect()} == {"DT-1-balanced", "TRAIN-majority"}
