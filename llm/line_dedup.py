@@ -130,26 +130,57 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.int64(), pa.string()))], names=["doc_id", "line_no", "line"])
 
 
+def _sort_each(values: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Where a value of a part equals the one before, after each part has been sorted in place."""
+    cuts = begin.tolist()
+    for a, b in zip(cuts, cuts[1:]):
+        values[a:b].sort()
+    same = np.zeros(len(values), dtype=bool)
+    np.equal(values[1:], values[:-1], out=same[1:])
+    same[begin[:-1]] = False
+    return same
+
+
+def _counted_to(marks: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(marks)])
+
+
+def _members(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct shingles of each text, taken as one line, ascending, and where each text's begin."""
+    codes, bounds = characters(column)
+    hashes, begin, _ = line_shingles(codes, bounds[:-1], bounds[1:])
+    new = ~_sort_each(hashes, begin)
+    return hashes[new], _counted_to(new)[begin]
+
+
 def _sets(column: pa.Array) -> list[np.ndarray]:
     """The distinct shingles of each text, taken as one line."""
     out = []
     for piece in T.pieces(pa.RecordBatch.from_arrays([column], names=["line"]), "line", _PIECE):
-        codes, bounds = characters(piece.column("line"))
-        hashes, begin, _ = line_shingles(codes, bounds[:-1], bounds[1:])
-        out += [np.unique(hashes[a:b]) for a, b in zip(begin[:-1], begin[1:])]
+        values, begin = _members(piece.column("line"))
+        cuts = begin.tolist()
+        out += [values[a:b] for a, b in zip(cuts, cuts[1:])]
     return out
 
 
+def _in_common(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of the sets that stand at equal places on both sides."""
+    both = left[1] + right[1]
+    values = np.empty(both[-1], dtype=U64)
+    for (own, begin), before in ((left, right[1][:-1]), (right, left[1][1:])):
+        values[np.arange(len(own)) + np.repeat(before, np.diff(begin))] = own
+    same = _counted_to(_sort_each(values, both))
+    return same[both[1:]] - same[both[:-1]]
+
+
 def _compared(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in T.pieces(batch, "line_a"):
-                linked = []
-                for x, y in zip(_sets(piece.column("line_a")), _sets(piece.column("line_b"))):
-                    small, large = sorted((len(x), len(y)))
-                    common = len(np.intersect1d(x, y, assume_unique=True)) if 100 * small >= least * large else 0
-                    linked.append(100 * common >= least * (len(x) + len(y) - common))
-                yield pa.RecordBatch.from_arrays([piece.column("a"), piece.column("b")], names=["a", "b"]).filter(pa.array(linked))
+            for piece in T.pieces(batch, "line_a", _PIECE):
+                sides = [_members(piece.column(c)) for c in ("line_a", "line_b")]
+                x, y = (np.diff(begin) for _, begin in sides)
+                common = _in_common(*sides)
+                yield pa.RecordBatch.from_arrays([piece.column("a"), piece.column("b")], names=["a", "b"]).filter(pa.array(100 * common >= least * (x + y - common)))
 
     return run
 
@@ -158,7 +189,7 @@ def similar(sets: list[np.ndarray], least: int) -> np.ndarray:
     """Which of the sets are similar, as a matrix: products of their incidence with the members that two sets have at least."""
     sizes = np.array([len(x) for x in sets])
     if len(sets) == 2:
-        common = len(np.intersect1d(*sets, assume_unique=True))
+        common = _in_common(*((x, np.array([0, len(x)])) for x in sets))[0]
         return np.full((2, 2), 100 * common >= least * (sizes.sum() - common))
     owner = np.repeat(np.arange(len(sets)), sizes)
     _, member, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
