@@ -20,6 +20,25 @@ def test_tails_against_closed_forms():
         assert pvalues.correlation_tail(r, 2) == pytest.approx(1 - abs(r), rel=1e-10)
 
 
+def test_tails_at_many_degrees_of_freedom():
+    """Cube roots of chi-square values, and correlations, are close to normal at 1e10 degrees of freedom."""
+    n, normal = 1e10, lambda z: 0.5 * math.erfc(z / math.sqrt(2))
+    for z in (-3, -1, 0, 0.5, 1, 2, 3, 5):
+        x = n + z * math.sqrt(2 * n)
+        root = ((x / n) ** (1 / 3) - 1 + 2 / (9 * n)) / math.sqrt(2 / (9 * n))
+        assert pvalues.chi_square_tail(x, n) == pytest.approx(normal(root), abs=1e-8)
+        assert pvalues.correlation_tail(z / math.sqrt(n + z * z), n) == pytest.approx(2 * normal(abs(z)), abs=1e-8)
+
+
+def test_tails_do_not_return_unfinished_values(monkeypatch):
+    monkeypatch.setattr(pvalues, "_MOST_TERMS", 3)
+    with pytest.raises(ArithmeticError):
+        pvalues.chi_square_tail(2100.0, 2000)
+    with pytest.raises(ArithmeticError):
+        pvalues.correlation_tail(0.05, 900)
+
+
+
 def table(spark, cells):
     return spark.createDataFrame([(a, b) for (a, b), n in cells.items() for _ in range(n)], "a string, b string")
 
