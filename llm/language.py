@@ -38,28 +38,31 @@ def learn_dictionaries(docs: DataFrame, id_col: str, text_col: str, lang_col: st
     """A raw dictionary for each language of the rows that are not held out, the language with the most rows first.
 
     Bounds: about `sampled_docs` documents of a language, chosen by a hash of their ids, of which `dictionary_bytes` in all
-    come into its dictionary, from every document an equal share.
+    come into its dictionary, from every document an equal share, that begins at a hashed place of its whole text. A language stays
+    out only where none of its chosen documents has a letter there.
     """
     learned = docs.where(fold(id_col) != 0).where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     counts = learned.groupBy(F.col(lang_col).alias("lang")).count().orderBy(F.desc("count"), "lang").collect()
     if not counts:
         return {}
-    share = docs.sparkSession.createDataFrame([Row(lang=r["lang"], share=min(1.0, sampled_docs / r["count"])) for r in counts])
+    parts = {r["lang"]: max(64, dictionary_bytes // min(sampled_docs, r["count"])) for r in counts}
+    share = docs.sparkSession.createDataFrame([Row(lang=r["lang"], share=min(1.0, sampled_docs / r["count"]), part=parts[r["lang"]]) for r in counts])
     place = F.pmod(F.xxhash64(F.lit("dictionary"), id_col), F.lit(1 << 30))
-    part = max(64, 2 * dictionary_bytes // sampled_docs)
+    # Twice the share in characters, as not all are letters; the last place from which so many follow is the last to begin at.
+    begin = F.expr("1 + pmod(xxhash64('begin', place), greatest(1L, length(text) - 2L * part + 1))")
     sample = (
         learned.select(F.col(lang_col).alias("lang"), place.alias("place"), F.col(text_col).alias("text"))
         .join(F.broadcast(share), "lang")
         .where(F.col("place") <= F.col("share") * (1 << 30))
-        .select("lang", "place", F.substring("text", 1, 4 * part).alias("text"))
+        .select("lang", "place", F.substring("text", begin.cast("int"), (2 * F.col("part")).cast("int")).alias("text"))
     )
     found: dict[str, list] = {r["lang"]: [] for r in counts}
     for r in sample.collect():
-        found[r["lang"]].append((r["place"], letters(r["text"]).encode()[: 2 * part]))
+        found[r["lang"]].append((r["place"], letters(r["text"]).encode()[: parts[r["lang"]]]))
     out = {}
     for lang, texts in found.items():
-        data = b"".join(x for _, x in sorted(texts))[:dictionary_bytes]
-        if len(data) >= 64:
+        data = b"".join(x for _, x in sorted(texts))
+        if data:
             out[lang] = data
     return out
 

@@ -3,7 +3,7 @@ import zlib
 import pytest
 from conftest import DOCS
 
-from llm.language import identify_language, letters
+from llm.language import identify_language, learn_dictionaries, letters
 
 
 def test_letters():
@@ -45,3 +45,15 @@ def test_edges(edges, empty, margin):
         assert 0 <= r["score"] <= 1
     assert identify_language(empty).count() == 0
     assert {r["lang_pred"] for r in identify_language(edges.selectExpr("doc_id", "text", "cast(null as string) as lang")).collect()} == {"und"}
+
+
+def test_every_language_and_every_chosen_document_is_learned(spark):
+    """Each document gives an equal share, from somewhere in its whole text; few and short documents make a language, too."""
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5]
+    rows = [(i, f"first {'same ' * 300}" + f"{chr(97 + k // 26)}{chr(97 + k % 26)}zz " * 300, "long", "", 0) for k, i in enumerate(ids[:150])]
+    rows += [(i, "kurz ja", "tiny", "", 0) for i in ids[150:153]]
+    found = learn_dictionaries(spark.createDataFrame(rows, DOCS), "doc_id", "text", "lang", 30_000, 200)
+    assert set(found) == {"long", "tiny"} and len(found["long"]) <= 150 * 200
+    assert len([k for k in range(150) if f"{chr(97 + k // 26)}{chr(97 + k % 26)}zz".encode() in found["long"]]) > 30
+    docs = spark.createDataFrame([*rows, (ids[200], "kurz ja kurz ja", None, "", 0)], DOCS)
+    assert identify_language(docs, dictionary_bytes=30_000).where(f"doc_id = {ids[200]}").first()["lang_pred"] == "tiny"
