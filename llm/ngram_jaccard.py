@@ -266,13 +266,13 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     `copy_of` is the smallest id with the same set, `component_id` the smallest id reachable by links between sets
     with a similarity of at least `least` hundredths. A null or empty text has an empty set, which is linked with nothing
     and is its own copy. Rows without an id are left out. Of rows that repeat an id, the one with the smallest
-    set size and fingerprint counts. An empty table gives an empty result. Other columns are not read.
+    set size and fingerprint counts, an empty one only where all are empty. An empty table gives an empty result. Other columns are not read.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
     blocks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     stats = materialize(docs.mapInArrow(_first_pass(blocks, words), _FIRST).groupBy("block").applyInArrow(_gather, _STATS), "stats")
-    known = stats.where("kind = 1").groupBy("doc_id").agg(F.min(F.struct("n", "sig_a", "sig_b", "keys")).alias("s")).select("doc_id", "s.*")
+    known = stats.where("kind = 1").groupBy("doc_id").agg(F.min(F.struct((F.col("n") == 0).alias("empty"), "n", "sig_a", "sig_b", "keys")).alias("s")).select("doc_id", "s.*").drop("empty")
     # Equal sets: one row of the matrix.
     rows = known.where("n > 0").groupBy("n", "sig_a", "sig_b").agg(F.min("doc_id").alias("row"), F.min("keys").alias("keys"))
     rows = materialize(rows, "rows")

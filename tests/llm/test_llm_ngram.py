@@ -92,3 +92,10 @@ def test_edges(edges, empty):
     assert all(found[k]["component_id"] == k for k in (3, 4, 5, 6, 7, 8))
     assert found[6]["n_shingles"] > 50_000
     assert ngram_jaccard_components(empty).count() == 0
+
+
+def test_a_filled_row_counts_where_an_id_also_has_an_empty_one(spark):
+    text = " ".join(prose(5, 40))
+    docs = spark.createDataFrame([(2, None, "", "", 0), (2, text, "", "", 0), (1, text, "", "", 0), (3, "", "", "", 0), (3, None, "", "", 0)], DOCS)
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_jaccard_components(docs).collect()}
+    assert found == {1: (36, 1), 2: (36, 1), 3: (0, 3)}
