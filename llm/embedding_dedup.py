@@ -199,14 +199,14 @@ def embedding_components(vectors: DataFrame, id_col: str = "vec_id", vec_col: st
     """(vec_id, n_links, component_id, kept) of every vector.
 
     A vector that is null, empty, zero, or holds a null or non-finite component links with nothing, and so do vectors of different
-    lengths. Rows without an id are left out; of rows that repeat an id, the one with the smallest digest counts. An empty table gives an empty
+    lengths. Rows without an id are left out; of rows that repeat an id, the one with the smallest length and digest counts, one that links with nothing only where all are such. An empty table gives an empty
     result. Only the two named columns are read.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).alias("vec")).where("vec_id is not null")
     rows = rows.mapInArrow(_fingerprints, "vec_id long, dim int, digest binary, vec binary")
     rows = materialize(rows, "vectors")
-    known = rows.select("vec_id", "dim", "digest").groupBy("vec_id").agg(F.min(F.struct("dim", "digest")).alias("s")).select("vec_id", "s.*")
+    known = rows.select("vec_id", "dim", "digest").groupBy("vec_id").agg(F.min(F.struct((F.col("dim") == 0).alias("none"), "dim", "digest")).alias("s")).select("vec_id", "s.*").drop("none")
     known = materialize(known, "known")
     classes = known.where("dim > 0").groupBy("dim", "digest").agg(F.min("vec_id").alias("row"), F.count("*").alias("copies"))
     vecs = classes.join(rows.where("dim > 0").select("vec_id", "dim", "digest", "vec").withColumnRenamed("vec_id", "row"), ["row", "dim", "digest"]).dropDuplicates(["row"])

@@ -89,3 +89,9 @@ def test_edges(spark, scale):
     have = found(embedding_components(table(spark, rows)))
     assert have == {1: (2, 1), 2: (2, 1), 11: (2, 1), **{k: (0, k) for k in (3, 4, 5, 6, 7, 8, 9, 10)}}
     assert embedding_components(table(spark, rows).where("false")).count() == 0
+
+
+def test_a_vector_counts_where_an_id_also_has_none(spark):
+    rows = [(2, None), (2, [1.0, 2.0, 2.0]), (1, [2.0, 4.0, 4.0]), (3, None), (3, [0.0, 0.0, 0.0])]
+    found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_components(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert found == {1: (1, 1), 2: (1, 1), 3: (0, 3)}
