@@ -284,7 +284,8 @@ _CHI = """SELECT CAST(sum(observed) AS BIGINT) AS sample_size, min(expected) AS
 @query("chi_square_test", f"WITH {_STABLE_ROWS} {_CHI.format(a='shifting', b='solar_consumer')}",
        ["minimum_expected", "percent_expected_below_5", "statistic"])
 def chi_square_test(spark, folder):
-    return association.chi_square_test(stable_cells(spark, folder), "shifting", "solar_consumer").drop("p_value")
+    pairs = association.observed_pairs(stable(spark, folder).filter("included"), "shifting", "solar_consumer")
+    return association.chi_square_test(pairs, "shifting", "solar_consumer").drop("p_value")
 
 
 # All five segments: 4 degrees of freedom, where p = exp(-x/2) (1 + x/2).
@@ -295,8 +296,8 @@ _P2_CELLS = f"{P2_GROUPS}, kept AS (SELECT DISTINCT consumer_no, tarrif, solar_c
 SELECT statistic, degrees_of_freedom, exp(-statistic / 2) * (1 + statistic / 2) AS p_value FROM r""", ["statistic", "p_value"])
 def chi_square_p_value(spark, folder):
     consumers = p2_groups(spark, folder).select("consumer_no", "tarrif", "solar_consumer").distinct()
-    cells = association.crosstab_counts(consumers, "tarrif", "solar_consumer")
-    test = association.chi_square_test(cells, "tarrif", "solar_consumer")
+    pairs = association.observed_pairs(consumers, "tarrif", "solar_consumer")
+    test = association.chi_square_test(pairs, "tarrif", "solar_consumer")
     return test.select("statistic", "degrees_of_freedom", "p_value")
 
 

@@ -16,20 +16,35 @@ from meterflow.session import materialize
 
 # --- contingency --------------------------------------------------------------------
 
-def crosstab_counts(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Rows per pair of categories, pairs that do not occur filled with zero.
+#: Labels of one side that a row label meets at once when a table is filled with zeros.
+FILL_BLOCK = 4096
 
-    The counts are stored once: they are as small as the table of categories.
-    """
+
+def observed_pairs(df: DataFrame, a: str, b: str) -> DataFrame:
+    """Rows per pair of categories that occurs; rows with a null in either are left out. Stored once."""
     known = df.filter(F.col(a).isNotNull() & F.col(b).isNotNull())
-    counts = materialize(known.groupBy(a, b).agg(F.count("*").alias("observed")), "cells")
-    labels = counts.agg(F.collect_set(b)).scalar()
-    every = counts.select(a).distinct().select(a, F.explode(labels).alias(b))
-    return every.join(counts, [a, b], "left").select(
+    return materialize(known.groupBy(a, b).agg(F.count("*").alias("observed")), "pairs")
+
+
+def filled_cells(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    """Every pair of a label of `a` and a label of `b`, zero where it does not occur.
+
+    For output only, as it has all rows times all columns; the tests work on the pairs that occur.
+    Labels of `b` are dealt into blocks, and each label of `a` meets block by block.
+    """
+    blocks = pairs.agg(F.greatest(F.ceil(F.count_distinct(b) / FILL_BLOCK), F.lit(1))).scalar()
+    columns = pairs.select(b).distinct().withColumn("_block", F.pmod(F.xxhash64(b), blocks))
+    rows = pairs.select(a).distinct().withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    return rows.join(columns, "_block").join(pairs, [a, b], "left").select(
         a, b, F.coalesce("observed", F.lit(0)).alias("observed")
     )
 
 
+def crosstab_counts(df: DataFrame, a: str, b: str) -> DataFrame:
+    """Rows per pair of categories, pairs that do not occur filled with zero."""
+    return filled_cells(observed_pairs(df, a, b), a, b)
+
+
 def expected_counts(cells: DataFrame, a: str, b: str) -> DataFrame:
     """Row total x column total / grand total for each cell."""
     total = cells.agg(F.sum("observed")).scalar()
@@ -40,33 +55,77 @@ def expected_counts(cells: DataFrame, a: str, b: str) -> DataFrame:
     )
 
 
+def _margin_facts(rows: DataFrame, columns: DataFrame, total: Column) -> DataFrame:
+    """One row from the margins alone: labels of each side, least totals, cells expected below 5.
+
+    A cell is below 5 where its column total is below 5 x total / row total. Equal totals are merged, and a
+    running count of columns over the sorted totals is read at each row's limit. The window has no keys, but
+    k different totals add up to k (k + 1) / 2 rows at least: 10^12 rows have fewer than 1.5 million of them.
+    """
+    limit = F.call_function("div", F.lit(5) * total + F.col("_row") - 1, F.col("_row"))
+    merged_rows = rows.groupBy("_row").agg(F.count("*").alias("n_rows"))
+    merged_columns = columns.groupBy("_column").agg(F.count("*").alias("n_columns"))
+    none = F.lit(None).cast("long")
+    at_limits = merged_rows.select(limit.alias("at"), "n_rows", F.lit(0).alias("n_columns"), "_row", none.alias("_column"))
+    at_totals = merged_columns.select(F.col("_column").alias("at"), F.lit(0).alias("n_rows"), "n_columns", none.alias("_row"), "_column")
+    steps = at_limits.unionByName(at_totals).groupBy("at").agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("n_columns").alias("n_columns"),
+        F.min("_row").alias("_row"), F.min("_column").alias("_column"),
+    )
+    before = Window.orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    return steps.withColumn("_before", F.coalesce(F.sum("n_columns").over(before), F.lit(0))).agg(
+        F.sum("n_rows").alias("n_a"),
+        F.sum("n_columns").alias("n_b"),
+        F.min("_row").alias("least_row"),
+        F.min("_column").alias("least_column"),
+        F.sum(F.col("n_rows") * F.col("_before")).alias("below_5"),
+    )
+
+
 def chi_square_test(cells: DataFrame, a: str, b: str) -> DataFrame:
     """Test of independence on a contingency table, without continuity correction.
 
+    `cells` may leave out pairs that do not occur, and cells without rows are not read: a cell without rows
+    adds its expected count to the statistic, and those of all such cells are the total less the expected
+    counts of the others. So the work grows with the pairs that occur, not with rows times columns.
+
     Performed only on 2x2 or larger tables whose expected counts are at least 1 everywhere and
     below 5 in at most a fifth of the cells; else the row says skipped and has no statistic.
     """
-    expected = expected_counts(cells, a, b)
-    deviation = F.col("observed") - F.col("expected")
-    row = expected.agg(
+    occurring = cells.filter("observed > 0")
+    rows = occurring.groupBy(a).agg(F.sum("observed").alias("_row"))
+    columns = occurring.groupBy(b).agg(F.sum("observed").alias("_column"))
+    total = rows.agg(F.sum("_row")).scalar()
+    facts = _margin_facts(rows, columns, total).select(F.struct("*")).scalar()
+    expected = F.col("_row").cast("double") * F.col("_column").cast("double") / total
+    deviation = F.col("observed") - F.col("_expected")
+    sums = occurring.join(rows, a).join(columns, b).withColumn("_expected", expected).agg(
         F.coalesce(F.sum("observed"), F.lit(0)).alias("sample_size"),
-        F.count_distinct(a).alias("n_a"),
-        F.count_distinct(b).alias("n_b"),
-        F.min("expected").alias("minimum_expected"),
-        (F.lit(100.0) * F.count_if(F.col("expected") < 5) / F.count("*")).alias("percent_expected_below_5"),
-        F.sum(F.try_divide(deviation * deviation, F.col("expected"))).alias("_statistic"),
+        F.sum(deviation * deviation / F.col("_expected")).alias("_occurring"),
+        F.sum("_expected").alias("_expected"),
+    )
+    row = sums.select(
+        "*",
+        facts.getField("n_a").alias("n_a"),
+        facts.getField("n_b").alias("n_b"),
+        F.try_divide(
+            facts.getField("least_row").cast("double") * facts.getField("least_column").cast("double"), F.col("sample_size")
+        ).alias("minimum_expected"),
+        F.try_divide(
+            F.lit(100.0) * facts.getField("below_5"), facts.getField("n_a") * facts.getField("n_b")
+        ).alias("percent_expected_below_5"),
     )
     shaped = (F.col("n_a") >= 2) & (F.col("n_b") >= 2)
     suitable = shaped & (F.col("minimum_expected") >= 1) & (F.col("percent_expected_below_5") <= 20)
-    return (
-        row.withColumn(
-            "degrees_of_freedom", F.when(shaped, (F.col("n_a") - 1) * (F.col("n_b") - 1)).cast("int")
-        )
-        .withColumn("statistic", F.when(suitable, F.col("_statistic")))
-        .withColumn("status", F.when(suitable, "performed").otherwise("skipped"))
-        .withColumn("p_value", chi_square_p("statistic", F.col("degrees_of_freedom").cast("double")))
-        .drop("_statistic", "n_a", "n_b")
-    )
+    statistic = F.col("_occurring") + F.col("sample_size") - F.col("_expected")
+    return row.select(
+        "sample_size",
+        "minimum_expected",
+        "percent_expected_below_5",
+        F.when(shaped, (F.col("n_a") - 1) * (F.col("n_b") - 1)).cast("int").alias("degrees_of_freedom"),
+        F.when(suitable, F.greatest(statistic, F.lit(0.0))).alias("statistic"),
+        F.when(suitable, "performed").otherwise("skipped").alias("status"),
+    ).withColumn("p_value", chi_square_p("statistic", F.col("degrees_of_freedom").cast("double")))
 
 
 def stable_consumers(
@@ -115,11 +174,11 @@ def stable_chi_square(
     """(test row, contingency cells) over consumers whose feature and label never change."""
     typed = train.select(key, F.col(feature).cast("string").alias(feature), F.col(label).cast("string").alias(label))
     consumers = stable_consumers(typed, {feature: allowed, label: None}, key)
-    cells = crosstab_counts(consumers.filter("included"), feature, label)
+    pairs = observed_pairs(consumers.filter("included"), feature, label)
     summary = stability_summary(consumers, [feature, label]).select(
         F.struct("excluded_union", f"changing_{feature}", f"changing_{label}", "invalid_category_consumers")
     ).scalar()
-    test = chi_square_test(cells, feature, label).withColumns(
+    test = chi_square_test(pairs, feature, label).withColumns(
         {
             "feature": F.lit(feature),
             "excluded_consumers": summary.getField("excluded_union"),
@@ -128,7 +187,7 @@ def stable_chi_square(
             "invalid_category_consumers": summary.getField("invalid_category_consumers"),
         }
     )
-    return test, expected_counts(cells, feature, label)
+    return test, expected_counts(filled_cells(pairs, feature, label), feature, label)
 
 
 # --- correlation of consumer means ---------------------------------------------------

@@ -37,26 +37,42 @@ def calendar_lag_by_join(df: DataFrame, column: str, months_back: int, out: str,
 
 
 def verify_calendar_lags(df: DataFrame, outputs: Mapping[str, tuple[str, int]], key: str = KEY, ord: str = ORD) -> DataFrame:
-    """Rows checked and mismatches per output column, recomputed by join.
+    """Rows checked and mismatches per output column, looked up in each consumer's months.
 
-    One self-join per distinct offset checks every output of that offset; rows are matched
-    with a null-safe comparison and counted, nothing is collected.
+    The panel is read and shuffled once: the months of a consumer, at most those of the calendar, become a map
+    from the ordinal to the source values, in which every offset of every row is looked up. No window and no
+    sort is shared with what is checked. Values are compared null-safe and counted, nothing is collected.
+    A row without key or ordinal has no history: its outputs have to be null. Repeated keys are refused.
     """
-    offsets = sorted({k for _, k in outputs.values()})
-    checked = df
-    for k in offsets:
-        sources = sorted({col for col, kk in outputs.values() if kk == k})
-        shifted = df.select(
-            key,
-            (F.col(ord) + k).cast("int").alias(ord),
-            *[F.col(col).alias(f"_{col}_at_{k}") for col in sources],
-        )
-        checked = checked.join(shifted, [key, ord], "left")
-    tests = {
-        out: ~F.col(out).eqNullSafe(F.col(f"_{col}_at_{k}")) for out, (col, k) in outputs.items()
-    }
-    counted = checked.agg(
-        F.count("*").alias("_rows"), *[F.count_if(bad).alias(out) for out, bad in tests.items()]
+    sources = sorted({column for column, _ in outputs.values()})
+    known = F.col(key).isNotNull() & F.col(ord).isNotNull()
+    # Rows without key are counted before the shuffle, so that they form no group of unbounded size.
+    consumers = df.groupBy(key).agg(
+        F.collect_list(F.when(known, F.struct(F.col(ord).cast("int").alias("at"), F.struct(*sources).alias("values"), F.struct(*outputs).alias("found")))).alias("_months"),
+        F.count_if(~known).alias("_unknown"),
+        *[F.count_if(~known & F.col(out).isNotNull()).alias(f"_unknown_{out}") for out in outputs],
+    )
+    by_month = F.map_from_arrays(F.col("_months.at"), F.col("_months.values"))
+    rows = consumers.withColumn("_by_month", by_month).select(
+        "_by_month", "_unknown", *[f"_unknown_{out}" for out in outputs], F.posexplode_outer("_months").alias("_place", "_row")
+    )
+    rows = rows.withColumns(
+        {f"_at_{k}": F.element_at("_by_month", F.col("_row.at") - k) for k in sorted({k for _, k in outputs.values()})}
+    )
+    # Counts of rows without key or ordinal stand beside the first of the consumer's rows.
+    first = F.coalesce("_place", F.lit(0)) == 0
+    present = F.col("_row").isNotNull()
+    checked = F.coalesce(F.count_if(present) + F.sum(F.when(first, F.col("_unknown"))), F.lit(0))
+    counted = rows.agg(
+        checked.alias("_rows"),
+        *[
+            F.coalesce(
+                F.count_if(present & ~F.col("_row.found").getField(out).eqNullSafe(F.col(f"_at_{k}").getField(column)))
+                + F.sum(F.when(first, F.col(f"_unknown_{out}"))),
+                F.lit(0),
+            ).alias(out)
+            for out, (column, k) in outputs.items()
+        ],
     )
     return counted.select(
         F.inline(

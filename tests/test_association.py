@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import ChiSquareTest
@@ -61,6 +62,63 @@ def test_sparse_or_degenerate_tables_are_skipped(spark):
     assert row.status == "skipped" and row.degrees_of_freedom is None
 
 
+def test_occurring_pairs_give_the_result_of_the_filled_table(spark):
+    counts = {(a, b): (7 * i + 3 * j) % 11 * 9 for i, a in enumerate("pqrst") for j, b in enumerate("xyz")}
+    df = table(spark, counts)
+    pairs = association.observed_pairs(df, "a", "b")
+    cells = association.expected_counts(association.crosstab_counts(df, "a", "b"), "a", "b").collect()
+    assert pairs.count() < len(cells) == 15
+    row = association.chi_square_test(pairs, "a", "b").first()
+    assert row.statistic == pytest.approx(sum((c.observed - c.expected) ** 2 / c.expected for c in cells), rel=1e-12)
+    assert row.minimum_expected == min(c.expected for c in cells)
+    assert row.percent_expected_below_5 == 100.0 * sum(c.expected < 5 for c in cells) / 15
+    filled = association.chi_square_test(association.crosstab_counts(df, "a", "b"), "a", "b").first()
+    assert filled.status == row.status == "performed" and filled.degrees_of_freedom == row.degrees_of_freedom == 8
+    assert filled.statistic == pytest.approx(row.statistic, rel=1e-12)
+
+
+def test_limits_of_expected_counts_are_exact(spark):
+    """Expected counts of exactly 5 are not below 5; totals of several sizes agree with the cells."""
+    df = table(spark, {("p", "x"): 5, ("p", "y"): 5, ("q", "x"): 5, ("q", "y"): 5})
+    assert association.chi_square_test(association.observed_pairs(df, "a", "b"), "a", "b").first().percent_expected_below_5 == 0
+    df = table(spark, {("p", "x"): 49, ("p", "y"): 1, ("q", "x"): 49, ("q", "y"): 9, ("r", "x"): 392})
+    cells = association.expected_counts(association.crosstab_counts(df, "a", "b"), "a", "b").collect()
+    row = association.chi_square_test(association.observed_pairs(df, "a", "b"), "a", "b").first()
+    assert row.percent_expected_below_5 == 100.0 * sum(c.expected < 5 for c in cells) / 6
+
+
+def test_many_sparse_categories_build_no_grid(spark):
+    """100,000 x 1,000 labels: pairs and margins only, against the sums in numpy."""
+    a, b = F.pmod(F.col("id") * 7919, F.lit(100_000)), F.pmod(F.xxhash64("id"), F.lit(1_000))
+    df = spark.range(400_000).select(a.cast("string").alias("a"), F.when(F.col("id") % 3 == 0, 0).otherwise(b).alias("b"))
+    pairs = association.observed_pairs(df, "a", "b")
+    test = association.chi_square_test(pairs, "a", "b")
+    plan = test._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    row, cells = test.first(), pairs.toPandas()
+    rows, columns = cells.groupby("a")["observed"].sum().to_numpy(), cells.groupby("b")["observed"].sum().to_numpy()
+    below = sum(np.searchsorted(np.sort(columns), -(-5 * 400_000 // r)) for r in rows)
+    assert row.sample_size == 400_000 and row.degrees_of_freedom == (len(rows) - 1) * (len(columns) - 1)
+    assert (len(rows), len(columns)) == (100_000, 1_000) and row.status == "skipped"
+    assert row.percent_expected_below_5 == pytest.approx(100 * below / (len(rows) * len(columns)))
+    assert row.minimum_expected == pytest.approx(rows.min() * columns.min() / 400_000)
+
+
+def test_no_rows_or_only_nulls(spark):
+    for rows in ([], [(None, "x"), ("p", None)]):
+        df = spark.createDataFrame(rows, "a string, b string")
+        row = association.chi_square_test(association.observed_pairs(df, "a", "b"), "a", "b").first()
+        assert row.sample_size == 0 and row.status == "skipped" and row.statistic is None
+        assert association.crosstab_counts(df, "a", "b").count() == 0
+
+
+def test_filled_blocks_hold_every_pair(spark, monkeypatch):
+    monkeypatch.setattr(association, "FILL_BLOCK", 3)
+    df = spark.range(40).select(F.concat(F.lit("a"), F.col("id") % 4).alias("a"), F.concat(F.lit("b"), F.col("id")).alias("b"))
+    cells = association.crosstab_counts(df, "a", "b")
+    assert cells.count() == 160 and cells.distinct().count() == 160 and cells.agg(F.sum("observed")).first()[0] == 40
+
+
 def test_stable_consumers_count_missing_as_a_value(spark):
     rows = [(1, "a"), (1, "a"), (2, "a"), (2, None), (3, "b"), (3, "a"), (4, "z")]
     found = {

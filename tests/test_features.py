@@ -107,6 +107,27 @@ def test_checks_find_a_wrong_lag_and_a_wrong_label(spark):
     assert rules["at_risk_threshold"] == 4 and rules["tenure_not_negative"] == 0
 
 
+def test_lag_check_equals_a_check_by_joins(spark):
+    """Gaps, rows without key or ordinal, planted errors, forward and backward offsets."""
+    rows = [(c, o, (c * 31 + o * 7) % 13) for c in range(40) for o in range(100, 130) if (c * o) % 5]
+    panel = spark.createDataFrame(rows, "consumer_no int, ord int, v int")
+    lagged = calendar.calendar_lag(panel, {"back": ("v", 1), "year": ("v", 12), "next": ("v", -1)})
+    wrong = lagged.withColumn("year", F.when(F.col("ord") % 9 == 0, F.coalesce("year", F.lit(0)) + 1).otherwise(F.col("year")))
+    outputs = {"back": ("v", 1), "year": ("v", 12), "next": ("v", -1)}
+    found = {r.output: r for r in calendar.verify_calendar_lags(wrong, outputs).collect()}
+    for out, (column, k) in outputs.items():
+        joined = calendar.calendar_lag_by_join(wrong, column, k, "joined")
+        assert found[out].mismatches == joined.filter(~F.col("joined").eqNullSafe(F.col(out))).count()
+        assert found[out].rows_checked == len(rows)
+    assert found["year"].mismatches == sum(o % 9 == 0 for _, o, _ in rows) and found["back"].mismatches == 0
+    plan = calendar.verify_calendar_lags(wrong, outputs)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Scan ExistingRDD") == 1
+    odd = spark.createDataFrame([(None, 5, 1, None), (None, 6, 1, 1), (1, None, 2, 2), (1, 5, 3, None)], "consumer_no int, ord int, v int, back int")
+    row = calendar.verify_calendar_lags(odd, {"back": ("v", 1)}).first()
+    assert (row.rows_checked, row.mismatches) == (4, 2)
+    assert calendar.verify_calendar_lags(odd.limit(0), {"back": ("v", 1)}).first().rows_checked == 0
+
+
 def test_window_and_join_agree(spark):
     panel = build(spark, GAPS).select("consumer_no", "ord", "current_consumption", "consumption_lag2")
     joined = calendar.calendar_lag_by_join(panel, "current_consumption", 2, "joined")
