@@ -6,7 +6,8 @@ window. The similarity of that window and the template is then at least `floor_s
 a window of that similarity shares a band with the template with the wanted probability.
 A block's MinHash values are the minima of its two halves, so all sizes cost one pass.
 
-Retrieved windows are verified exactly: the share of the template's shingles in the stretch around them.
+Retrieved windows are verified exactly: the share of the template's shingles in the stretch around them. A template of fewer words than a
+shingle has is one whole run of words, looked for word by word at every place.
 """
 
 from __future__ import annotations
@@ -75,6 +76,7 @@ TEMPLATES = {
     "cc-by-4.0-notice": "Licensed under CC BY 4.0.",
     "cc-by-sa-4.0-notice": "Licensed under CC BY-SA 4.0.",
     "cc-by-nc-4.0-notice": "Licensed under CC BY-NC 4.0.",
+    "rights-notice": "All rights reserved.",
     "cc-by-notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
 }
 
@@ -92,22 +94,28 @@ def bands_for(similarity: float, probability: float) -> int:
     return math.ceil(math.log(1 - probability) / math.log1p(-similarity))
 
 
-def plain_shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Shingles of each text in order, without case and punctuation, where each text's begin, and the number of its words."""
+def plain_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of each text's words in order, without case and punctuation, and where each text's begin."""
     raw, bounds = T.buffers(column)
     raw = T.plained(raw)
     starts, ends, first = T.words(raw, bounds)
-    return *T.shingles(T.span_hashes(raw, starts, ends), first), np.diff(first)
+    return T.span_hashes(raw, starts, ends), first
 
 
 class Templates:
     def __init__(self, texts: dict[str, str], contained: float, probability: float):
         if sum(len(x.encode()) for x in texts.values()) > TEMPLATE_BOUND:
             raise ValueError(f"templates of more than {TEMPLATE_BOUND} bytes; scan with parts of them")
-        shingles, begin, words = plain_shingles(pa.array(list(texts.values()), pa.string()))
-        if (words < T.WORDS).any():
-            raise ValueError(f"a template needs {T.WORDS} words at least")
-        self.names, self.contained = list(texts), contained
+        words, first = plain_words(pa.array(list(texts.values()), pa.string()))
+        count = np.diff(first)
+        if not count.all():
+            raise ValueError("a template without words")
+        names = np.array(list(texts), dtype=object)
+        self.short = [(names[t], words[first[t] : first[t + 1]]) for t in np.flatnonzero(count < T.WORDS)]
+        whole = count >= T.WORDS
+        words, first = words[np.repeat(whole, count)], np.concatenate([[0], np.cumsum(count[whole])])
+        shingles, begin = T.shingles(words, first)
+        self.names, self.contained = names[whole].tolist(), contained
         self.sets = [np.unique(shingles[a:b]) for a, b in zip(begin[:-1], begin[1:])]
         self.lengths = np.diff(begin)
         self.level = np.ceil(np.log2(np.maximum(1, self.lengths))).astype(int)
@@ -127,6 +135,8 @@ class Templates:
 
     def retrieved(self, shingles: np.ndarray, begin: np.ndarray) -> set[tuple[int, int, int]]:
         """(text, first shingle of the window in it, template)."""
+        if not self.names:
+            return set()
         top = int(self.level.max())
         plan, at = [], begin  # for each level: where its blocks begin among the level below, where each text's begin
         for _ in range(top):
@@ -159,6 +169,18 @@ class Templates:
                         found.add((x, (w - int(at[x])) << level, t))
         return found
 
+    def runs(self, words: np.ndarray, first: np.ndarray) -> Iterator[tuple[str, int, int, int]]:
+        """(name, text, first word, places) of each short template in each text that holds it whole."""
+        for name, run in self.short:
+            at = np.flatnonzero(words[: max(0, len(words) - len(run) + 1)] == run[0])
+            for k in range(1, len(run)):
+                at = at[words[at + k] == run[k]]
+            text = np.searchsorted(first, at, side="right") - 1
+            inside = at + len(run) <= first[text + 1]
+            holders, begin, places = np.unique(text[inside], return_index=True, return_counts=True)
+            for x, place, n in zip(holders.tolist(), at[inside][begin].tolist(), places.tolist()):
+                yield name, x, place - int(first[x]), n
+
     def share(self, shingles: np.ndarray, template: int) -> float:
         return len(np.intersect1d(np.unique(shingles), self.sets[template], assume_unique=True)) / len(self.sets[template])
 
@@ -170,7 +192,8 @@ def _scan(templates):
         known = templates.value
         for batch in batches:
             for piece in T.pieces(batch, "text"):
-                shingles, begin, _ = plain_shingles(piece.column("text"))
+                words, first = plain_words(piece.column("text"))
+                shingles, begin = T.shingles(words, first)
                 ids, best = piece.column("doc_id").to_pylist(), {}
                 for text, at, template in sorted(known.retrieved(shingles, begin)):
                     size = 1 << int(known.level[template])
@@ -180,8 +203,9 @@ def _scan(templates):
                         old = best.get((text, template), (0.0, 0, 0))
                         here = int(np.flatnonzero(np.isin(shingles[low:high], known.sets[template]))[0]) + low - int(begin[text])
                         best[text, template] = (share, here, old[2] + 1) if share > old[0] else (old[0], old[1], old[2] + 1)
-                if best:
-                    rows = [(ids[text], known.names[t], *rest) for (text, t), rest in best.items()]
+                rows = [(ids[text], known.names[t], *rest) for (text, t), rest in best.items()]
+                rows += [(ids[text], name, 1.0, place, places) for name, text, place, places in known.runs(words, first)]
+                if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
     return run
@@ -190,7 +214,8 @@ def _scan(templates):
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] = TEMPLATES, contained: float = 0.8, probability: float = 0.999) -> DataFrame:
     """(doc_id, template, contained, first_word, windows): each template found in a document, its best place and the number of windows that hold it.
 
-    A template is found where at least `contained` of its five-word shingles stand together, with the given probability or more. Null
+    A template is found where at least `contained` of its five-word shingles stand together, with the given probability or more. One of fewer than five
+    words is found wherever it stands whole, and `windows` counts its places; one without a word is refused. Null
     and empty texts hold none. Every row is read by itself: repeated rows give repeated results, a null id stays null. Without templates, or
     on an empty table, the result is empty. Only the two named columns are read.
     """

@@ -21,8 +21,9 @@ def _plain_words(text):
 def _contained(text, template):
     """Most of the template's shingles in any stretch of the template's length, and a half more."""
     t, w = _plain_words(template), _plain_words(text)
-    want = {tuple(t[k : k + 5]) for k in range(len(t) - 4)}
-    have = [tuple(w[k : k + 5]) for k in range(len(w) - 4)]
+    size = min(5, len(t))
+    want = {tuple(t[k : k + size]) for k in range(len(t) - size + 1)}
+    have = [tuple(w[k : k + size]) for k in range(len(w) - size + 1)]
     n = len(t) + len(t) // 2
     return max((len(want & set(have[k : k + n])) / len(want) for k in range(max(1, len(have) - n + 1))), default=0)
 
@@ -62,10 +63,24 @@ def test_small_tables_agree_with_a_plain_search(small):
     assert wanted and wanted <= found
 
 
+def test_short_notices_are_found_whole(spark):
+    texts = {
+        1: "All rights reserved.", 2: "x all RIGHTS reserved, y. All rights reserved", 3: "all rights", 4: "reserved all rights", 5: "",
+        6: "all all rights reserved", 7: "rights reserved", 8: None, 9: "notice", 10: "all rights notice reserved",
+    }
+    rows = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in texts.items()], DOCS).coalesce(1)
+    short = {"rights": "All rights reserved.", "one": "Notice"}
+    found = {(r["doc_id"], r["template"]): (r["contained"], r["first_word"], r["windows"]) for r in scan_licenses(rows, templates=short).collect()}
+    assert found == {
+        (1, "rights"): (1.0, 0, 1), (2, "rights"): (1.0, 1, 2), (6, "rights"): (1.0, 1, 1),
+        (9, "one"): (1.0, 0, 1), (10, "one"): (1.0, 2, 1),
+    }
+
+
 def test_edges(edges, empty):
     assert scan_licenses(edges).count() == 0
     assert scan_licenses(empty).count() == 0
     assert scan_licenses(edges, templates={}).count() == 0
     with pytest.raises(ValueError):
-        scan_licenses(edges, templates={"short": "two words"})
+        scan_licenses(edges, templates={"short": "..."})
     assert pa.array([]).null_count == 0
