@@ -281,29 +281,40 @@ def box_summary(df: DataFrame, column: str, by: str, k: float = 1.5) -> DataFram
 
 
 def eda_findings(df: DataFrame, by: str = "tarrif") -> DataFrame:
-    """Extremes by month and category, and counts of notable rows, as one row."""
-    consumption = F.col("consumption_unit")
+    """Extremes by month and category, and counts of notable rows, as one row.
 
-    def extreme(groups: DataFrame, name: str, label: str) -> Column:
+    The panel is read once: sums and counts by month of the year and category are stored, all else comes from them.
+    """
+    consumption, arrears = F.col("consumption_unit"), F.col("closing_arrears")
+    cube = materialize(
+        df.groupBy(month_number(F.col("ord")).alias("month"), F.col(by).alias("category")).agg(
+            F.sum(consumption.cast("double")).alias("used"),
+            F.count(consumption).alias("n_used"),
+            F.sum(arrears.cast("double")).alias("arrears"),
+            F.count(arrears).alias("n_arrears"),
+            F.max(arrears).alias("max_arrears"),
+            F.count_if(consumption == 0).alias("zero"),
+            F.count_if(F.col("bill_amount") <= 0).alias("nonpositive"),
+            F.count_if(F.col("payment_amount") > F.col("bill_amount")).alias("above"),
+        ),
+        "findings",
+    )
+
+    def extreme(name: str) -> Column:
+        groups = cube.groupBy(name).agg(F.try_divide(F.sum("used"), F.sum("n_used")).alias("mean"))
         picked = groups.agg(
-            F.min(F.struct(-F.col("mean"), F.col(name))).alias("hi"),
-            F.min(F.struct(F.col("mean"), F.col(name))).alias("lo"),
-        ).select(
-            F.struct(
-                F.col(f"hi.{name}").alias("highest"), F.col(f"lo.{name}").alias("lowest")
-            ).alias(label)
+            F.min(F.struct(-F.col("mean"), F.col(name))).getField(name).alias("highest"),
+            F.min(F.struct(F.col("mean"), F.col(name))).getField(name).alias("lowest"),
         )
-        return picked.scalar()
-
-    months = df.groupBy(month_number(F.col("ord")).alias("month")).agg(F.avg(consumption).alias("mean"))
-    groups = df.groupBy(by).agg(F.avg(consumption).alias("mean"))
-    month, group = extreme(months, "month", "m"), extreme(groups, by, "g")
-    return df.agg(
-        F.count_if(consumption == 0).alias("zero_consumption_rows"),
-        F.count_if(F.col("bill_amount") <= 0).alias("nonpositive_bills"),
-        F.count_if(F.col("payment_amount") > F.col("bill_amount")).alias("payments_above_bills"),
-        F.avg("closing_arrears").alias("mean_arrears"),
-        F.max("closing_arrears").alias("max_arrears"),
+        return picked.select(F.struct("highest", "lowest")).scalar()
+
+    month, group = extreme("month"), extreme("category")
+    return cube.agg(
+        F.coalesce(F.sum("zero"), F.lit(0)).alias("zero_consumption_rows"),
+        F.coalesce(F.sum("nonpositive"), F.lit(0)).alias("nonpositive_bills"),
+        F.coalesce(F.sum("above"), F.lit(0)).alias("payments_above_bills"),
+        F.try_divide(F.sum("arrears"), F.sum("n_arrears")).alias("mean_arrears"),
+        F.max("max_arrears").alias("max_arrears"),
     ).withColumns(
         {
             "highest_month": month.getField("highest"),

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterflow import schema
 from meterflow.functions.scalars import flag, is_blank, month_ordinal, period_text, to_number
+from meterflow.session import materialize
 
 ARTIFACT = "_trailing"
 # Stands for the empty trailing header name while the file is parsed. A control character
@@ -136,18 +137,18 @@ def combine_periods(*months: DataFrame, ordered_by: Sequence[str] = ()) -> DataF
     return combined.sortWithinPartitions(*ordered_by) if ordered_by else combined
 
 
-def chronology_check(df: DataFrame, key: str = "consumer_no", ord: str = "ord") -> DataFrame:
-    """One row on connection dates against observed months, from per-consumer aggregates."""
+def _connection_columns(ord: str) -> list[Column]:
     connection = month_ordinal(F.col("connection_date"))
-    consumers = df.groupBy(key).agg(
+    return [
         F.count("*").alias("n"),
         F.count_if(connection.isNull()).alias("unverifiable"),
         F.count_if(F.col(ord) < connection).alias("before"),
-        F.min(ord).alias("first_seen"),
         F.min(connection).alias("first_connection"),
         F.max(connection).alias("last_connection"),
-    )
-    first_month = df.agg(F.min(ord)).scalar()
+    ]
+
+
+def _chronology_row(consumers: DataFrame, first_month: Column) -> DataFrame:
     return consumers.agg(
         F.sum("n").alias("n_rows"),
         F.count("*").alias("n_consumers"),
@@ -159,23 +160,43 @@ def chronology_check(df: DataFrame, key: str = "consumer_no", ord: str = "ord")
     )
 
 
+def chronology_check(df: DataFrame, key: str = "consumer_no", ord: str = "ord") -> DataFrame:
+    """One row on connection dates against observed months, from per-consumer aggregates."""
+    consumers = df.groupBy(key).agg(*_connection_columns(ord), F.min(ord).alias("first_seen"))
+    return _chronology_row(consumers, df.agg(F.min(ord)).scalar())
+
+
 def loading_summary(df: DataFrame, key: str = "consumer_no", ord: str = "ord") -> DataFrame:
-    """Status and totals of a combined panel; `files` lists the counts per period as JSON."""
-    by_period = df.groupBy(ord).agg(F.count("*").alias("rows"), F.count_distinct(key).alias("consumers"))
-    files = by_period.agg(
-        F.to_json(
-            F.sort_array(
-                F.collect_list(F.struct(period_text(F.col(ord)).alias("period"), "rows", "consumers"))
-            )
-        )
-    ).scalar()
-    repeated = (
-        df.groupBy(key, ord).count().filter("count > 1").agg(F.coalesce(F.sum("count"), F.lit(0))).scalar()
+    """Status and totals of a combined panel; `files` lists the counts per period as JSON.
+
+    The panel is read once: rows are merged by consumer and period, and this narrow table is stored. The rows by period,
+    as many as the calendar has, are stored as well, and consumers are aggregated from the merged rows.
+    """
+    merged = materialize(df.groupBy(key, ord).agg(*_connection_columns(ord)), "consumer_months")
+    periods = merged.groupBy(ord).agg(
+        F.sum("n").alias("rows"),
+        F.count(key).alias("consumers"),
+        F.sum(F.when(F.col("n") > 1, F.col("n"))).alias("repeated"),
+    )
+    of_period = F.struct(period_text(F.col(ord)).alias("period"), "rows", "consumers")
+    span = materialize(
+        periods.agg(
+            F.min(ord).alias("lo"),
+            F.max(ord).alias("hi"),
+            F.count(ord).alias("n"),
+            F.coalesce(F.sum("repeated"), F.lit(0)).alias("repeated"),
+            F.to_json(F.sort_array(F.collect_list(of_period))).alias("files"),
+        ),
+        "span",
+    )
+    span = span.select(F.struct("*")).scalar()
+    consumers = merged.groupBy(key).agg(
+        *[F.sum(c).alias(c) for c in ("n", "unverifiable", "before")],
+        F.min("first_connection").alias("first_connection"),
+        F.max("last_connection").alias("last_connection"),
+        F.min(ord).alias("first_seen"),
     )
-    checks = chronology_check(df, key, ord)
-    span = df.agg(F.min(ord).alias("lo"), F.max(ord).alias("hi"), F.count_distinct(ord).alias("n"))
-    span = span.select(F.struct("lo", "hi", "n")).scalar()
-    return checks.select(
+    return _chronology_row(consumers, span.getField("lo")).select(
         F.when(F.col("unverifiable_rows") > 0, "passed_with_warnings").otherwise("passed").alias("status"),
         span.getField("n").alias("file_count"),
         F.col("n_rows").alias("total_rows"),
@@ -183,12 +204,12 @@ def loading_summary(df: DataFrame, key: str = "consumer_no", ord: str = "ord") -
         period_text(span.getField("lo")).alias("first_actual_month"),
         period_text(span.getField("hi")).alias("latest_actual_month"),
         period_text(span.getField("hi") + 1).alias("next_prediction_month"),
-        repeated.alias("duplicate_consumer_month_rows"),
+        span.getField("repeated").alias("duplicate_consumer_month_rows"),
         F.col("late_joiners").alias("late_joiner_consumers"),
         F.col("unverifiable_rows").alias("unverifiable_connection_date_rows"),
         F.col("inconsistent_consumers").alias("inconsistent_connection_date_consumers"),
         "rows_before_connection",
-        files.alias("files"),
+        span.getField("files").alias("files"),
     )
 
 

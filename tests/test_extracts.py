@@ -1,4 +1,7 @@
+import json
+
 import pytest
+from pyspark.sql import functions as F
 
 from meterflow.sources import extracts
 from meterflow.streaming import ingest
@@ -138,3 +141,26 @@ def test_fingerprints_do_not_depend_on_splits(spark, tmp_path):
         assert status("a", "c") == {"f.txt": "different"}
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_loading_summary_counts_repeats_and_connections(spark):
+    """A repeated month, an unknown and a changed connection date, a late joiner; empty panels give no month."""
+    rows = [
+        (1, 24300, "2024-01-01"), (1, 24301, "2024-01-01"), (1, 24301, "2024-01-01"),
+        (2, 24300, None), (2, 24301, "2025-09-01"), (3, 24301, "2025-01-01"), (3, 24303, "2025-02-01"),
+    ]
+    df = spark.createDataFrame(rows, "consumer_no int, ord int, connection_date string").withColumn("connection_date", F.to_date("connection_date"))
+    row = extracts.loading_summary(df).first()
+    assert (row.status, row.file_count, row.total_rows, row.unique_consumers) == ("passed_with_warnings", 3, 7, 3)
+    assert (row.first_actual_month, row.latest_actual_month, row.next_prediction_month) == ("2025-01", "2025-04", "2025-05")
+    assert (row.duplicate_consumer_month_rows, row.late_joiner_consumers, row.unverifiable_connection_date_rows) == (2, 1, 1)
+    assert (row.inconsistent_connection_date_consumers, row.rows_before_connection) == (1, 1)
+    assert json.loads(row.files) == [
+        {"period": "2025-01", "rows": 2, "consumers": 2}, {"period": "2025-02", "rows": 4, "consumers": 3}, {"period": "2025-04", "rows": 1, "consumers": 1},
+    ]
+    checks, summary = extracts.chronology_check(df).first(), extracts.loading_summary(df)
+    assert (checks.n_rows, checks.late_joiners, checks.rows_before_connection) == (7, 1, 1)
+    plan = summary._jdf.queryExecution().executedPlan().toString()
+    assert "ExistingRDD" not in plan  # the panel itself is not read again
+    nothing = extracts.loading_summary(df.limit(0)).first()
+    assert (nothing.file_count, nothing.unique_consumers, nothing.latest_actual_month, nothing.files) == (0, 0, None, "[]")
