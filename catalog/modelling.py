@@ -530,6 +530,16 @@ ROLES = [
     ("anomaly", "USE-1", 3, "best second family"),
     ("anomaly", "USE-1-balanced", 4, "official selected model"),
 ]
+REASONS = {
+    "consumption": "lowest RMSE on VALIDATION",
+    "revenue": "highest ROC_AUC with support for both classes",
+    "anomaly": "close to the highest F1_1, with more recall and a smaller gap",
+}
+_REASONS_SQL = " ".join(f"WHEN '{m}' THEN '{t}'" for m, t in REASONS.items())
+_GAPS_SQL = ", ".join(
+    f"""CASE WHEN x.stage = 'VALIDATION' THEN "{n}" - max("{n}") FILTER (x.stage = 'TRAIN') OVER (PARTITION BY x.module, x.configuration) END AS "VALIDATION_minus_TRAIN_{n}\""""
+    for n in evaluate.GAP_METRICS
+)
 _ROLES_SQL = ", ".join(f"('{m}', '{c}', {r}, '{t}')" for m, c, r, t in ROLES)
 FINAL_SQL = (
     RANK_SQL
@@ -537,23 +547,34 @@ FINAL_SQL = (
     + f""",
 ro AS (SELECT * FROM (VALUES {_ROLES_SQL}) r(module, configuration, rank, role)),
 rl AS (SELECT module, configuration, string_agg(role, '; ' ORDER BY rank) AS model_role, bool_or(role = 'official selected model') AS selected_model, bool_or(role = 'baseline') AS baseline FROM ro GROUP BY 1, 2),
-fm AS (SELECT x.module, x.configuration, x.algorithm, x.stage, model_role, selected_model, baseline, sample_count, "MAE", "RMSE", "R2", "Accuracy", "Precision_0", "Recall_0", "F1_0", "Precision_1", "Recall_1", "F1_1", "ROC_AUC", "AP", predicted_class_0_count, predicted_class_1_count
+fm AS (SELECT x.module, x.configuration, x.algorithm, x.stage, model_role, selected_model, baseline, sample_count, "MAE", "RMSE", "R2", "Accuracy", "Precision_0", "Recall_0", "F1_0", "Precision_1", "Recall_1", "F1_1", "ROC_AUC", "AP", predicted_class_0_count, predicted_class_1_count,
+    actual_class_0_count, actual_class_1_count, {_GAPS_SQL},
+    CASE WHEN selected_model THEN CASE x.module {_REASONS_SQL} END ELSE '' END AS selection_reason,
+    CASE WHEN x.stage = 'FINAL_TEST' THEN 'held-out final test before the refit' ELSE 'model comparison' END AS metric_source
   FROM (SELECT module, configuration, algorithm, stage, sample_count, "MAE", "RMSE", "R2", NULL AS "Accuracy", NULL AS "Precision_0", NULL AS "Recall_0", NULL AS "F1_0", NULL AS "Precision_1", NULL AS "Recall_1", NULL AS "F1_1", NULL AS "ROC_AUC", NULL AS "AP",
-          CAST(NULL AS BIGINT) AS predicted_class_0_count, CAST(NULL AS BIGINT) AS predicted_class_1_count FROM rm
-        UNION ALL SELECT module, configuration, algorithm, stage, sample_count, NULL, NULL, NULL, "Accuracy", "Precision_0", "Recall_0", "F1_0", "Precision_1", "Recall_1", "F1_1", "ROC_AUC", "AP", predicted_class_0, predicted_class_1 FROM am) x
+          CAST(NULL AS BIGINT) AS predicted_class_0_count, CAST(NULL AS BIGINT) AS predicted_class_1_count, CAST(NULL AS BIGINT) AS actual_class_0_count, CAST(NULL AS BIGINT) AS actual_class_1_count FROM rm
+        UNION ALL SELECT module, configuration, algorithm, stage, sample_count, NULL, NULL, NULL, "Accuracy", "Precision_0", "Recall_0", "F1_0", "Precision_1", "Recall_1", "F1_1", "ROC_AUC", "AP", predicted_class_0, predicted_class_1, class_0_count, class_1_count FROM am) x
   JOIN rl ON rl.module = x.module AND rl.configuration = x.configuration)
 """
 )
 _FM = ["module", "configuration", "algorithm", "stage", "model_role", "selected_model", "baseline", "sample_count", "MAE", "RMSE", "R2", "Accuracy", "Precision_0", "Recall_0", "F1_0", "Precision_1", "Recall_1", "F1_1", "ROC_AUC", "AP", "predicted_class_0_count", "predicted_class_1_count"]
-_FM_FLOATS = ["MAE", "RMSE", "R2", "Accuracy", "Precision_0", "Recall_0", "F1_0", "Precision_1", "Recall_1", "F1_1", "ROC_AUC", "AP"]
+_GAPS = [f"VALIDATION_minus_TRAIN_{n}" for n in evaluate.GAP_METRICS]
+_FM += ["actual_class_0_count", "actual_class_1_count", *_GAPS, "selection_reason", "metric_source"]
+_FM_FLOATS = [*_GAPS, "MAE", "RMSE", "R2", "Accuracy", "Precision_0", "Recall_0", "F1_0", "Precision_1", "Recall_1", "F1_1", "ROC_AUC", "AP"]
 _PRIMARY = {"consumption": "RMSE", "revenue": "ROC_AUC", "anomaly": "F1_1"}
+_SECONDARY = {"consumption": ["MAE", "R2"], "revenue": ["F1_1", "F1_0", "AP"], "anomaly": ["Recall_1", "Precision_1", "AP", "ROC_AUC"]}
+
+
+def _secondary_sql(separator):
+    listed = {m: ", ".join(f"""printf('{n}=%.6f', "{n}")""" for n in names) for m, names in _SECONDARY.items()}
+    return "CASE module " + " ".join(f"WHEN '{m}' THEN concat_ws('{separator}', {t})" for m, t in listed.items()) + " END"
 
 
 def consolidated(spark, folder):
     roles = spark.createDataFrame(ROLES, "module string, configuration string, rank int, role string")
     stored = stored_split(spark, folder, *dict.fromkeys(_SCORED_COLUMNS + _FORECAST_COLUMNS))
     regression = metrics.regression_metrics(forecasts(spark, folder, stored), "y", "p", GROUP)
-    return evaluate.final_metrics(regression, class_metrics_long(spark, folder, stored), roles).select(*_FM)
+    return evaluate.final_metrics(regression, class_metrics_long(spark, folder, stored), roles, REASONS).select(*_FM)
 
 
 @query("final_metrics", f"WITH {FINAL_SQL} SELECT * FROM fm", _FM_FLOATS)
@@ -563,13 +584,16 @@ def final_metrics(spark, folder):
 
 COMPARISON_SQL = (
     FINAL_SQL
-    + """,
-v AS (SELECT *, CASE module WHEN 'consumption' THEN "RMSE" WHEN 'revenue' THEN "ROC_AUC" ELSE "F1_1" END AS val,
+    + f""",
+v AS (SELECT *, {_secondary_sql('; ')} AS listed, {_secondary_sql(', ')} AS in_line, CASE module WHEN 'consumption' THEN "RMSE" WHEN 'revenue' THEN "ROC_AUC" ELSE "F1_1" END AS val,
   CASE module WHEN 'consumption' THEN 'RMSE' WHEN 'revenue' THEN 'ROC_AUC' ELSE 'F1_1' END AS primary_metric FROM fm),
 fcmp AS (SELECT module, primary_metric, max(configuration) FILTER (fm_base) AS baseline, max(configuration) FILTER (model_role LIKE '%best first family%') AS best_first_family,
   max(configuration) FILTER (model_role LIKE '%best second family%') AS best_second_family, max(configuration) FILTER (selected_model) AS selected,
   max(val) FILTER (selected_model AND stage = 'VALIDATION') AS selected_validation, max(val) FILTER (selected_model AND stage = 'FINAL_TEST') AS selected_final_test,
-  max(val) FILTER (fm_base AND stage = 'FINAL_TEST') AS baseline_final_test FROM (SELECT * EXCLUDE (baseline), baseline AS fm_base FROM v) GROUP BY 1, 2)
+  max(val) FILTER (fm_base AND stage = 'FINAL_TEST') AS baseline_final_test,
+  max(listed) FILTER (selected_model AND stage = 'VALIDATION') AS selected_validation_secondary,
+  'selected ' || max(in_line) FILTER (selected_model AND stage = 'FINAL_TEST') || '; baseline ' || max(in_line) FILTER (fm_base AND stage = 'FINAL_TEST') AS final_test_secondary,
+  max(selection_reason) FILTER (selected_model) AS selection_reason FROM (SELECT * EXCLUDE (baseline), baseline AS fm_base FROM v) GROUP BY 1, 2)
 """
 )
 _VALUES = ["selected_validation", "selected_final_test", "baseline_final_test"]
@@ -577,11 +601,11 @@ _VALUES = ["selected_validation", "selected_final_test", "baseline_final_test"]
 
 @query("final_comparison", f"WITH {COMPARISON_SQL} SELECT * FROM fcmp", _VALUES)
 def final_comparison(spark, folder):
-    return evaluate.final_comparison(consolidated(spark, folder), _PRIMARY)
+    return evaluate.final_comparison(consolidated(spark, folder), _PRIMARY, _SECONDARY)
 
 
 @query("model_card_rows", f"""WITH {COMPARISON_SQL}, g AS (SELECT *, CASE WHEN primary_metric = 'RMSE' THEN baseline_final_test - selected_final_test ELSE selected_final_test - baseline_final_test END AS gain FROM fcmp)
 SELECT module, selected, printf('%s %.4f', primary_metric, selected_validation) AS validation_text, printf('%s %.4f', primary_metric, selected_final_test) AS final_test_text,
   printf('%s %s %.4f; improvement %.4f', baseline, primary_metric, baseline_final_test, gain) AS baseline_text FROM g""")
 def model_card_rows(spark, folder):
-    return evaluate.model_card_rows(evaluate.final_comparison(consolidated(spark, folder), _PRIMARY))
+    return evaluate.model_card_rows(evaluate.final_comparison(consolidated(spark, folder), _PRIMARY, _SECONDARY))

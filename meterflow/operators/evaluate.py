@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 CLASS_METRICS = ["Accuracy", "ROC_AUC", "AP", "Precision_0", "Recall_0", "F1_0", "Precision_1", "Recall_1", "F1_1"]
 REGRESSION_METRICS = ["MAE", "RMSE", "R2"]
+#: Metrics of which the consolidated table shows VALIDATION minus TRAIN.
+GAP_METRICS = [*REGRESSION_METRICS, "Accuracy", "ROC_AUC", "AP", "F1_0", "F1_1"]
 
 # Ranking rules: (metric, descending), most important first; the listed order breaks ties.
 RANK_AUC = [("VALIDATION_ROC_AUC", True), ("VALIDATION_F1_1", True), ("VALIDATION_F1_0", True), ("overfit_gap", False)]
@@ -168,14 +170,48 @@ def with_roles(metrics: DataFrame, roles: DataFrame) -> DataFrame:
     return metrics.join(listed, ["module", "configuration"])
 
 
-def final_metrics(regression: DataFrame, classification: DataFrame, roles: DataFrame) -> DataFrame:
-    """Regression and classification results of the configurations with a role, in one table."""
+def final_metrics(
+    regression: DataFrame, classification: DataFrame, roles: DataFrame, reasons: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Regression and classification results of the configurations with a role, in one table.
+
+    VALIDATION rows carry what they differ by from the TRAIN row of the same configuration (null without one), rows of
+    the selected model the reason of their module. Metrics that a kind of model does not have are null.
+    """
     both = regression.unionByName(predicted_counts(classification), allowMissingColumns=True)
-    return with_roles(both, roles)
+    # A configuration has a row for each stage, so its window holds three.
+    stages = Window.partitionBy("module", "configuration")
+    reason = F.lit(None).cast("string")
+    for module, text in (reasons or {}).items():
+        reason = F.when(F.col("module") == module, text).otherwise(reason)
 
+    def gap(name: str) -> Column:
+        train = F.max(F.when(F.col("stage") == "TRAIN", F.col(name))).over(stages)
+        return F.when(F.col("stage") == "VALIDATION", F.col(name) - train)
 
-def final_comparison(metrics: DataFrame, primary: Mapping[str, str]) -> DataFrame:
-    """Per module: baseline, selected model and its primary metric on validation and final test."""
+    return with_roles(both, roles).withColumns(
+        {
+            **{f"actual_class_{k}_count": F.col(f"class_{k}_count") for k in (0, 1)},
+            **{f"VALIDATION_minus_TRAIN_{n}": gap(n) for n in GAP_METRICS},
+            "selection_reason": F.when(F.col("selected_model"), F.coalesce(reason, F.lit(""))).otherwise(""),
+            "metric_source": F.when(F.col("stage") == "FINAL_TEST", "held-out final test before the refit").otherwise("model comparison"),
+        }
+    )
+
+
+def _listed_metrics(by_module: Mapping[str, Sequence[str]], separator: str) -> Column:
+    """The module's metrics as text, six digits each; those without a value are left out."""
+    text = F.lit(None).cast("string")
+    for module, names in by_module.items():
+        values = [F.when(F.col(n).isNotNull(), F.format_string(f"{n}=%.6f", F.col(n))) for n in names]
+        text = F.when(F.col("module") == module, F.concat_ws(separator, *values)).otherwise(text)
+    return text
+
+
+def final_comparison(
+    metrics: DataFrame, primary: Mapping[str, str], secondary: Mapping[str, Sequence[str]] | None = None
+) -> DataFrame:
+    """Per module: baseline, selected model, its primary metric and the secondary ones on validation and final test, and why."""
     measure = F.lit(None).cast("double")
     name = F.lit(None).cast("string")
     for module, metric in primary.items():
@@ -183,14 +219,15 @@ def final_comparison(metrics: DataFrame, primary: Mapping[str, str]) -> DataFram
         name = F.when(F.col("module") == module, metric).otherwise(name)
     selected, base = F.col("selected_model"), F.col("baseline")
 
-    def at(who: Column, stage: str) -> Column:
-        return F.max(F.when(who & (F.col("stage") == stage), F.col("_value")))
+    def at(who: Column, stage: str, column: str = "_value") -> Column:
+        return F.max(F.when(who & (F.col("stage") == stage), F.col(column)))
 
     def named(role: str) -> Column:
         return F.max(F.when(F.col("model_role").contains(role), F.col("configuration")))
 
+    texts = {"_listed": _listed_metrics(secondary or {}, "; "), "_in_line": _listed_metrics(secondary or {}, ", ")}
     return (
-        metrics.withColumns({"_value": measure, "primary_metric": name})
+        metrics.withColumns({"_value": measure, "primary_metric": name, **texts})
         .groupBy("module", "primary_metric")
         .agg(
             F.max(F.when(base, F.col("configuration"))).alias("baseline"),
@@ -198,8 +235,13 @@ def final_comparison(metrics: DataFrame, primary: Mapping[str, str]) -> DataFram
             named("best second family").alias("best_second_family"),
             F.max(F.when(selected, F.col("configuration"))).alias("selected"),
             at(selected, "VALIDATION").alias("selected_validation"),
+            at(selected, "VALIDATION", "_listed").alias("selected_validation_secondary"),
             at(selected, "FINAL_TEST").alias("selected_final_test"),
             at(base, "FINAL_TEST").alias("baseline_final_test"),
+            F.concat(
+                F.lit("selected "), at(selected, "FINAL_TEST", "_in_line"), F.lit("; baseline "), at(base, "FINAL_TEST", "_in_line")
+            ).alias("final_test_secondary"),
+            F.max(F.when(selected, F.col("selection_reason"))).alias("selection_reason"),
         )
     )
 
