@@ -8,6 +8,7 @@ from catalog.base import F3, P1, query, strip_sql
 from meterflow import schema
 from meterflow.functions.scalars import NUMBER_PATTERN, is_blank, to_day, to_number
 from meterflow.operators import quality
+from meterflow.session import materialize
 from meterflow.sources import bindings
 
 class _Number(str):
@@ -278,8 +279,8 @@ def category_collisions(spark, folder):
     return quality.category_collisions(bindings.dirty_orders(spark, folder), ["category_txt"])
 
 
-def audit(spark, folder):
-    panel = odd_panel(spark, folder)
+def audit(spark, folder, panel=None):
+    panel = odd_panel(spark, folder) if panel is None else panel
     dirty = bindings.dirty_orders(spark, folder)
     duplicates = quality.duplicate_keys(
         bindings.table(spark, folder, "lineitem").withColumnRenamed("l_orderkey", "k"), ["k", "l_linenumber"], []
@@ -316,13 +317,57 @@ AUDIT = (
         _findings("logical", _CONTEXT),
         _findings("logical", {f"{a}_before_{b}": f"{a} < {b}" for a, b in _PAIRS}),
     ])
-    + "), audit AS (SELECT *, '' AS value, 100.0 * n / CAST(denominator AS DOUBLE) AS percent FROM a0)"
+    + "), audit AS (SELECT *, '' AS value, CAST(NULL AS DOUBLE) AS measure, 100.0 * n / CAST(denominator AS DOUBLE) AS percent FROM a0)"
 )
 
 
-@query("audit_table", f"WITH {AUDIT} SELECT * FROM audit", ["percent"])
+_TEXTS = {"amount_txt": _NUMBER.format("amount_txt"), "date_txt": _DAY.format("date_txt"), "category_txt": "category_txt"}
+_GROUPS = ["tarrif", "solar_consumer"]
+_DESCRIBED = {
+    "n": "count({c})", "mean": "avg({c})", "sd": "stddev_samp({c})", "minimum": "min({c})", "q1": "quantile_cont({c}, 0.25)",
+    "median": "quantile_cont({c}, 0.5)", "q3": "quantile_cont({c}, 0.75)", "maximum": "max({c})",
+}
+_NO_COUNT = "CAST(NULL AS BIGINT) AS n, CAST(NULL AS BIGINT) AS denominator, '' AS value"
+_SECTIONS = (
+    "ms AS (" + " UNION ALL ".join(_profile_sql(c, t) for c, t in _TEXTS.items()) + "), "
+    + "dn AS (" + " UNION ALL ".join(f"SELECT '{c}' AS column_name, upper({strip_sql(c)}) AS norm FROM f3" for c in _TEXTS) + f"""),
+ds AS (SELECT column_name, CASE WHEN norm = '' THEN '[blank/whitespace]' WHEN norm IN ({_TOK}) THEN norm ELSE '[other candidate]' END AS finding, count(*) AS n FROM dn
+  WHERE norm IN ({_TOK}) OR regexp_matches(norm, '^[?.*_-]+$') OR norm LIKE 'UNKNOWN%' OR norm LIKE 'MISSING%' OR norm LIKE 'NOT AVAILABLE%' GROUP BY 1, 2), """
+    + "cf AS (" + " UNION ALL ".join(f"SELECT '{c}' AS column_name, coalesce(nullif({c}, ''), '[missing]') AS category, count(*) AS n FROM odd GROUP BY 2" for c in _GROUPS) + "), "
+    + "sp AS (SELECT column_name, category = '[missing]' AS gone, upper(trim(category)) AS normal, count(*) AS s, sum(n) AS n FROM cf GROUP BY 1, 2, 3), "
+    + "de AS (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, " + ", ".join(f"CAST({e.format(c=c)} AS DOUBLE) AS {k}" for k, e in _DESCRIBED.items()) + f" FROM odd WHERE isfinite({c})" for c in _SIGNED
+    ) + "), fe AS (SELECT column_name, n, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS iqr_lower, q3 + 1.5 * (q3 - q1) AS iqr_upper FROM de)"
+)
+_COUNT = "CAST(NULL AS DOUBLE) AS measure"
+_SECTION_ROWS = " UNION ALL ".join([
+    *[f"SELECT 'missing' AS section, column_name, '{f}' AS finding, {c} AS n, n_rows AS denominator, '' AS value, {_COUNT} FROM ms"
+      for f, c in (("standard_missing", "conventional_missing"), ("literal_blank", "blank_rows"), ("missing_after_typing", "typed_missing"))],
+    f"SELECT 'disguised_missing', column_name, finding, n, (SELECT count(*) FROM f3), '', {_COUNT} FROM ds",
+    f"SELECT 'categorical', column_name, 'category_frequency', n, (SELECT count(*) FROM odd), category, {_COUNT} FROM cf",
+    *[f"SELECT 'categorical', column_name, '{f}', CAST({e} AS BIGINT), (SELECT count(*) FROM odd), '', {_COUNT} FROM sp GROUP BY column_name"
+      for f, e in (("unique_categories", "coalesce(sum(s) FILTER (NOT gone), 0)"), ("blank_missing", "coalesce(sum(n) FILTER (gone), 0)"),
+                   ("normalization_collision_groups", "count(*) FILTER (s > 1)"))],
+    *[f"SELECT 'descriptive', column_name, '{f}', {_NO_COUNT}, {f} FROM de" for f in _DESCRIBED],
+    *[f"SELECT 'outlier', column_name, '{f}', {_NO_COUNT}, {f} FROM fe" for f in ("iqr", "iqr_lower", "iqr_upper")],
+    *[f"SELECT 'outlier', '{c}', 'potential_outliers', count(*) FILTER (isfinite({c}) AND NOT {c} BETWEEN iqr_lower AND iqr_upper), count(*) FILTER (isfinite({c})), '', {_COUNT} "
+      f"FROM odd JOIN fe ON fe.column_name = '{c}'" for c in _SIGNED],
+])
+
+
+@query("audit_table", f"WITH {AUDIT}, {_SECTIONS}, a1 AS ({_SECTION_ROWS}) SELECT * FROM audit UNION ALL BY NAME SELECT *, 100.0 * n / CAST(denominator AS DOUBLE) AS percent FROM a1",
+       ["percent", "measure"], 5)
 def audit_table(spark, folder):
-    return audit(spark, folder)
+    """Every section of the audit. The panel is stored, as the sections read it several times."""
+    texts = bindings.dirty_orders(spark, folder).drop("o_orderkey")
+    panel = materialize(odd_panel(spark, folder), "panel")
+    return audit(spark, folder, panel).drop("percent").transform(
+        quality.audit_table,
+        quality.missing_section(texts, ["amount_txt"], ["date_txt"]),
+        quality.disguised_section(texts, list(_TEXTS)),
+        quality.category_section(panel, _GROUPS),
+        quality.measure_section(panel, _SIGNED),
+    )
 
 
 @query("quality_status", f"""WITH {AUDIT}, b AS (SELECT *, finding IN ('duplicate_key_rows', 'nonblank_conversion_failures') AND n > 0 AS hit FROM audit)

@@ -82,13 +82,14 @@ def finite_describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return moments.join(exact_quantiles(cells, ["variable"], "value", QUARTILES), "variable")
 
 
-def iqr_outliers(df: DataFrame, columns: Sequence[str], k: float = 1.5) -> DataFrame:
+def iqr_outliers(df: DataFrame, columns: Sequence[str], k: float = 1.5, quartiles: DataFrame | None = None) -> DataFrame:
     """Fences at k interquartile ranges and the finite values beyond them; rows stay.
 
     The quartiles, one row per column, come to the driver and return as constants of one
-    aggregate, so that the rows need no join.
+    aggregate, so that the rows need no join. Known `quartiles` (variable, q1, q3) are not computed again.
     """
-    quartiles = exact_quantiles(_cells(df, columns, finite_only=True), ["variable"], "value", QUARTILES)
+    if quartiles is None:
+        quartiles = exact_quantiles(_cells(df, columns, finite_only=True), ["variable"], "value", QUARTILES)
     found = {row.variable: row for row in quartiles.collect()}
     entries, counts = {}, []
     for c in columns:

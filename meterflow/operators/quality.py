@@ -20,8 +20,10 @@ from meterflow.functions.scalars import (
     to_day,
     to_number,
 )
+from meterflow.operators.profile import category_frequency, finite_describe, iqr_outliers
+from meterflow.session import materialize
 
-AUDIT_COLUMNS = ["section", "column_name", "finding", "n", "denominator", "value"]
+AUDIT_COLUMNS = ["section", "column_name", "finding", "n", "denominator", "value", "measure"]
 
 
 # --- duplicates ---------------------------------------------------------------------
@@ -322,7 +324,9 @@ def panel_shape(df: DataFrame, key: str = "consumer_no", ord: str = "ord") -> Da
 
 # --- audit --------------------------------------------------------------------------
 
-def audit_part(df: DataFrame, section: str, column: Column | str | None = None, value: Column | None = None) -> DataFrame:
+def audit_part(
+    df: DataFrame, section: str, column: Column | str | None = None, value: Column | None = None, measure: Column | None = None
+) -> DataFrame:
     """A (finding, n, denominator) result as rows of the long audit table."""
     name = F.lit(column) if isinstance(column, str) or column is None else column
     return df.select(
@@ -332,6 +336,70 @@ def audit_part(df: DataFrame, section: str, column: Column | str | None = None,
         F.col("n").cast("bigint").alias("n"),
         F.col("denominator").cast("bigint").alias("denominator"),
         (value if value is not None else F.lit("")).alias("value"),
+        (measure if measure is not None else F.lit(None)).cast("double").alias("measure"),
+    )
+
+
+def _by_finding(df: DataFrame, column: str, counts: dict[str, str], denominator: str) -> DataFrame:
+    """A row for each count of a wide result."""
+    entries = [F.struct(F.lit(k).alias("finding"), F.col(v).cast("bigint").alias("n")) for k, v in counts.items()]
+    return df.select(F.col(column).alias("column_name"), F.col(denominator).alias("denominator"), F.inline(F.array(*entries)))
+
+
+def missing_section(df: DataFrame, numeric: Sequence[str] = (), days: Sequence[str] = ()) -> DataFrame:
+    """Missing before and after typing, for every column of text."""
+    counts = {"standard_missing": "conventional_missing", "literal_blank": "blank_rows", "missing_after_typing": "typed_missing"}
+    return audit_part(_by_finding(missing_profile(df, numeric, days), "column_name", counts, "n_rows"), "missing", F.col("column_name"))
+
+
+def disguised_section(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Stand-ins for a missing value, a row for each label; original values stay out of the table."""
+    total = df.agg(F.count("*")).scalar()
+    found = disguised_missing(df, columns).groupBy("column_name", F.col("label").alias("finding")).agg(F.sum("n").alias("n"))
+    return audit_part(found.withColumn("denominator", total), "disguised_missing", F.col("column_name"))
+
+
+def category_section(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows of each category, how many there are, missing rows and spellings that differ by case or white space alone.
+
+    The frequencies are stored, the rest is counted from them.
+    """
+    total = df.agg(F.count("*")).scalar()
+    known = materialize(category_frequency(df, columns).select("variable", "category", "n_rows"), "categories")
+    rows = known.select(
+        "variable", "category", F.lit("category_frequency").alias("finding"), F.col("n_rows").alias("n"), total.alias("denominator")
+    )
+    missing = F.col("category") == "[missing]"
+    spellings = known.groupBy("variable", missing.alias("missing"), F.upper(stripped(F.col("category"))).alias("normal")).agg(
+        F.count("*").alias("spellings"), F.sum("n_rows").alias("rows")
+    )
+    summary = spellings.groupBy("variable").agg(
+        F.coalesce(F.sum(F.when(~F.col("missing"), F.col("spellings"))), F.lit(0)).alias("unique"),
+        F.coalesce(F.sum(F.when(F.col("missing"), F.col("rows"))), F.lit(0)).alias("missing"),
+        F.count_if(F.col("spellings") > 1).alias("collisions"),
+        F.sum("rows").alias("rows"),
+    )
+    counts = {"unique_categories": "unique", "blank_missing": "missing", "normalization_collision_groups": "collisions"}
+    return audit_part(rows, "categorical", F.col("variable"), F.col("category")).unionByName(
+        audit_part(_by_finding(summary, "variable", counts, "rows"), "categorical", F.col("column_name"))
+    )
+
+
+def measure_section(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Description of the finite values, fences at 1.5 interquartile ranges and the values beyond them."""
+    described = materialize(finite_describe(df, columns), "described")
+    fences = iqr_outliers(df, columns, quartiles=described)
+
+    def measures(source: DataFrame, names: Sequence[str], section: str) -> DataFrame:
+        entries = [F.struct(F.lit(c).alias("finding"), F.col(c).cast("double").alias("m")) for c in names]
+        long = source.select("variable", F.inline(F.array(*entries))).withColumns({"n": F.lit(None), "denominator": F.lit(None)})
+        return audit_part(long, section, F.col("variable"), measure=F.col("m"))
+
+    outside = _by_finding(fences, "variable", {"potential_outliers": "potential_outliers"}, "n")
+    return (
+        measures(described, ["n", "mean", "sd", "minimum", "q1", "median", "q3", "maximum"], "descriptive")
+        .unionByName(measures(fences, ["iqr", "iqr_lower", "iqr_upper"], "outlier"))
+        .unionByName(audit_part(outside, "outlier", F.col("column_name")))
     )
 
 
