@@ -21,7 +21,10 @@ def load_extracts(spark: SparkSession, folder: str, out: str) -> DataFrame:
 
 
 def audit(raw: DataFrame, cleaned: DataFrame, first: int, last: int) -> DataFrame:
-    """All findings of the cleaning stage as one long table."""
+    """All findings of the cleaning stage as one long table.
+
+    Frequencies and descriptions are stored when this is called; the rest runs with the table.
+    """
     keys = ["CONSUMER_NO", "ord"]
     none = F.lit(None).cast("bigint")
 
@@ -30,6 +33,7 @@ def audit(raw: DataFrame, cleaned: DataFrame, first: int, last: int) -> DataFram
         return df.agg(total.alias("n")).select(F.lit(finding).alias("finding"), "n", none.alias("denominator"))
 
     typed = quality.typed_columns(cleaned, schema.NUMERIC_FIELDS, schema.DATE_FIELDS)
+    texts = list(dict.fromkeys([*schema.NUMERIC_FIELDS, *schema.DATE_FIELDS, *schema.CATEGORY_FIELDS]))
     conversions = quality.conversion_counts(cleaned, schema.NUMERIC_FIELDS, schema.DATE_FIELDS).select(
         "column_name", F.lit("nonblank_conversion_failures").alias("finding"), F.col("failures").alias("n"),
         F.col("values_before").alias("denominator"),
@@ -54,6 +58,10 @@ def audit(raw: DataFrame, cleaned: DataFrame, first: int, last: int) -> DataFram
         ),
         quality.audit_part(blank, "logical"),
         quality.audit_part(quality.logical_flags(typed, schema.DATE_ORDER_PAIRS), "logical"),
+        quality.missing_section(cleaned.select(*texts), schema.NUMERIC_FIELDS, schema.DATE_FIELDS),
+        quality.disguised_section(cleaned, texts),
+        quality.category_section(cleaned, schema.CATEGORY_FIELDS),
+        quality.measure_section(typed, schema.DESCRIBED_FIELDS),
     )
 
 

@@ -38,6 +38,7 @@ CONNECTION_DATE PDC_DATE SD_AMOUNT_RECEIPT_DATE BILL_DATE DUE_DATE PAYMENT_DATE
 METER_CHANGE_DATE LAST_PAYDATE PREV_BILL_DATE SOLAR_AGREEMENT_DATE
 """.split()
 
+DESCRIBED_FIELDS = ["CONSUMPTION_UNIT", "BILL_AMOUNT", "PAYMENT_AMOUNT", "CLOSING_ARREARS", "CONTRACT_LOAD"]
 CATEGORY_FIELDS = ["TARRIF", "METER_STATUS", "SOLAR_CONSUMER", "PHASE"]
 
 NONNEGATIVE_FIELDS = """

@@ -48,6 +48,9 @@ def test_audit_of_a_clean_history(raw):
     audit = history.audit(raw, cleaned, FIRST, FIRST + MONTHS - 1)
     status = quality.quality_status(audit, history.BLOCKERS).first()
     assert status.status == "completed" and status.blocking_records == 0
+    sections = {r.section: r.n for r in audit.groupBy("section").agg(F.count("*").alias("n")).collect()}
+    assert {"missing", "categorical", "descriptive", "outlier", "coverage", "duplicates", "conversion", "logical"} <= set(sections)
+    assert sections["descriptive"] == 8 * 5 and sections["outlier"] == 4 * 5
     wider = history.audit(raw, cleaned, FIRST - 1, FIRST + MONTHS - 1)
     assert quality.quality_status(wider, history.BLOCKERS).first().status == "manual_review_required"
 

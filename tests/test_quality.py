@@ -74,3 +74,27 @@ def test_indian_digits(spark):
 def test_empty_columns_are_dropped_only_when_blank(spark):
     df = spark.createDataFrame([(1, "", " "), (2, "  ", "x")], "id int, a string, b string")
     assert quality.drop_empty_columns(df, ["a", "b"]).columns == ["id", "b"]
+
+
+def test_audit_sections_literal(spark):
+    rows = [("a", "1", 1.0), (" A", "NA", 2.0), ("", "x", float("inf")), ("b", "?", 3.0), ("a", "", 100.0), (None, "4", None)]
+    df = spark.createDataFrame(rows, "kind string, amount string, v double")
+    parts = [quality.missing_section(df.select("kind", "amount"), ["amount"]), quality.disguised_section(df, ["amount"]),
+             quality.category_section(df, ["kind"]), quality.measure_section(df, ["v"])]
+    found = {(r.section, r.column_name, r.finding, r.value): r for r in quality.audit_table(*parts).collect()}
+
+    def n(*key):
+        return found[(*key, "")[:4]].n
+
+    assert n("missing", "amount", "literal_blank") == 1 and n("missing", "amount", "missing_after_typing") == 4
+    assert n("disguised_missing", "amount", "NA") == 1 and n("disguised_missing", "amount", "[blank/whitespace]") == 1
+    assert n("categorical", "kind", "category_frequency", "a") == 2 and n("categorical", "kind", "category_frequency", "[missing]") == 2
+    assert n("categorical", "kind", "unique_categories") == 3 and n("categorical", "kind", "blank_missing") == 2
+    assert n("categorical", "kind", "normalization_collision_groups") == 1
+    described = {f: r.measure for (s, _, f, _), r in found.items() if s in ("descriptive", "outlier")}
+    assert (described["n"], described["minimum"], described["median"], described["maximum"]) == (4, 1.0, 2.5, 100.0)
+    assert (described["q1"], described["q3"], described["iqr"]) == (1.75, 27.25, 25.5)
+    outside = found["outlier", "v", "potential_outliers", ""]
+    assert (outside.n, outside.denominator, outside.percent) == (1, 4, 25.0)
+    empty = quality.audit_table(quality.category_section(df.limit(0), ["kind"]), quality.disguised_section(df.limit(0), ["amount"]))
+    assert empty.count() == 0
