@@ -157,6 +157,18 @@ def test_prior_statistics_of_large_values(spark, level):
     assert features.prior_stats_check(wrong).first().mean_mismatches == 1
 
 
+def test_prior_stats_check_where_earlier_months_are_alike(spark):
+    # Equal or nearly equal months far from the consumer's mean: their deviation must not drown in the rounding of larger squares.
+    values = [0.1, 0.1, 0.1, 9e8, 3e8] + [7e8] * 20
+    far = [5e8 + 0.3, 5e8 + 0.3, 5e8 + 0.3, 0.7, None, 0.9, 3.0]
+    rows = [(c, 24000 + k, v) for c, series in (("a", values), ("b", far), ("c", [None, 2.5])) for k, v in enumerate(series)]
+    found = features.prior_stats(spark.createDataFrame(rows, "consumer_no string, ord int, current_consumption double"))
+    assert tuple(features.prior_stats_check(found).first()) == (34, 0, 0, 0)
+    here = (F.col("ord") == 24003) & (F.col("consumer_no") == "b")
+    wrong = found.withColumn("prior_std", F.when(here, F.lit(1e-3)).otherwise(F.col("prior_std")))
+    assert features.prior_stats_check(wrong).first().std_mismatches == 1
+
+
 def test_white_space_of_any_kind_is_blank(spark):
     paid = ["", "\t", "\xa0 \n", "2025-04-01"]
     found = build(spark, [row(consumer=str(k), paid=p, payment="0") for k, p in enumerate(paid)]).orderBy("consumer_no").collect()
