@@ -294,7 +294,7 @@ def four_digits(value: Column) -> Column:
         plain = plain.when(power == p, F.format_string(f"%.{3 - p}f", F.bround(value, 3 - p)))
     mantissa = trimmed(F.format_string("%.3f", F.bround(value / F.pow(F.lit(10.0), power), 3)))
     exponent = F.concat(
-        F.when(power < 0, "e-").otherwise("e+"), F.lpad(F.abs(power).cast("string"), 2, "0")
+        F.when(power < 0, "e-").otherwise("e+"), F.format_string("%02d", F.abs(power))
     )
     return F.when(size == 0, "0").when(
         (power >= -4) & (power < 4), trimmed(plain)

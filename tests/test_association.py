@@ -140,3 +140,10 @@ def test_four_digits(spark):
     df = spark.createDataFrame([(v,) for v in values], "v double")
     got = [r[0] for r in df.select(association.four_digits(F.col("v"))).collect()]
     assert got == [f"{v:.4g}" for v in values]
+
+
+def test_four_digits_of_very_small_and_large_values(spark):
+    values = [1.0671e-222, -3.5e-100, 2.25e150, 9.9996e99, 9.9996e-101]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = [r[0] for r in df.select(association.four_digits(F.col("v"))).collect()]
+    assert got == ["1.067e-222", "-3.5e-100", "2.25e+150", "1e+100", "1e-100"]
