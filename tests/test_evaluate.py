@@ -1,6 +1,7 @@
 import pytest
 
-from meterflow.operators import evaluate
+from meterflow.operators import evaluate, metrics
+from meterflow.session import materialize
 
 NUMBERS = "MAE double, RMSE double, R2 double"
 CLASSES = (
@@ -45,3 +46,17 @@ def test_final_comparison_texts(consolidated):
     assert use.final_test_secondary == "selected MAE=3.000000, R2=0.250000; baseline MAE=8.000000"
     assert use.selection_reason == "least error"
     assert rows["risk"].selected_validation == 0.25 and rows["risk"].final_test_secondary is None and rows["risk"].baseline is None
+
+
+def test_scores_are_read_once_for_all_metrics(spark):
+    """Both kinds of metrics and the points come from the merged scores: nothing that is left to run reads the rows again."""
+    rows = [("a", 1, 1, 0.9), ("a", 0, 1, 0.9), ("a", 1, 0, 0.4), ("a", 0, 0, 0.1), ("b", 1, 1, 0.7), ("b", 0, 0, 0.7)]
+    scored = materialize(spark.createDataFrame(rows, "g string, y int, label int, p double"), "scored")
+    found = metrics.scored_metrics(scored, "y", "label", "p", ["g"])
+    points = metrics.roc_points(scored, "y", "p", ["g"])
+    read = set(scored.inputFiles())
+    assert not read & set(found.inputFiles()) and not read & set(points.inputFiles())
+    a, b = found.orderBy("g").collect()
+    assert (a.sample_count, a.true_1_predicted_0, a.true_0_predicted_1, a.Accuracy, a.ROC_AUC) == (4, 1, 1, 0.5, 0.625)
+    assert (b.sample_count, b.ROC_AUC, b.AP, b.Recall_0) == (2, 0.5, 0.5, 1.0)
+    assert points.where("p is null").count() == 2 and points.count() == 6
