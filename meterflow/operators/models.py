@@ -189,19 +189,21 @@ _KEPT = ["consumer_no", "target_ord", "target"]
 
 
 def model_inputs(preprocessing: Preprocessing, df: DataFrame) -> DataFrame:
-    """Keys, target, weight when present, and the prepared predictors, stored once.
-
-    Rows go to their partition by key and stand in its order: the same rows give the same fit on any cluster.
-    """
+    """Keys, target, weight when present, and the prepared predictors, stored once."""
     kept = [c for c in [*_KEPT, "partition", "weight"] if c in df.columns]
-    stored = materialize(preprocessing.transform(df).select(*kept, *preprocessing.columns()), "inputs")
-    parts = max(LEAST_PARTITIONS, -(-stored.count() // FIT_ROWS))
-    return stored.repartition(parts, "consumer_no", "target_ord").sortWithinPartitions("consumer_no", "target_ord")
+    return materialize(preprocessing.transform(df).select(*kept, *preprocessing.columns()), "inputs")
+
+
+def dealt(inputs: DataFrame) -> DataFrame:
+    """Rows go to their partition by key and stand in its order: the same rows give the same fit on any cluster."""
+    parts = max(LEAST_PARTITIONS, -(-inputs.count() // FIT_ROWS))
+    return inputs.repartition(parts, "consumer_no", "target_ord").sortWithinPartitions("consumer_no", "target_ord")
 
 
 def fit_estimator(config: Configuration, preprocessing: Preprocessing, inputs: DataFrame):
+    """Only a fit deals its rows by key; scores are the same in any order, so they read the stored rows as they lie."""
     estimator = config.estimator.copy({config.estimator.labelCol: "target"})
-    return estimator.fit(preprocessing.assemble(inputs, config.features))
+    return estimator.fit(preprocessing.assemble(dealt(inputs), config.features))
 
 
 def fit_pipeline(config: Configuration, train: DataFrame) -> FittedPipeline:

@@ -203,6 +203,17 @@ def test_forests_do_not_depend_on_the_cluster(spark, consumption):
     assert importances[0] == pytest.approx(importances[1], abs=1e-12)
 
 
+def test_rows_are_dealt_for_fits_alone(spark, consumption):
+    """Scoring neither shuffles nor sorts the stored rows."""
+    parts, _ = consumption
+    preprocessing = models.fit_preprocessing(parts["TRAIN"], schema.LINEAR_LADDER["MLR-1"])
+    inputs = models.model_inputs(preprocessing, parts["TRAIN"])
+    plan = inputs._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan
+    dealt = models.dealt(inputs)
+    assert dealt.rdd.getNumPartitions() == models.LEAST_PARTITIONS and dealt.count() == parts["TRAIN"].count()
+
+
 def test_class_positions(spark):
     class Fitted:
         numClasses = 2
