@@ -1,15 +1,16 @@
 """Documents that hold benchmark passages, also reworded: latent semantic retrieval, then subsequence and answer checks.
 
 1. Benchmark items are searched in blocks of `block` items. An item is one unit, a long one is cut into overlapping units. The words of a
-   block's units are the features; all documents are read to count in how many passages each feature stands, which gives the weights.
-2. The units and a bounded sample of the documents' passages are the rows of a TF-IDF matrix. Its leading right singular vectors come from a
-   randomised SVD: tasks multiply their rows with a random matrix and back, partial sums are added by slices of features, a second
-   round finds the singular values inside the range that was found. The units weigh as much as the sample, so their directions are kept.
+   block's units are the features. The documents' words are read once a block and stored as numbers of features; all later steps read those.
+   They count in how many passages each feature stands, which gives the weights.
+2. The units and all passages of the documents are the rows of a TF-IDF matrix. Its leading right singular vectors come from a
+   randomised SVD: tasks multiply their rows with a random matrix and back, partial sums are added by slices of features, and these give the
+   singular values as well. The units weigh as much as all passages, so their directions are kept.
 3. Every passage of every document, overlapping by half, is folded into that space and compared with all units of the block by matrix product.
 4. Where a passage is close to a unit, the words around it are compared with the unit's by longest common subsequence, on stretches of
    little more than the unit's length, and so is the unit's answer. A unit is found where most of its words stand there in order, or a smaller part
    and the answer as well. Before that, arrays count for all close passages of a piece at once how many words of a stretch are the unit's at
-   all, in any order: where these are too few everywhere, no subsequence is long enough.
+   all, in any order, first in whole bins around it: where these are too few everywhere, no subsequence is long enough.
 
 Nothing of a size that grows with the documents reaches the driver: features are bounded by a block, sums by features x range.
 """
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm import text as T
-from meterflow.session import materialize
+from meterflow.session import delete, materialize, scratch_path
 
 U64 = np.uint64
 HALF = 32
@@ -34,6 +35,11 @@ UNIT = 96
 #: An item of fewer words is found only whole, in order and without gaps.
 SHORT = 12
 SLICE = 512
+#: Words of a bin, and the empty bins between texts: no stretch around a passage reaches over them.
+BIN = 16
+GAP = 2 * (HALF + UNIT)
+#: Bytes of stored words that are worked on at once.
+_PIECE = 160 << 10
 
 
 @dataclass(frozen=True)
@@ -47,7 +53,6 @@ class Limits:
     answer: float = 0.8
     rank: int = 128
     extra: int = 32
-    sampled_docs: int = 4000
 
 
 LIMITS = Limits()
@@ -72,12 +77,16 @@ def answer_at(text: str) -> int:
 
 @dataclass
 class Units:
-    """The searched units of one block: their items, words and answers, and the features in them."""
+    """The searched units of one block: their items, words and answers by number, and the features (hashes of their words).
+
+    A word's number is its feature's place and one; words of answers alone have the numbers after the features', any other word is 0.
+    """
 
     items: list[int]
     words: list[np.ndarray]
     answers: list[np.ndarray]
     features: np.ndarray
+    others: np.ndarray
 
     @classmethod
     def of(cls, rows: list[tuple[int, str, str | None]]) -> Units:
@@ -92,16 +101,57 @@ class Units:
                     words.append(hashes[a:b])
                     # A part of a long item holds an answer of its own: its last quarter.
                     answers.append(own if len(steps) == 1 else hashes[b - (b - a) // 4 : b])
-        return cls(items, words, answers, np.unique(np.concatenate([np.zeros(0, U64), *words])))
-
-    def matched(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        features = np.unique(np.concatenate([np.zeros(0, U64), *words]))
+        out = cls(items, [], [], features, np.setdiff1d(np.concatenate([np.zeros(0, U64), *answers]), features))
+        out.words, out.answers = [out.numbers(w) for w in words], [out.numbers(a) for a in answers]
+        return out
+
+    @property
+    def kind(self) -> str:
+        """The stored type of a word's number."""
+        return "<u2" if len(self.features) + len(self.others) < 1 << 16 else "<u4"
+
+    def numbers(self, hashes: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(hashes), dtype=self.kind)
+        for known, before in ((self.features, 1), (self.others, 1 + len(self.features))):
+            if not len(known):
+                continue
+            table = np.zeros(1 << 16, dtype=bool)
+            table[known & U64(0xFFFF)] = True
+            at = np.flatnonzero(table[(hashes & U64(0xFFFF)).astype(np.int64)])
+            place = np.minimum(np.searchsorted(known, hashes[at]), len(known) - 1)
+            same = known[place] == hashes[at]
+            out[at[same]] = place[same] + before
+        return out
+
+    def matched(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions of the words that are features, and which."""
-        table = np.zeros(1 << 16, dtype=bool)
-        table[self.features & U64(0xFFFF)] = True
-        at = np.flatnonzero(table[(hashes & U64(0xFFFF)).astype(np.int64)])
-        place = np.minimum(np.searchsorted(self.features, hashes[at]), len(self.features) - 1)
-        same = self.features[place] == hashes[at]
-        return at[same], place[same]
+        at = np.flatnonzero((numbers > 0) & (numbers <= len(self.features)))
+        return at, numbers[at].astype(np.int64) - 1
+
+
+def binaries(data: np.ndarray, first: np.ndarray) -> pa.Array:
+    """One binary value for each run of entries, from where the runs begin."""
+    return pa.Array.from_buffers(pa.binary(), len(first) - 1, [None, pa.py_buffer((first * data.itemsize).astype("<i4")), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def entries(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """The reverse of `binaries`."""
+    raw, bounds = T.buffers(column)
+    return raw.view(kind), bounds // np.dtype(kind).itemsize
+
+
+def _coded(units):
+    """The words of each document as numbers of the block's features."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = units.value
+        for batch in batches:
+            for piece in T.pieces(batch, "text"):
+                hashes, first = word_hashes(piece.column("text"))
+                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), binaries(block.numbers(hashes), first)], names=["doc_id", "words"])
+
+    return run
 
 
 def halves(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -115,21 +165,48 @@ def half_of(at: np.ndarray, first: np.ndarray, begin: np.ndarray) -> np.ndarray:
     return begin[text] + (at - first[text]) // HALF
 
 
+def passage_of(half: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """The number of the passage, two halves of one text, in which each half stands; none reaches into the next text."""
+    text = np.searchsorted(begin, half, side="right") - 1
+    before = np.concatenate([[0], np.cumsum((np.diff(begin) + 1) // 2)])
+    return before[text] + (half - begin[text]) // 2
+
+
+def run_sums(table: np.ndarray, index: np.ndarray, sizes: np.ndarray, scale: np.ndarray | None = None) -> np.ndarray:
+    """Sums of the rows `table[index]`, each times its scale, over runs of these sizes, one behind the other."""
+    most = int(sizes.max(initial=0))
+    if most > HALF:
+        parts = -(-sizes // HALF)
+        run = np.repeat(np.arange(len(sizes)), parts)
+        cut = np.minimum(HALF, sizes[run] - HALF * (np.arange(len(run)) - np.repeat(np.cumsum(parts) - parts, parts)))
+        return run_sums(run_sums(table, index, cut, scale), np.arange(len(run)), parts)
+    order = np.argsort(-sizes, kind="stable")
+    starts = (np.cumsum(sizes) - sizes)[order]
+    out = np.zeros((len(sizes), table.shape[1]), dtype=table.dtype)
+    for k in range(most):
+        at = starts[: np.count_nonzero(sizes > k)] + k
+        out[: len(at)] += table[index[at]] if scale is None else table[index[at]] * scale[at, None]
+    sums = np.empty_like(out)
+    sums[order] = out
+    return sums
+
+
 def _counted(units):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = units.value
-        total, passages = np.zeros(len(block.features), dtype=np.int64), 0
+        total, passages = np.zeros(len(block.features), dtype=np.int64), np.zeros(2, dtype=np.int64)
         for batch in batches:
-            for piece in T.pieces(batch, "text"):
-                hashes, first = word_hashes(piece.column("text"))
+            for piece in T.pieces(batch, "words", _PIECE):
+                words, first = entries(piece.column("words"), block.kind)
                 begin, _ = halves(first)
-                at, feature = block.matched(hashes)
-                seen = np.unique(half_of(at, first, begin) * len(total) + feature) % len(total)
+                at, feature = block.matched(words)
+                half = half_of(at, first, begin)
+                seen = np.unique(half * len(total) + feature) % len(total)
                 total += np.bincount(seen, minlength=len(total))
-                passages += int(begin[-1])
+                passages += begin[-1], len(np.unique(passage_of(half, begin)))
         cuts = range(0, len(total), SLICE)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([-1, *(k // SLICE for k in cuts)], pa.int32()), pa.array([np.array([passages]).tobytes(), *(total[k : k + SLICE].tobytes() for k in cuts)], pa.binary())],
+            [pa.array([-1, *(k // SLICE for k in cuts)], pa.int32()), pa.array([passages.tobytes(), *(total[k : k + SLICE].tobytes() for k in cuts)], pa.binary())],
             names=["slice", "part"],
         )
 
@@ -169,18 +246,15 @@ def _sparse(units, weights):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, weight = units.value, weights.value
         for batch in batches:
-            for piece in T.pieces(batch, "text"):
-                hashes, first = word_hashes(piece.column("text"))
+            for piece in T.pieces(batch, "words", _PIECE):
+                words, first = entries(piece.column("words"), block.kind)
                 begin, _ = halves(first)
-                at, feature = block.matched(hashes)
-                rows, columns, values = _scaled(half_of(at, first, begin) // 2, feature, weight)
+                at, feature = block.matched(words)
+                rows, columns, values = _scaled(passage_of(half_of(at, first, begin), begin), feature, weight)
                 if not len(rows):
                     continue
-                cuts = np.flatnonzero(np.diff(rows)) + 1
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([x.astype("<i4").tobytes() for x in np.split(columns, cuts)], pa.binary()), pa.array([x.astype("<f4").tobytes() for x in np.split(values, cuts)], pa.binary())],
-                    names=["columns", "vals"],
-                )
+                cuts = np.concatenate([[0], np.flatnonzero(np.diff(rows)) + 1, [len(rows)]])
+                yield pa.RecordBatch.from_arrays([binaries(columns.astype("<i4"), cuts), binaries(values.astype("<f4"), cuts)], names=["columns", "vals"])
 
     return run
 
@@ -193,29 +267,23 @@ def _scaled(row: np.ndarray, feature: np.ndarray, weight: np.ndarray) -> tuple[n
     return rows, columns, values / norm[rows]
 
 
-def _product(dense, back: bool):
-    """Partial sums of A' (A dense), by slices of features, or of (A dense)' (A dense)."""
+def _product(dense):
+    """Partial sums of A' (A dense), by slices of features."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         right = dense.value
-        total = np.zeros(right.shape if back else (right.shape[1],) * 2)
+        total = np.zeros(right.shape)
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            blobs = batch.column("columns").to_pylist()
-            columns = np.frombuffer(b"".join(blobs), "<i4")
-            values = np.frombuffer(b"".join(batch.column("vals").to_pylist()), "<f4")
-            scale = np.repeat(batch.column("scale").to_numpy(), [len(x) // 4 for x in blobs])
-            begin = np.concatenate([[0], np.cumsum([len(x) // 4 for x in blobs])])
-            for k in range(0, len(blobs), 512):
-                a, b = begin[k], begin[min(k + 512, len(blobs))]
-                inside = begin[k : min(k + 512, len(blobs))] - a
-                own = values[a:b] * scale[a:b]
-                y = np.add.reduceat(right[columns[a:b]] * own[:, None], inside, axis=0)
-                if back:
-                    np.add.at(total, columns[a:b], np.repeat(y, np.diff(np.append(inside, b - a)), axis=0) * own[:, None])
-                else:
-                    total += y.T @ y
+            columns, begin = entries(batch.column("columns"), "<i4")
+            values = entries(batch.column("vals"), "<f4")[0] * np.repeat(batch.column("scale").to_numpy(), np.diff(begin)).astype(np.float32)
+            for k in range(0, batch.num_rows, 512):
+                cuts = begin[k : k + 513]
+                own, value = columns[cuts[0] : cuts[-1]], values[cuts[0] : cuts[-1]]
+                y = run_sums(right, own, np.diff(cuts), value)
+                row = np.repeat(np.arange(len(y)), np.diff(cuts))
+                order = np.argsort(own, kind="stable")
+                found, sizes = np.unique(own, return_counts=True)
+                total[found] += run_sums(y, row[order], sizes, value[order])
         cuts = range(0, len(total), SLICE)
         yield pa.RecordBatch.from_arrays([pa.array([k // SLICE for k in cuts], pa.int32()), pa.array([total[k : k + SLICE].tobytes() for k in cuts], pa.binary())], names=["slice", "part"])
 
@@ -223,17 +291,21 @@ def _product(dense, back: bool):
 
 
 def randomised_svd(rows: DataFrame, features: int, rank: int, extra: int, seed: int = 11) -> np.ndarray:
-    """The leading right singular vectors (features, rank) of sparse rows (columns, vals, scale)."""
-    context = rows.sparkSession.sparkContext
+    """The leading right singular vectors (features, rank) of sparse rows (columns, vals, scale), which are read once.
+
+    With an orthonormal random matrix X, the sums Y = A' (A X) span the range and give X' Y, the part of A' A seen by X. Y (X' Y)^-1 Y' stands
+    for A' A; its eigenvectors are the singular vectors of Y times the inverse root of X' Y.
+    """
     width = min(features, rank + extra)
-    start = np.random.Generator(np.random.PCG64(seed)).standard_normal((features, width))
-    stack = lambda parts, shape: np.concatenate([parts[k] for k in sorted(parts)]).reshape(shape) if parts else np.zeros(shape)
-    parts = _summed(rows.mapInArrow(_product(context.broadcast(start), True), "slice int, part binary"), "<f8")
-    found, _ = np.linalg.qr(stack(parts, (features, width)))
-    gram = stack(_summed(rows.mapInArrow(_product(context.broadcast(found), False), "slice int, part binary"), "<f8"), (width, width))
-    values, vectors = np.linalg.eigh(gram)
-    order = np.argsort(values)[::-1][:rank]
-    return (found @ vectors[:, order[values[order] > 1e-9 * max(values.max(), 1e-30)]]).astype(np.float32)
+    start, _ = np.linalg.qr(np.random.Generator(np.random.PCG64(seed)).standard_normal((features, width)))
+    start = start.astype(np.float32)
+    parts = _summed(rows.mapInArrow(_product(rows.sparkSession.sparkContext.broadcast(start)), "slice int, part binary"), "<f8")
+    y = np.concatenate([parts[k] for k in sorted(parts)]).reshape(features, width) if parts else np.zeros((features, width))
+    core, turn = np.linalg.eigh((start.T @ y + y.T @ start) / 2)
+    # Directions that the sums in single precision cannot tell from nothing are left out.
+    sure = core > 1e-5 * max(core.max(), 1e-30)
+    vectors, values, _ = np.linalg.svd(y @ turn[:, sure] / np.sqrt(core[sure]), full_matrices=False)
+    return vectors[:, :rank][:, values[:rank] ** 2 > 1e-9 * max(values.max(initial=0) ** 2, 1e-30)].astype(np.float32)
 
 
 def subsequence(masks: dict[int, int], words: list[int]) -> int:
@@ -265,24 +337,21 @@ class Search:
         # Which features are words of which unit; the last column stands for all other words.
         self.member = np.zeros((len(units.words), len(units.features) + 1), dtype=bool)
         for k, w in enumerate(units.words):
-            self.member[k, np.searchsorted(units.features, w)] = True
+            self.member[k, w - 1] = True
+        self.held = np.ascontiguousarray(self.member[:, :-1].T).view(np.uint8)
         self.folded = space * weights[:, None]
         folded = np.zeros((len(units.items), space.shape[1]), dtype=np.float32)
         for k, w in enumerate(units.words):
-            folded[k] = self.folded[np.searchsorted(units.features, w)].sum(axis=0)
+            folded[k] = self.folded[w - 1].sum(axis=0)
         self.sizes = np.linalg.norm(folded, axis=1)
         self.targets = folded / np.maximum(self.sizes, 1e-9)[:, None]
 
-    def near(self, hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def near(self, words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(text, first word, unit, cosine) of the passages close to a unit, with enough of its words around them."""
         begin, n = halves(first)
-        at, feature = self.units.matched(hashes)
+        at, feature = self.units.matched(words)
         half = half_of(at, first, begin)
-        sums = np.zeros((int(begin[-1]) + 1, self.space.shape[1]), dtype=np.float32)
-        for k in range(0, len(at), 1 << 16):
-            own = half[k : k + (1 << 16)]
-            starts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-            sums[own[starts]] += np.add.reduceat(self.folded[feature[k : k + (1 << 16)]], starts, axis=0)
+        sums = run_sums(self.folded, feature, np.bincount(half, minlength=int(begin[-1]) + 1))
         last = np.zeros(len(sums), dtype=bool)
         last[begin[1:] - 1] = True
         passages = sums[:-1]
@@ -296,16 +365,36 @@ class Search:
         i, j, cosine = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
         text = np.searchsorted(begin, i, side="right") - 1
         place = first[text] + (i - begin[text]) * HALF
-        enough = self.enough(at, feature, first, text, place, j)
-        return text[enough], place[enough], j[enough], cosine[enough]
+        kept = np.flatnonzero(self.possible(at, feature, first, text, place, j))
+        kept = kept[self.enough(at, feature, first, text[kept], place[kept], j[kept])]
+        return text[kept], place[kept], j[kept], cosine[kept]
+
+    def possible(self, at: np.ndarray, feature: np.ndarray, first: np.ndarray, text: np.ndarray, place: np.ndarray, unit: np.ndarray) -> np.ndarray:
+        """Whether the whole bins that a stretch around each passage touches have enough words of the unit: where not, `enough` is false."""
+        begin = np.concatenate([[0], np.cumsum(-(-np.diff(first) // BIN) + GAP // BIN)]) + GAP // BIN
+        owner = np.searchsorted(first, at, side="right") - 1
+        bins = begin[owner] + (at - first[owner]) // BIN
+        # Row k has the words in the bins before k.
+        seen = np.cumsum(run_sums(self.held, feature, np.bincount(bins + 1, minlength=int(begin[-1]) + 1)), axis=0, dtype=np.int32).ravel()
+        cell = (begin[text] + (place - first[text]) // BIN) * len(self.lengths) + unit
+        kept = np.zeros(len(unit), dtype=bool)
+        lengths = self.lengths[unit]
+        order = np.argsort(lengths, kind="stable")
+        for n in np.unique(lengths).tolist():
+            least, length = n if n < SHORT else self.limits.part * n, n + max(4, n // 4)
+            own = order[slice(*np.searchsorted(lengths[order], [n, n + 1]))]
+            wide = ((length + BIN - 2) // BIN + 1) * len(self.lengths)
+            for k in range(-n // BIN, (2 * HALF + n - length) // BIN + 1):
+                low = cell[own] + k * len(self.lengths)
+                kept[own] |= seen[low + wide] - seen[low] >= least
+        return kept
 
     def enough(self, at: np.ndarray, feature: np.ndarray, first: np.ndarray, text: np.ndarray, place: np.ndarray, unit: np.ndarray) -> np.ndarray:
         """Whether a stretch around each passage has as many words of the unit, in any order, as have to stand there in order."""
         # Texts are set apart by other words, so that no stretch around a passage reaches into the next text.
-        gap = 2 * (HALF + UNIT)
-        words = np.full(int(first[-1]) + gap * len(first), len(self.units.features), dtype=np.int32)
-        words[at + gap * np.searchsorted(first, at, side="right")] = feature
-        place = place + gap * (text + 1)
+        words = np.full(int(first[-1]) + GAP * len(first), len(self.units.features), dtype=np.int32)
+        words[at + GAP * np.searchsorted(first, at, side="right")] = feature
+        place = place + GAP * (text + 1)
         kept = np.zeros(len(unit), dtype=bool)
         flat, width = self.member.ravel(), self.member.shape[1]
         lengths = self.lengths[unit]
@@ -315,8 +404,8 @@ class Search:
             reach = np.arange(-n, 2 * HALF + n)
             length = n + max(4, n // 4)
             rows = order[slice(*np.searchsorted(lengths[order], [n, n + 1]))]
-            for k in range(0, len(rows), 4096):
-                own = rows[k : k + 4096]
+            for k in range(0, len(rows), 512):
+                own = rows[k : k + 512]
                 hit = flat[unit[own, None] * width + words[place[own, None] + reach]]
                 seen = np.zeros((len(own), len(reach) + 1), dtype=np.int16)
                 np.cumsum(hit, axis=1, out=seen[:, 1:])
@@ -352,14 +441,14 @@ def _search(units, weights, space, limits: Limits):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         search = Search(units.value, weights.value, space.value, limits)
         for batch in batches:
-            for piece in T.pieces(batch, "text"):
-                hashes, first = word_hashes(piece.column("text"))
+            for piece in T.pieces(batch, "words", _PIECE):
+                words, first = entries(piece.column("words"), search.units.kind)
                 ids, best = piece.column("doc_id").to_pylist(), {}
-                for text, at, unit, cosine in zip(*(x.tolist() for x in search.near(hashes, first))):
+                for text, at, unit, cosine in zip(*(x.tolist() for x in search.near(words, first))):
                     key = (text, search.units.items[unit])
                     if key in best and best[key][0] == 1.0:
                         continue
-                    found = search.verified(hashes[first[text] : first[text + 1]], at - int(first[text]), unit)
+                    found = search.verified(words[first[text] : first[text + 1]], at - int(first[text]), unit)
                     if found and (key not in best or found[:2] > best[key][:2]):
                         best[key] = (found[0], found[1], cosine, found[2])
                 if best:
@@ -392,18 +481,19 @@ def benchmark_hits(
         if not units.items:
             continue
         shared = spark.sparkContext.broadcast(units)
-        counts = _summed(texts.select("text").mapInArrow(_counted(shared), "slice int, part binary"), "<i8")
+        home = scratch_path(spark, "coded")
+        texts.mapInArrow(_coded(shared), "doc_id long, words binary").write.parquet(home)
+        coded = spark.read.schema("doc_id long, words binary").parquet(home)
+        counts = _summed(coded.mapInArrow(_counted(shared), "slice int, part binary"), "<i8")
         weights = _weights(units, counts)
         weighed = spark.sparkContext.broadcast(weights)
-        share = min(1.0, limits.sampled_docs / max(1, texts.count()))
-        sample = texts.where(F.pmod(F.xxhash64(F.lit("space"), "doc_id"), F.lit(1 << 30)) <= int(share * (1 << 30))).select("text")
-        own = spark.createDataFrame([(t,) for _, t, _ in rows], "text string")
+        own = spark.createDataFrame([(0, t) for _, t, _ in rows], "doc_id long, text string").mapInArrow(_coded(shared), "doc_id long, words binary")
         sparse = lambda x: x.mapInArrow(_sparse(shared, weighed), "columns binary, vals binary")
-        sampled = materialize(sparse(sample), "passages")
-        emphasis = float(max(1.0, sampled.count() / max(1, len(units.items))) ** 0.5)
-        matrix = materialize(sampled.withColumn("scale", F.lit(1.0)).unionByName(sparse(own).withColumn("scale", F.lit(emphasis))), "matrix")
+        emphasis = float(max(1.0, counts.get(-1, [0, 0])[1] / max(1, len(units.items))) ** 0.5)
+        matrix = sparse(coded).withColumn("scale", F.lit(1.0)).unionByName(sparse(own).withColumn("scale", F.lit(emphasis)))
         space = spark.sparkContext.broadcast(randomised_svd(matrix, len(units.features), limits.rank, limits.extra))
-        found = texts.mapInArrow(_search(shared, weighed, space, limits), "doc_id long, item_id long, common double, answer double, cosine double, first_word long")
+        found = materialize(coded.mapInArrow(_search(shared, weighed, space, limits), "doc_id long, item_id long, common double, answer double, cosine double, first_word long"), "hits")
+        delete(spark, home)
         hits = found if hits is None else hits.unionByName(found)
     if hits is None:
         return spark.createDataFrame([], "doc_id long, item_id long, common double, answer double, cosine double, first_word long")

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from conftest import DOCS, prose
 
+from llm import decontaminate
 from llm.decontaminate import answer_at, benchmark_hits, masks_of, randomised_svd, subsequence
 
 ITEMS = "item_id long, text string, part string, doc_id long, space string"
@@ -136,3 +137,27 @@ def test_short_items_are_found_whole_only(spark):
     docs = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in enumerate(texts)], DOCS)
     bench = spark.createDataFrame([(1, "What is the capital of France?", None, None, None)], ITEMS)
     assert {r["doc_id"] for r in benchmark_hits(docs, bench).collect()} == {0}
+
+
+def test_search_space_is_of_all_passages(spark, monkeypatch):
+    item = " ".join(prose(70, 36))
+    docs = spark.range(0, 6000, 1, 4).selectExpr("id AS doc_id", f"concat('{item.split()[0]} ', id) AS text")
+    bench = spark.createDataFrame([(1, item, None, None, None)], ITEMS)
+    rows = []
+    monkeypatch.setattr(decontaminate, "randomised_svd", lambda matrix, *rest: rows.append(matrix.count()) or randomised_svd(matrix, *rest))
+    assert benchmark_hits(docs, bench).count() == 0 and rows == [6001]
+
+
+def test_counts_in_bins_lose_no_stretch():
+    units = decontaminate.Units.of([(k, t, None) for k, t in items().items()] + [(99, "four short words here", None)])
+    search = decontaminate.Search(units, np.ones(len(units.features), np.float32), np.ones((len(units.features), 1), np.float32), decontaminate.LIMITS)
+    draw = np.random.default_rng(5)
+    texts = [np.concatenate([draw.integers(0, 3, draw.integers(0, 90)), units.words[k][: draw.integers(1, 97)], np.zeros(draw.integers(0, 40), int)]) for k in draw.integers(0, len(units.words), 60)]
+    first = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    begin, n = decontaminate.halves(first)
+    at, feature = units.matched(np.concatenate(texts))
+    half, unit = (x.ravel() for x in np.indices((int(begin[-1]), len(units.words))))
+    text = np.searchsorted(begin, half, side="right") - 1
+    where = at, feature, first, text, first[text] + (half - begin[text]) * decontaminate.HALF, unit
+    enough, possible = search.enough(*where), search.possible(*where)
+    assert enough.any() and not (enough & ~possible).any() and not possible.all()
