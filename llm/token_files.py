@@ -22,6 +22,8 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import islice
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +37,8 @@ from meterflow.session import materialize, scratch_path
 #: Fixed constant of the record format.
 MASK = 0xA282EAD8
 HEAD = np.dtype([("length", "<u8"), ("check", "<u4")])
-#: Different units whose ids a worker remembers; beyond it starts anew.
-REMEMBERED = 1 << 19
+#: Different units whose ids a worker remembers; beyond it, it keeps the first quarter, which has the frequent ones.
+REMEMBERED = 1 << 20
 _CHUNK = 8 << 20
 _MANIFEST = "file string, part int, records long, tokens long, bytes long, width int"
 
@@ -70,7 +72,8 @@ class Encoder:
     """Token ids of whole texts by a tokenizer of the `tokenizers` library, as bytes of 16- or 32-bit integers.
 
     With a byte-level tokenizer that splits texts by its standard pattern, a space before anything but white space always begins a
-    piece that is encoded by itself. So texts are cut there and each different unit is encoded once.
+    piece that is encoded by itself. So texts are cut there and each different unit is encoded once. ASCII marks at the end of a unit,
+    after a letter or digit, are a piece as well: the unit's ids are those of its stem and of its marks.
     Any other tokenizer gets whole texts.
     """
 
@@ -83,6 +86,10 @@ class Encoder:
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.code, self.width = ("H", 2) if size <= 1 << 16 else ("I", 4)
         self.units: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
+        # The library finds added tokens before it cuts: one that ends in marks may not lose them.
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.whole = tuple(t.rstrip(punctuation) for t in added if t[-1:] in punctuation and t.rstrip(punctuation))
         self.first = np.zeros(size, dtype=bool)
         self.first[[i for token, i in self.tokenizer.get_vocab().items() if token.startswith("Ġ")]] = True
         made = str(self.tokenizer.pre_tokenizer)
@@ -91,15 +98,33 @@ class Encoder:
     def plain(self, text: str) -> bytes:
         return array(self.code, self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
 
+    def stem(self, unit: str) -> str:
+        """The unit without the marks at its end, or all of it where those are no piece by themselves."""
+        stem = unit.rstrip(punctuation)
+        last = stem[-1:]
+        return stem if last and (last.isalpha() and last < "\u0250" or last.isascii() and last.isdigit()) and not stem.endswith(self.whole) else unit
+
+    def tail(self, marks: str) -> bytes:
+        if marks not in self.tails:
+            if len(self.tails) >= 1 << 16:
+                self.tails.clear()
+            self.tails[marks] = self.plain(marks)
+        return self.tails[marks]
+
     def learn(self, units: list[str]) -> None:
+        stems = list(map(self.stem, units))
+        self.learn_stems(list(set(stems).difference(self.units)))
+        known = self.units
+        for unit, stem in zip(units, stems):
+            if len(stem) < len(unit):
+                known[unit] = known[stem] + self.tail(unit[len(stem) :])
+
+    def learn_stems(self, units: list[str]) -> None:
         ids = np.frombuffer(self.plain("".join([" " + x for x in units])), dtype=self.code)
         starts = np.flatnonzero(self.first[ids])
         if len(starts) == len(units) and (not len(starts) or starts[0] == 0):
             raw, ends = ids.tobytes(), [*(starts[1:] * self.width).tolist(), ids.nbytes]
-            at = 0
-            for unit, end in zip(units, ends):
-                self.units[unit] = raw[at:end]
-                at = end
+            self.units.update(zip(units, [raw[a:b] for a, b in zip([0, *ends], ends)]))
         else:
             for unit in units:
                 self.units[unit] = self.plain(" " + unit)
@@ -110,14 +135,15 @@ class Encoder:
         units = _unit_start.split(text) if _odd_space.search(text) else text.split(" ")
         first = self.plain(units[0])
         del units[0]
-        known = self.units
-        new = set(units).difference(known)
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = set(units)
-        if new:
-            self.learn(list(new))
-        return first + b"".join(map(known.__getitem__, units))
+        ids = list(map(self.units.get, units))
+        if None in ids:
+            if len(self.units) >= REMEMBERED:
+                self.units = dict(islice(self.units.items(), REMEMBERED // 4))
+            new = [k for k, x in enumerate(ids) if x is None]
+            self.learn(list({units[k] for k in new}))
+            for k in new:
+                ids[k] = self.units[units[k]]
+        return first + b"".join(ids)
 
 
 _ENCODERS: dict[str, Encoder] = {}

@@ -6,6 +6,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from llm import token_files
 from llm.token_files import Encoder, framed, masked, payload_of, read_records, read_token_files, token_index, write_token_files
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -24,6 +25,25 @@ def test_units_give_the_ids_of_whole_texts():
         assert coder.encode(text) == coder.plain(text), text
 
 
+def test_marks_at_the_end_of_units():
+    coder, draw = Encoder(PATH), random.Random(3)
+    parts = ["word", "é", "²", "漢", "3", "'", "'s", "!", "|>", "<|endoftext", "<|endoftext|>", ",", "\n", "ǅ", "͏", "Ⅷ", "—", " ", " ", " "]
+    for _ in range(6000):
+        text = "".join(draw.choice(parts) for _ in range(draw.randrange(14)))
+        assert coder.encode(text) == coder.plain(text), text
+    assert coder.stem("word!?") == "word" and coder.stem("<|endoftext|>") == "<|endoftext|>" and coder.stem("漢,") == "漢,"
+
+
+def test_a_full_memory_keeps_its_first_units(monkeypatch):
+    monkeypatch.setattr(token_files, "REMEMBERED", 64)
+    coder = Encoder(PATH)
+    coder.encode(" the of and")
+    for k in range(200):
+        text = f" the of and word{k} other{k}, word{k}"
+        assert coder.encode(text) == coder.plain(text)
+        assert {"the", "of", "and"} <= coder.units.keys() and len(coder.units) < 70
+
+
 def test_frames():
     record = framed(b"hello")
     assert len(record) == 8 + 4 + 5 + 4 and masked(b"") == 0xA282EAD8
