@@ -241,7 +241,7 @@ def _weights(units: Units, counts: dict[int, np.ndarray]) -> np.ndarray:
 
 
 def _sparse(units, weights):
-    """Rows of the matrix: for each passage with a feature, its features and their tf-idf values, scaled to length 1."""
+    """Rows of the matrix: for each passage with a feature, its features and their tf-idf values, scaled to length 1, and the scale of its text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, weight = units.value, weights.value
@@ -254,7 +254,8 @@ def _sparse(units, weights):
                 if not len(rows):
                     continue
                 cuts = np.concatenate([[0], np.flatnonzero(np.diff(rows)) + 1, [len(rows)]])
-                yield pa.RecordBatch.from_arrays([binaries(columns.astype("<i4"), cuts), binaries(values.astype("<f4"), cuts)], names=["columns", "vals"])
+                scale = np.repeat(piece.column("scale").to_numpy(), (np.diff(begin) + 1) // 2)[rows[cuts[:-1]]]
+                yield pa.RecordBatch.from_arrays([binaries(columns.astype("<i4"), cuts), binaries(values.astype("<f4"), cuts), pa.array(scale)], names=["columns", "vals", "scale"])
 
     return run
 
@@ -267,13 +268,13 @@ def _scaled(row: np.ndarray, feature: np.ndarray, weight: np.ndarray) -> tuple[n
     return rows, columns, values / norm[rows]
 
 
-def _product(dense):
-    """Partial sums of A' (A dense), by slices of features."""
+def _product(dense, made=None):
+    """Partial sums of A' (A dense), by slices of features; `made` makes the rows of A from the batches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         right = dense.value
         total = np.zeros(right.shape)
-        for batch in batches:
+        for batch in made(batches) if made else batches:
             columns, begin = entries(batch.column("columns"), "<i4")
             values = entries(batch.column("vals"), "<f4")[0] * np.repeat(batch.column("scale").to_numpy(), np.diff(begin)).astype(np.float32)
             for k in range(0, batch.num_rows, 512):
@@ -290,16 +291,18 @@ def _product(dense):
     return run
 
 
-def randomised_svd(rows: DataFrame, features: int, rank: int, extra: int, seed: int = 11) -> np.ndarray:
+def randomised_svd(rows: DataFrame, features: int, rank: int, extra: int, seed: int = 11, made: tuple | None = None) -> np.ndarray:
     """The leading right singular vectors (features, rank) of sparse rows (columns, vals, scale), which are read once.
 
     With an orthonormal random matrix X, the sums Y = A' (A X) span the range and give X' Y, the part of A' A seen by X. Y (X' Y)^-1 Y' stands
     for A' A; its eigenvectors are the singular vectors of Y times the inverse root of X' Y.
+    Where `rows` is `source.mapInArrow(step)`, `made` may name (source, step): then rows are made and multiplied in one worker, not in two a task.
     """
     width = min(features, rank + extra)
     start, _ = np.linalg.qr(np.random.Generator(np.random.PCG64(seed)).standard_normal((features, width)))
     start = start.astype(np.float32)
-    parts = _summed(rows.mapInArrow(_product(rows.sparkSession.sparkContext.broadcast(start)), "slice int, part binary"), "<f8")
+    source, step = made or (rows, None)
+    parts = _summed(source.mapInArrow(_product(rows.sparkSession.sparkContext.broadcast(start), step), "slice int, part binary"), "<f8")
     y = np.concatenate([parts[k] for k in sorted(parts)]).reshape(features, width) if parts else np.zeros((features, width))
     core, turn = np.linalg.eigh((start.T @ y + y.T @ start) / 2)
     # Directions that the sums in single precision cannot tell from nothing are left out.
@@ -487,11 +490,12 @@ def benchmark_hits(
         counts = _summed(coded.mapInArrow(_counted(shared), "slice int, part binary"), "<i8")
         weights = _weights(units, counts)
         weighed = spark.sparkContext.broadcast(weights)
-        own = spark.createDataFrame([(0, t) for _, t, _ in rows], "doc_id long, text string").mapInArrow(_coded(shared), "doc_id long, words binary")
-        sparse = lambda x: x.mapInArrow(_sparse(shared, weighed), "columns binary, vals binary")
+        own = spark.createDataFrame(pa.table({"words": pa.array([units.numbers(word_hashes(pa.array([t]))[0]).tobytes() for _, t, _ in rows], pa.binary())}))
         emphasis = float(max(1.0, counts.get(-1, [0, 0])[1] / max(1, len(units.items))) ** 0.5)
-        matrix = sparse(coded).withColumn("scale", F.lit(1.0)).unionByName(sparse(own).withColumn("scale", F.lit(emphasis)))
-        space = spark.sparkContext.broadcast(randomised_svd(matrix, len(units.features), limits.rank, limits.extra))
+        passages = coded.select("words", F.lit(1.0).alias("scale")).unionByName(own.withColumn("scale", F.lit(emphasis)))
+        sparse = _sparse(shared, weighed)
+        matrix = passages.mapInArrow(sparse, "columns binary, vals binary, scale double")
+        space = spark.sparkContext.broadcast(randomised_svd(matrix, len(units.features), limits.rank, limits.extra, 11, (passages, sparse)))
         found = materialize(coded.mapInArrow(_search(shared, weighed, space, limits), "doc_id long, item_id long, common double, answer double, cosine double, first_word long"), "hits")
         delete(spark, home)
         hits = found if hits is None else hits.unionByName(found)

@@ -148,6 +148,15 @@ def test_search_space_is_of_all_passages(spark, monkeypatch):
     assert benchmark_hits(docs, bench).count() == 0 and rows == [6001]
 
 
+def test_passages_are_weighed_and_multiplied_in_one_worker(spark, monkeypatch, capsys):
+    """Two steps of a stage took two workers for each of an executor's tasks."""
+    bench = spark.createDataFrame([(1, " ".join(prose(70, 36)), None, None, None)], ITEMS)
+    steps, summed = [], decontaminate._summed
+    monkeypatch.setattr(decontaminate, "_summed", lambda parts, kind: parts.explain() or steps.append(capsys.readouterr().out.count("MapInArrow")) or summed(parts, kind))
+    benchmark_hits(spark.createDataFrame([(k, " ".join(prose(k, 50)), "en", "s", 1) for k in range(20)], DOCS), bench)
+    assert steps == [1, 1]
+
+
 def test_counts_in_bins_lose_no_stretch():
     units = decontaminate.Units.of([(k, t, None) for k, t in items().items()] + [(99, "four short words here", None)])
     search = decontaminate.Search(units, np.ones(len(units.features), np.float32), np.ones((len(units.features), 1), np.float32), decontaminate.LIMITS)
