@@ -4,7 +4,7 @@ Every stage but the last returns the columns of `documents`. Decisions are joine
 given to the stored rows, so null and repeated ids are judged and filtered like any other. Null and empty texts, very long ones and columns of other names go
 through as each operator says; an empty table gives an empty table.
 
-A stage's scratch is deleted when the next stage is called, so the table of a stage has to be written by then, as `run` does.
+A stage's scratch is deleted when another stage is called on rows that do not come from it, so the table of a stage has to be written by then, as `run` does.
 """
 
 from __future__ import annotations
@@ -25,23 +25,26 @@ from llm.token_files import token_index, write_token_files
 from meterflow.session import delete, materialize, recorded_scratch, scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-#: Scratch of the stage before.
-_LEFT: list[str] = []
+#: Scratch that is still there, and the stage that left it.
+_LEFT: dict[str, str] = {}
 
 
-def _clear(spark: SparkSession) -> None:
+def _clear(spark: SparkSession, docs: DataFrame, stage: str) -> None:
+    """Delete what other stages left, but for what `docs` has yet to read."""
     for_workers(spark)
-    while _LEFT:
-        delete(spark, _LEFT.pop())
+    read = docs.inputFiles() if _LEFT else []
+    for path in [p for p, by in _LEFT.items() if by != stage and not any(p.rsplit("/", 1)[-1] in f for f in read)]:
+        delete(spark, path)
+        del _LEFT[path]
 
 
 def _staged(stage: Stage) -> Stage:
     @wraps(stage)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        _clear(spark)
+        _clear(spark, docs, stage.__name__)
         with recorded_scratch() as paths:
             out = stage(spark, docs, sf_dir)
-        _LEFT.extend(paths)
+        _LEFT.update(dict.fromkeys(paths, stage.__name__))
         return out
 
     return run
@@ -102,7 +105,7 @@ def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     The files are what the pipeline is for: they stay until the application ends.
     """
-    _clear(spark)
+    _clear(spark, docs, "token_files")
     return token_index(write_token_files(docs, public_tokenizers.path("byte_bpe_50k.json")))
 
 

@@ -127,3 +127,11 @@ def test_scratch_of_a_stage_goes_with_the_next(spark, folder, tmp_path):
         out.write.parquet(str(tmp_path / str(k)))
         docs = spark.read.parquet(str(tmp_path / str(k)))
     assert not left
+
+
+def test_scratch_stays_while_rows_come_from_it(spark, folder, small):
+    """A stage called again, or on rows that were not written, deleted what these had yet to read."""
+    docs = small[0].limit(80)
+    first, again = (corpus_pipeline.mix(spark, docs, folder) for _ in range(2))
+    rows = first.count()
+    assert corpus_pipeline.token_files(spark, again, folder).count() == rows > 80
