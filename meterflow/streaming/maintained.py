@@ -25,6 +25,7 @@ from meterflow.operators.features import (
 )
 from meterflow.operators.models import input_fingerprint
 from meterflow.session import delete, materialize
+from meterflow.sources.tables import write_panel
 
 #: The longest look back; a month further back than this is dropped from the state.
 REACH = max(k for _, k in HISTORY.values())
@@ -113,10 +114,10 @@ def begin(panel: DataFrame, home: str) -> int:
     last = rows.agg(F.max(ORD)).first()[0]
     if last is None:
         raise ValueError("an empty panel has no month to begin with")
-    rows.write.mode("overwrite").partitionBy(ORD).parquet(f"{home}/features")
+    write_panel(rows, f"{home}/features", partition=ORD, mode="overwrite")
     names = {source: out for out, (source, _) in NEXT.items()}
     targets = rows.select(KEY, (F.col(ORD) - 1).alias(ORD), *[F.col(source).alias(out) for source, out in names.items()])
-    targets.write.mode("overwrite").partitionBy(ORD).parquet(f"{home}/targets")
+    write_panel(targets, f"{home}/targets", partition=ORD, mode="overwrite")
     state_of(rows, last).write.mode("overwrite").parquet(f"{home}/state/ord={last}")
     _commit(rows, home, last, "")
     return last

@@ -120,3 +120,12 @@ def test_batches_are_checked_against_the_list_of_periods(spark, tmp_path):
     assert seen == [(5, 2), (6, 1), (7, 1), (7, 1)]
     assert sorted(map(tuple, spark.read.parquet(out).select("consumer_no", "ord").collect())) == [(1, 5), (1, 6), (1, 7), (2, 5)]
     assert sorted(map(tuple, ingest.arrivals(spark, out).collect())) == [(0, 5, 2), (0, 6, 1), (1, 7, 1)]
+
+
+def test_a_month_begins_in_one_file(spark, tmp_path, monkeypatch):
+    """Every task wrote a file for each of its months."""
+    monkeypatch.setattr(maintained, "materialize", lambda df, label: df.repartition(4))
+    maintained.begin(table(spark, months()), str(tmp_path / "home"))
+    for name in ("features", "targets"):
+        folders = list((tmp_path / "home" / name).glob("ord=*"))
+        assert len(folders) == LAST - FIRST + 1 and all(len(list(f.glob("*.parquet"))) == 1 for f in folders)
